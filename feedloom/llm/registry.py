@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, sharding
+from . import exact_dedup, packing, sentence_pieces, sharding, topk_search
 
-MODULES = (exact_dedup, packing, sharding)
+MODULES = (topk_search, exact_dedup, sentence_pieces, packing, sharding)
 
 
 def queries() -> dict:
