@@ -87,3 +87,19 @@ def lookup(rows: DataFrame, found: DataFrame, by: list[str], size: str) -> DataF
     rows = rows.join(rest.hint("merge"), [*by, "x_own"], "left")
     kept = [c for c in rows.columns if c not in (*made, "x_own", "x_hot", *[f"hot_{c}" for c in made])]
     return rows.select(*kept, *[F.coalesce(f"hot_{c}", c).alias(c) for c in made])
+
+
+def most_frequent(counts: DataFrame, key: str, n: str, k: int) -> DataFrame:
+    """The ``k`` rows of largest ``n``, ties in order of ``key``.
+
+    A histogram of the counts' logarithms first gives a bound that about ``k``
+    rows pass; only these are sorted, so that neither a task nor the driver
+    gets ``k`` rows from every partition. ``counts`` should be persisted.
+    """
+    level = F.floor(F.log2(F.col(n).cast("double")) * 16)
+    lowest, above = 0, 0
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -(r["level"] or 0)):
+        lowest, above = r["level"] or 0, above + r["count"]
+        if above >= k:
+            break
+    return counts.where(level >= lowest).orderBy(F.desc(n), key).limit(k)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add, is_train, session, table, text_of
+from .common import add, is_train, most_frequent, session, table, text_of
 
 #: Bounds of what is learned. About so many labelled rows are learned from,
 #: drawn by a hash of their id; so many words and n-grams are remembered.
@@ -146,13 +146,13 @@ def train(df: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "
     found = drawn.select("lang", "text").mapInArrow(_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
     try:
         languages = sorted(r[0] for r in found.select("lang").distinct().collect())
-        top = found.groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT).orderBy(F.desc("all"), "word").limit(MAX_WORDS)
+        top = most_frequent(found.groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT), "word", "all", MAX_WORDS)
         known = found.join(F.broadcast(top), "word").select("word", "lang", "n").collect()
         by_gram = found.select("lang", "word", "n").mapInArrow(_gram_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
         tables = []
         for length in range(1, LONGEST_GRAM + 1):
             own = by_gram.where(F.char_length("gram") == length)
-            top = own.groupBy("gram").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT).orderBy(F.desc("all"), "gram").limit(MAX_GRAMS)
+            top = most_frequent(own.groupBy("gram").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT), "gram", "all", MAX_GRAMS)
             tables.append(_scores(own.join(F.broadcast(top), "gram").select("gram", "lang", "n").collect(), languages))
         by_gram.unpersist()
     finally:
