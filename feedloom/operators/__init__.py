@@ -1 +1 @@
-
+"""Functions of DataFrames."""

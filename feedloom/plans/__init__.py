@@ -1 +1 @@
-
+"""Queries over the driver tables, each with its SQL."""

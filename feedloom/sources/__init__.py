@@ -1 +1 @@
-
+"""Files and tables, in and out."""

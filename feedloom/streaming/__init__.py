@@ -1 +1 @@
-
+"""The work here is a daily batch: there are no streaming operators to offer."""
