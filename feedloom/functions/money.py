@@ -55,6 +55,8 @@ def price_text(x: Column) -> Column:
         rounded = F.when(size < below, _rounded(value, digits)).otherwise(rounded)
     plain = F.regexp_replace(rounded.cast("decimal(24,9)").cast("string"), r"\.?0+$", "")
     power = F.floor(F.log10(size)).cast("int")
-    mantissa = F.regexp_replace(F.bround(value / F.pow(F.lit(10.0), power), 5).cast("string"), r"\.0$", "")
-    large = F.concat(mantissa, F.lit("e+"), F.lpad(power.cast("string"), 2, "0"))
-    return F.when(value.isNull(), x.cast("string")).when(value == 0, "0").when(size >= 1e6, large).otherwise(plain)
+    first = F.bround(value / F.pow(F.lit(10.0), power), 5)
+    carried = F.abs(first) >= 10
+    mantissa = F.regexp_replace(F.when(carried, first / 10).otherwise(first).cast("string"), r"\.0$", "")
+    large = F.concat(mantissa, F.lit("e+"), F.lpad((power + F.when(carried, 1).otherwise(0)).cast("string"), 2, "0"))
+    return F.when(value.isNull(), x.cast("string")).when(value == 0, "0").when(size >= 999999.5, large).otherwise(plain)
