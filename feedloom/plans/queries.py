@@ -776,3 +776,72 @@ def k_anon_insights(spark: SparkSession, folder: str) -> DataFrame:
 def artifact_meta(spark: SparkSession, folder: str) -> DataFrame:
     """K2 F36, on texts; ``sources.tables.artifact_stamps`` does it on files."""
     return table(spark, folder, "documents").select("doc_id", F.sha1("text").alias("sha1"), F.octet_length("text").cast("long").alias("bytes"))
+
+
+# The catalog, from parts as products and nations as stores.
+
+
+def _raw(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("p_partkey")
+    variant = F.struct(F.col("p_retailprice").cast("string").alias("price"), F.lit(True).alias("available"), F.lit("M").alias("option1"), F.lit(None).cast("string").alias("option2"), F.lit(None).cast("string").alias("option3"))
+    options = F.array(F.struct(F.lit("Size").alias("name"), F.lit(1).alias("position"), F.array(F.lit("S"), F.lit("M")).alias("values")))
+    return table(spark, folder, "part").select(
+        (key % 25).cast("int").alias("store_order"), key.alias("pos"), key.alias("id"), _variant_name().alias("title"), key.cast("string").alias("handle"),
+        F.when(key % 3 > 0, F.col("p_brand")).otherwise("frontpage").alias("vendor"), F.col("p_type").alias("product_type"), F.lit(None).cast("array<string>").alias("tags"),
+        F.when(key % 13 > 0, F.array(F.struct(F.concat(F.lit("http://i/"), key.cast("string")).alias("src")))).alias("images"), options.alias("options"), F.array(variant).alias("variants"),
+    )
+
+
+def _shops(spark: SparkSession, folder: str) -> DataFrame:
+    name = F.when(F.col("n_nationkey") == 3, "Totême").when(F.col("n_nationkey") == 4, "Taottao").otherwise(F.col("n_name"))
+    return table(spark, folder, "nation").select(F.col("n_nationkey").alias("store_order"), name.alias("brand"), F.concat(F.lit("shop"), F.col("n_nationkey").cast("string"), F.lit(".com")).alias("domain"), _currency("n_nationkey").alias("currency"), (F.col("n_nationkey") % 5 == 0).alias("multi_brand"))
+
+
+_SQL_NORMALIZED = f"""
+WITH r AS (SELECT p_partkey AS pos, {_SQL_VARIANT} AS name, p_type AS kind, p_retailprice AS raw, n_nationkey AS store, CASE n_nationkey WHEN 3 THEN 'Totême' WHEN 4 THEN 'Taottao' ELSE n_name END AS store_brand, CASE WHEN p_partkey % 3 > 0 THEN p_brand END AS vendor,
+    coalesce(fx, 1.0) AS fx FROM part JOIN nation ON n_nationkey = p_partkey % 25 LEFT JOIN {_SQL_FX} ON f.currency = {sql_list(_CURRENCIES)}[1 + n_nationkey % {len(_CURRENCIES)}] WHERE p_partkey % 13 > 0),
+b AS (SELECT *, CASE WHEN store % 5 = 0 THEN coalesce(vendor, store_brand) ELSE store_brand END AS brand, round_even(raw * fx, 0)::INT AS price FROM r),
+n AS (SELECT pos, store, store_brand, brand, name, price, {sql_slug("brand")} || '-' || pos AS id, {sql_category("lower(kind || ' ' || name)")} AS category,
+    {sql_colors("lower(name || ' ' || kind)")} AS c FROM b WHERE price > 0 AND {sql_brand_key("brand")} <> 'taottao' AND NOT {sql_junk("name", "price", "kind")})"""
+
+
+@query(_SQL_NORMALIZED + " SELECT id, brand, name, price, category, CASE WHEN len(c) = 0 THEN 'neutral' ELSE array_to_string(c, ',') END AS colors, 'M' AS sizes FROM n")
+def normalize_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Catalog rows of raw products."""
+    from ..operators import catalog
+
+    rows = catalog.normalized(catalog.with_store(_raw(spark, folder), _shops(spark, folder), _rates(spark)))
+    return rows.select("id", "brand", "name", "price", "category", F.array_join("color_tags", ",").alias("colors"), F.array_join("sizes", ",").alias("sizes"))
+
+
+@query(
+    _SQL_NORMALIZED
+    + f""", s AS (SELECT *, row_number() OVER (PARTITION BY store, {sql_base("name")} ORDER BY pos) AS v FROM n),
+k AS (SELECT *, row_number() OVER (PARTITION BY store ORDER BY pos) AS w FROM s WHERE v <= 2),
+i AS (SELECT *, row_number() OVER (PARTITION BY store ORDER BY md5('{SEED}' || id), id)::INT AS round FROM k WHERE w <= CASE WHEN store = 3 THEN 15 ELSE 40 END),
+t AS (SELECT *, md5('{SEED}|' || store || '|' || round) AS turn FROM i),
+d AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(brand)), lower(trim(name)) ORDER BY round, turn, pos, id) AS x FROM t)
+SELECT id, brand, name, price, round, turn, '{links.REDIRECT}?key=k&u=' || url_encode('https://shop' || store || '.com/products/' || pos) || '&cuid=app' AS affiliate_url, '2024-01-20T12:00:00Z' AS added_at FROM d WHERE x = 1"""
+)
+def catalog_build(spark: SparkSession, folder: str) -> DataFrame:
+    """B2 U1 J2 W5 and all before: the catalog of a day without a day before."""
+    from ..operators import catalog
+    from ..sources.tables import CATALOG
+
+    none = spark.createDataFrame([], CATALOG)
+    templates = spark.createDataFrame([], "brand_key string, template string")
+    made = catalog.build(_raw(spark, folder), _shops(spark, folder), _rates(spark), templates, none, none, F.lit(AS_OF).cast("timestamp"), SEED, 40, "k", "app")
+    return made.select("id", "brand", "name", "price", "round", "turn", "affiliate_url", times.iso(F.col("added_at")).alias("added_at"))
+
+
+@query(
+    "SELECT p_brand AS brand, array_to_string(list(p_name || ' EUR ' || round_even(p_retailprice, 0)::BIGINT || ' i' || p_partkey ORDER BY p_partkey)[1:3], ';') AS sample FROM part WHERE p_partkey % 3 > 0 GROUP BY p_brand"
+)
+def sample_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Three products of a store, with an image."""
+    price = F.struct(F.col("p_retailprice").cast("string").alias("price"))
+    image = F.struct(F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit("i"), F.col("p_partkey").cast("string"))).alias("src"))
+    item = F.struct(F.col("p_partkey").alias("at"), F.col("p_name").alias("title"), F.array(price).alias("variants"), F.array(image).alias("images"))
+    stores = table(spark, folder, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.array_sort(F.collect_list(item)).alias("products"))
+    text_ = F.transform(products.samples(F.col("products"), F.lit("EUR")), lambda s: F.concat(s["name"], F.lit(" "), s["price"], F.lit(" "), s["image"]))
+    return stores.select("brand", F.array_join(text_, ";").alias("sample"))
