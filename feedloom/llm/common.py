@@ -67,28 +67,6 @@ def add(df: DataFrame, made: dict[str, Column]) -> DataFrame:
     return df.select(*keep, *[v.alias(k) for k, v in made.items()])
 
 
-#: A key with more than this part of all rows is hot: there are fewer than 1 / HOT_PART.
-HOT_PART = 0.001
-
-
-def lookup(rows: DataFrame, found: DataFrame, by: list[str], size: str) -> DataFrame:
-    """``rows`` left-joined with ``found``, which has one row a key; hot keys don't meet in one task.
-
-    ``size`` is the column of ``found`` with the number of rows of its key. Rows
-    of hot keys are answered by broadcast, which is a bounded number of keys;
-    they then carry a key of their own through the shuffled join of the others.
-    ``found`` should be a table, as it is read three times.
-    """
-    total = found.agg(F.sum(size)).first()[0] or 0
-    made = [c for c in found.columns if c not in by and c != size]
-    hot = found.where(F.col(size) > total * HOT_PART).select(*by, *[F.col(c).alias(f"hot_{c}") for c in made], F.lit(1).alias("x_hot"))
-    rest = found.where(F.col(size) <= total * HOT_PART).select(*by, *made, F.lit(0).cast("long").alias("x_own"))
-    rows = rows.join(F.broadcast(hot), by, "left").withColumn("x_own", F.when(F.col("x_hot").isNull(), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1))
-    rows = rows.join(rest.hint("merge"), [*by, "x_own"], "left")
-    kept = [c for c in rows.columns if c not in (*made, "x_own", "x_hot", *[f"hot_{c}" for c in made])]
-    return rows.select(*kept, *[F.coalesce(f"hot_{c}", c).alias(c) for c in made])
-
-
 def most_frequent(counts: DataFrame, key: str, n: str, k: int) -> DataFrame:
     """The ``k`` rows of largest ``n``, ties in order of ``key``.
 

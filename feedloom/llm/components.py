@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, written
+from .common import written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,9 +13,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates large and small stars: every node hands its larger, then its
     smaller neighbours to the smallest one, until each component is one star.
-    Rounds are written tables; edges stay in the executors.
+    Each round is a written table; edges stay in the executors. A node with
+    very many edges is a row of minima after Spark's partial aggregate, and its
+    edges are split by the adaptive skew join.
     """
-    edges = links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct()
+    edges = links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b")
     before = None
     while True:
         edges = written(_small_star(_large_star(edges)), "stars")
@@ -24,19 +26,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         before = state
     nodes = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
-    return nodes.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    return nodes.unionByName(edges.groupBy("a").agg(F.first("a").alias("component")).withColumnRenamed("a", "node"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
-    return lookup(both, least, ["a"], "n").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # Here edges go from the larger node to its smaller neighbours.
-    edges = written(edges, "large")
-    least = written(edges.groupBy("b").agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("n")), "least")
-    moved = lookup(edges, least, ["b"], "n").where("a <> m").select(F.col("m").alias("x"), F.col("a").alias("y"))
+    edges = written(edges.distinct(), "large")
+    least = written(edges.groupBy("b").agg(F.min("a").alias("m")), "least")
+    moved = edges.join(least, "b").where("a <> m").select(F.col("m").alias("x"), F.col("a").alias("y"))
     own = least.select(F.col("m").alias("x"), F.col("b").alias("y"))
     return moved.unionByName(own).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lookup, session, table, text_of, written
+from .common import session, table, text_of, written
 from .components import components
 
 #: Registers: BANDS x BAND_ROWS of them, each the least of an exponential
@@ -22,8 +22,6 @@ _SHIFT, _BITS = 250, 11  # registers lie in 0 to 2^11 - 1
 #: A pair is left out before the exact check only if its registers are e^20
 #: times less likely at the threshold, or above, than at their best.
 UNLIKELY = 20.0
-#: Rounds of comparing one document of each component before all are compared.
-STAR_ROUNDS = 2
 
 _WORDS_KEPT = 400_000
 _CHUNK = 4096
@@ -147,6 +145,20 @@ def _keep_likely(threshold: float):
     return run
 
 
+def _shingles(k: int):
+    """(rep, n, component, text) to one row a shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                sets = [shingle_hashes(t, k).view(np.int64) for t in b.column(3).to_pylist()]
+                n = [len(x) for x in sets]
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.repeat(b.column(i).to_numpy(), n)) for i in range(3)], pa.array(np.concatenate(sets))], names=["rep", "n", "component", "shingle"])
+
+    return run
+
+
 def _confirm(k: int, percent: int):
     """Rows (a, chunk, b, text), in order, a's own text first: the pairs that are similar enough."""
 
@@ -177,13 +189,16 @@ class _Search:
         docs = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc"), text_of(text).alias("text"))
         self.sketches = written(docs.mapInArrow(_sketch(k), "doc long, n long, h1 long, h2 long, regs binary, bands array<long>"), "sketches")
         # Documents with one and the same set are one node, named by the smallest.
-        equal = self.sketches.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc", "n", "regs", "bands")).alias("s"), F.count(F.lit(1)).alias("size"))
-        self.sets = written(equal.select("h1", "h2", "size", F.col("s.doc").alias("rep"), "s.n", "s.regs", "s.bands"), "sets")
+        equal = self.sketches.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc", "n", "regs", "bands")).alias("s"))
+        self.sets = written(equal.select("h1", "h2", F.col("s.doc").alias("rep"), "s.n", "s.regs", "s.bands"), "sets")
         # Two different sets are similar enough only if they are large enough.
         least = next(n for n in range(1, 10_000) if 100 * n >= percent * (n + 1))
         entries = self.sets.where(F.col("n") >= least).select("rep", "n", F.explode("bands").alias("band"))
         buckets = written(entries.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-        self.members = written(lookup(entries, buckets, ["band"], "size").where("hub IS NOT NULL"), "members")
+        # Joins on a bucket, a document or a shingle that very many rows share
+        # are split by the adaptive skew join; small sides Spark broadcasts by
+        # their written size.
+        self.members = written(entries.join(buckets.drop("size"), "band"), "members")
         involved = self.members.select(F.col("rep").alias("doc")).distinct()
         # A key that comes with several texts is compared by the largest.
         self.texts = written(docs.join(involved, "doc", "left_semi").groupBy("doc").agg(F.max("text").alias("text")), "texts")
@@ -210,42 +225,62 @@ class _Search:
         return new.count()
 
     def placed(self) -> DataFrame:
-        """Buckets' members with their component, of buckets that hold several."""
-        rows = self.members
+        """Members of buckets that hold several components, with their component and the bucket's largest (``main``)."""
+        rows = self.members.withColumn("component", F.col("rep"))
         if self.links is not None:
-            of = components(self.links)
-            of = written(of.join(rows.groupBy("rep").count().withColumnRenamed("rep", "node"), "node").select(F.col("node").alias("rep"), "component", F.col("count").alias("times")), "placed")
-            rows = rows.join(of.drop("times"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        else:
-            rows = rows.withColumn("component", F.col("rep"))
-        rows = written(rows.select("band", "rep", "n", "component"), "placed-members")
-        mixed = written(rows.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most"), "mixed")
-        return lookup(rows, mixed, ["band"], "size").where("least IS NOT NULL")
+            rows = self.members.join(components(self.links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        rows = written(rows.select("band", "rep", "n", "component"), "placed")
+        return _mixed(rows, "band")
 
     def run(self) -> None:
         # First each document with the one document that heads most of its buckets.
         heads = self.members.where("hub < rep").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("times"))
         best = heads.groupBy("rep").agg(F.max(F.struct("times", (-F.col("hub")).alias("hub"))).alias("s"))
         self.add(best.select((-F.col("s.hub")).alias("a"), F.col("rep").alias("b")))
-        # Then one document of each component that a bucket holds.
-        for _ in range(STAR_ROUNDS):
-            heads = self.placed().groupBy("band", "component", "least").agg(F.min("rep").alias("rep")).where("component <> least")
-            tops = self.placed_heads(heads)
-            if not self.add(tops):
-                break
-        # Then everything that isn't in a bucket's largest component with all of the bucket.
-        rest = self.placed()
-        counts = rest.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n_in"))
-        main = counts.groupBy("band").agg(F.max(F.struct("n_in", "component")).alias("s")).select("band", F.col("s.component").alias("main"))
-        rest = written(rest.join(main, "band"), "rest")
-        x, y = rest.where("component <> main").alias("x"), rest.alias("y")
-        near = (F.col("x.n") * 100 >= F.col("y.n") * self.percent) & (F.col("y.n") * 100 >= F.col("x.n") * self.percent)
-        pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & near)
-        self.add(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
-
-    def placed_heads(self, heads: DataFrame) -> DataFrame:
-        """Pairs of each bucket's first component's document with every other component's."""
-        return heads.select(F.least("least", "rep").alias("a"), F.greatest("least", "rep").alias("b")).where("a <> b").distinct()
+        # Then, in each bucket, one document of every component with one of the largest.
+        heads = self.placed().groupBy("band", "main", "component").agg(F.min("rep").alias("rep"))
+        heads = written(heads, "heads")
+        tops = heads.where("component = main").select("band", F.col("rep").alias("top"))
+        others = heads.where("component <> main").select("band", "rep")
+        self.add(others.join(tops, "band").select(F.least("top", "rep").alias("a"), F.greatest("top", "rep").alias("b")).distinct())
+        self.add(self.rest_pairs())
+
+    def rest_pairs(self) -> DataFrame:
+        """All pairs that can still be links between components.
+
+        Looked at are the documents of buckets that hold several. An overlap
+        must be t / (1 + t) of both sizes together; put both sets in one order,
+        rarest shingles first, then the first shingle that they share has at
+        least that many from it on in either (prefix filter). A shingle that
+        one document alone has is in no overlap, and comes before all others.
+        Documents that stay apart although they share buckets mostly do so for
+        shingles of their own, and give no pairs.
+        """
+        t = self.percent
+        apart = self.placed().groupBy("rep").agg(F.first("n").alias("n"), F.first("component").alias("component"))
+        texts = self.texts.join(apart, F.col("doc") == F.col("rep")).select("rep", "n", "component", "text")
+        each = written(texts.mapInArrow(_shingles(self.k), "rep long, n long, component long, shingle long"), "shingles")
+        often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+        shared = each.join(written(often, "shingle-counts"), "shingle")
+        of_set = Window.partitionBy("rep")
+        # ``left``: shingles from this one on, in order; those of its own come first.
+        left = F.count(F.lit(1)).over(of_set) - F.row_number().over(of_set.orderBy("times", "shingle")) + 1
+        rarest = shared.withColumn("left", left).where(F.col("left") * 100 >= F.col("n") * t)
+        rarest = written(_mixed(written(rarest.select("shingle", "rep", "n", "component", "left"), "rarest"), "shingle"), "rarest-mixed")
+        x, y = rarest.where("component <> main").alias("x"), rarest.alias("y")
+        near = (F.col("x.n") * 100 >= F.col("y.n") * t) & (F.col("y.n") * 100 >= F.col("x.n") * t)
+        enough = F.least("x.left", "y.left") * (100 + t) >= (F.col("x.n") + F.col("y.n")) * t
+        # Neither pairs inside a component, nor a pair of outsiders twice.
+        once = (F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
+        pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & near & enough & once)
+        return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+def _mixed(rows: DataFrame, by: str) -> DataFrame:
+    """The rows of groups that hold several components, with the group's largest component as ``main``."""
+    counts = rows.groupBy(by, "component").agg(F.count(F.lit(1)).alias("times"))
+    mixed = counts.groupBy(by).agg(F.max(F.struct("times", "component")).alias("s"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    return rows.join(written(mixed.select(by, F.col("s.component").alias("main")), "mixed"), by)
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -256,7 +291,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     that just meets the threshold is missed with a chance of (1 - 0.85^5)^25 =
     4e-7. Pairs are weighed by the registers' joint likelihood, then confirmed
     on whole sets of words. No bucket gives all its pairs: documents are first
-    compared with one other, and only those that stay apart with the rest.
+    compared with one other; those that stay apart, through their rarest shingles.
 
     ``component_id`` is the smallest key reachable by links; that row is
     ``kept``. Null and empty texts have no shingles and no links. Rows with a
@@ -268,8 +303,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     search = _Search(df, key, text, k, percent)
     search.run()
     of = components(search.links).withColumnRenamed("node", "rep")
-    sets = written(search.sets.select("h1", "h2", "rep", "size").join(of, "rep", "left").select("h1", "h2", "size", F.coalesce("component", "rep").alias("component")), "set-components")
-    rows = lookup(search.sketches.select("doc", "n", "h1", "h2"), sets, ["h1", "h2"], "size")
+    sets = written(search.sets.select("h1", "h2", "rep").join(of, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")), "set-components")
+    rows = search.sketches.select("doc", "n", "h1", "h2").join(sets, ["h1", "h2"], "left")
     component: Column = F.coalesce("component", "doc")
     out = rows.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc") == component).alias("kept"))
     void = df.where(F.col(f"`{key}`").isNull()).select(F.col(f"`{key}`").cast("long").alias(key), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
@@ -280,5 +315,19 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d
+), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c WHERE 100 * c >= 85 * (n - c)),
+t AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT t.b, r.c FROM r JOIN t ON r.doc_id = t.a)
+SELECT s.doc_id, len(s.g) AS n_shingles, m.c AS component_id, s.doc_id = m.c AS kept FROM s JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
 QUERIES = {"op4_near_dedup": op4_near_dedup}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op4_near_dedup": ORACLE}
