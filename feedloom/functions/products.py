@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules
-from .text import blank, has_word, normalize_type, strip
+from .text import WHITE_SPACE, blank, has_word, normalize_type, strip
 
 STRINGS = "array<string>"
 
@@ -67,7 +67,7 @@ def available_sizes(options: Column, variants: Column) -> Column:
 
 def canon_size(size: Column) -> Column:
     """One name for the spellings of a size."""
-    key = F.regexp_replace(F.lower(strip(size)), r"(?U)[\s._-]", "")
+    key = F.translate(F.lower(size), WHITE_SPACE + "._-", "")
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in rules.SIZE_NAMES.items() for x in pair]), key), key)
 
 
@@ -75,13 +75,21 @@ def distinct_sizes(sizes: Column) -> Column:
     """Sizes that aren't blank; of those that differ in case only, the first."""
     given = F.filter(F.transform(F.coalesce(sizes, F.array().cast(STRINGS)), strip), lambda s: s.isNotNull() & (s != ""))
     low = F.transform(given, F.lower)
-    return F.filter(given, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)
+    firsts = F.filter(given, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)
+    return F.when(F.size(F.array_distinct(low)) == F.size(low), given).otherwise(firsts)
 
 
-def sizes_missing(of: Column, there: Column) -> Column:
-    """Sizes of one list that the other has under no spelling; repeats stay."""
-    known = F.transform(there, canon_size)
-    return F.filter(of, lambda s: ~F.array_contains(known, canon_size(s)))
+def canon_sizes(sizes: Column) -> Column:
+    return F.transform(sizes, canon_size)
+
+
+def sizes_missing(of: Column, of_canon: Column, there_canon: Column) -> Column:
+    """Sizes of one list that the other has under no spelling; repeats stay.
+
+    Takes both lists' ``canon_sizes`` as columns of their own, so that they
+    aren't made again for each size.
+    """
+    return F.filter(of, lambda s, i: ~F.array_contains(there_canon, F.get(of_canon, i)))
 
 
 def samples(products: Column, currency: Column, n: int = 3) -> Column:

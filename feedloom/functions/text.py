@@ -18,9 +18,13 @@ def blank(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
 
+#: What counts as white space at the ends of a text.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def strip(x: Column) -> Column:
     """Without white space of any kind at its ends."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return F.btrim(x, F.lit(WHITE_SPACE))
 
 
 def normalize_type(x: Column) -> Column:

@@ -17,19 +17,22 @@ def alerts(saved: DataFrame, live: DataFrame) -> DataFrame:
     ``live``: id, price, sizes, brand, name. An item counts once a user, as first saved.
     """
     pid = F.coalesce(F.nullif(F.col("product_id").cast("string"), F.lit("")), F.nullif(F.col("saved_id").cast("string"), F.lit("")))
-    joined = saved.withColumn("pid", pid).where("pid IS NOT NULL").join(live.withColumn("pid", F.col("id").cast("string")).drop("id"), "pid")
+    # What depends on the catalog alone is made once a product, before the join.
+    live = live.withColumns({"pid": F.col("id").cast("string"), "new": products.distinct_sizes(F.col("sizes"))}).drop("id", "sizes").withColumn("new_canon", products.canon_sizes(F.col("new")))
+    joined = saved.withColumn("pid", pid).where("pid IS NOT NULL").join(live, "pid")
     once = keep_first(joined, ["user_id", "pid"], ["pos"])
     drop = money.meaningful_drop(F.col("price"), F.col("price_at_save"))
-    old, new = products.distinct_sizes(F.col("saved_sizes")), products.distinct_sizes(F.col("sizes"))
-    both = (F.size(old) > 0) & (F.size(new) > 0)
+    once = once.withColumn("old", products.distinct_sizes(F.col("saved_sizes"))).withColumn("old_canon", products.canon_sizes(F.col("old")))
+    both = (F.size("old") > 0) & (F.size("new") > 0)
     none = F.array().cast("array<string>")
+    missing = lambda of, there: products.sizes_missing(F.col(of), F.col(f"{of}_canon"), F.col(f"{there}_canon"))
     made = once.select(
         "user_id", "pid", "pos", strip(blank(F.col("brand"))).alias("brand"), strip(blank(F.col("name"))).alias("name"),
         F.when(drop, F.col("price_at_save").cast("double")).alias("was"),
         F.when(drop, F.col("price").cast("double")).alias("now"),
         F.when(drop, money.sale_percent(F.col("price"), F.col("price_at_save"))).alias("pct"),
-        F.when(both, products.sizes_missing(new, old)).otherwise(none).alias("new_sizes"),
-        F.when(both, products.sizes_missing(old, new)).otherwise(none).alias("gone_sizes"),
+        F.when(both, missing("new", "old")).otherwise(none).alias("new_sizes"),
+        F.when(both, missing("old", "new")).otherwise(none).alias("gone_sizes"),
     )
     made = made.where(F.col("pct").isNotNull() | (F.size("new_sizes") > 0) | (F.size("gone_sizes") > 0))
     order = Window.partitionBy("user_id").orderBy(F.coalesce(-F.col("pct"), F.lit(1)), -F.size("new_sizes"), "pos")

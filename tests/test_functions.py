@@ -147,7 +147,8 @@ def test_sizes(spark):
     assert of("size", ["a"], ("L", False)) == []
     assert [one(spark, products.canon_size(F.col("s")), s=s) for s in ("Medium", "X-Large", "2 XL", "weird One")] == ["m", "xl", "xxl", "weirdone"]
     assert one(spark, products.distinct_sizes(F.array(F.lit(" M "), F.lit("m"), F.lit(""), F.lit(None).cast("string"), F.lit("L")))) == ["M", "L"]
-    missing = lambda a, b: one(spark, products.sizes_missing(F.array(*map(F.lit, a)), F.array(*map(F.lit, b))))
+    array = lambda xs: F.array(*map(F.lit, xs))
+    missing = lambda a, b: one(spark, products.sizes_missing(array(a), products.canon_sizes(array(a)), products.canon_sizes(array(b))))
     assert missing(["Medium", "L", "L"], ["M"]) == ["L", "L"] and missing(["M"], ["Medium", "L"]) == []
 
 
