@@ -10,20 +10,25 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add, most_frequent, session, table, text_of
+from .common import add, most_frequent, session, table, text_of, written
 
-#: Words of the vocabulary that both models share; others are one token, <unk>.
-#: The models are square matrices over it: this bounds them, not the corpus
-#: that they are counted from.
-VOCABULARY = 1_500
 #: Weight of the unigram model inside the bigram model, as that many tokens seen.
 BACKOFF = 5.0
+#: So many of the most frequent pairs are looked up in a broadcast table; all
+#: others are joined. It bounds what a task holds, not the model.
+HOT_PAIRS = 250_000
+#: Log probabilities are whole numbers of this unit, so that sums don't depend on their order.
+UNIT = 2.0**-24
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
 _FLUSH = 300_000
+_PAIRS = 1_000_000
+_CACHE = 300_000
+_BOUNDARY, _UNKNOWN = 0, 1
 
 
 def tokens(text: str) -> list[str]:
@@ -47,152 +52,193 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-class _Ids(dict):
+class Codes(dict):
+    """A 64-bit hash of each word; with ``words``, 1 (<unk>) for the others. Remembers what it has met."""
+
+    def __init__(self, words: frozenset[str] | None):
+        self.words = words
+
     def __missing__(self, word: str) -> int:
-        return 1
+        code = _UNKNOWN if self.words is not None and word not in self.words else xxhash.xxh3_64_intdigest(word) - 2**63
+        if len(self) > _CACHE:
+            self.clear()
+        self[word] = code
+        return code
 
 
-def numbered(text: str, ids: dict[str, int]) -> np.ndarray:
-    """Token numbers between boundaries: 0 is the boundary, 1 <unk>."""
+def coded(text: str, codes: Codes) -> np.ndarray:
+    """Token codes between boundaries: 0 is the boundary, 1 <unk>."""
     found = tokens(text)
     out = np.zeros(len(found) + 2, np.int64)
-    out[1:-1] = np.fromiter(map(ids.__getitem__, found), np.int64, len(found))
+    out[1:-1] = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
     return out
 
 
-def _encode(held):
-    """(key, text) to (key, codes): the text's token numbers as 16-bit integers."""
+def _pieces(batches: Iterator[pa.RecordBatch], codes: Codes, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of about _FLUSH tokens: (rows, first and second code of each pair, pairs a row)."""
+    for b in batches:
+        first, held, size = 0, [], 0
+        for k, text in enumerate(b.column(column)):
+            held.append(coded(text.as_py(), codes))
+            size += len(held[-1])
+            if size > _FLUSH or k == b.num_rows - 1:
+                yield b.slice(first, k + 1 - first), np.concatenate([x[:-1] for x in held]), np.concatenate([x[1:] for x in held]), np.array([len(x) - 1 for x in held])
+                first, held, size = k + 1, [], 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids(held.value)
-        for b in batches:
-            codes = [numbered(t, ids).astype(np.uint16).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.binary())], names=["k", "codes"])
 
-    return run
+def _count_pairs(held):
+    """(text, whether target) to (a, b, n, n in target), summed over a million pairs at a time."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.Table] = []
 
-def _count_pairs(size: int):
-    """(codes, whether target) to (pair, n, n in target), summed over each partition."""
+        def flush() -> Iterator[pa.RecordBatch]:
+            sums = pa.concat_tables(kept).group_by(["a", "b"], use_threads=False).aggregate([("n", "sum"), ("n_target", "sum")])
+            kept.clear()
+            yield from sums.select(["a", "b", "n_sum", "n_target_sum"]).rename_columns(["a", "b", "n", "n_target"]).to_batches(max_chunksize=100_000)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = [np.zeros(size * size, np.int64) for _ in range(2)]
-        for b in batches:
-            for kind in (0, 1):
-                rows = [np.frombuffer(c, np.uint16).astype(np.int64) for c, is_target in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if is_target == kind]
-                if rows:
-                    keys, n = np.unique(np.concatenate([r[:-1] * size + r[1:] for r in rows]), return_counts=True)
-                    both[kind][keys] += n
-        every = both[0] + both[1]
-        keys = np.flatnonzero(every)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(every[keys]), pa.array(both[1][keys])], names=["pair", "n", "n_target"])
+        for rows, a, b, n in _pieces(batches, Codes(held.value), 0):
+            kept.append(pa.table({"a": a, "b": b, "n": np.ones(len(a), np.int64), "n_target": np.repeat(rows.column(1).to_numpy().astype(np.int64), n)}))
+            if sum(t.num_rows for t in kept) > _PAIRS:
+                yield from flush()
+        if kept:
+            yield from flush()
 
     return run
 
 
 @dataclass
 class PairModel:
-    """Log probabilities of a token after another, in the target and in the background."""
-
-    ids: dict[str, int]
-    target: np.ndarray
-    background: np.ndarray
+    """Counts of every word and every pair of words, as tables."""
+
+    docs: DataFrame  # what it was counted from
+    words: frozenset[str] | None  # all, if None
+    pairs: DataFrame  # (a, b, n, of_target, of_background): log probabilities of b after a, in UNITs
+    before: DataFrame  # (a, before, before_target)
+    after: DataFrame  # (b, after, after_target)
+    totals: tuple[int, int]  # of background and target, with one token added for each word
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-def _log_probabilities(counts: np.ndarray) -> np.ndarray:
-    """Bigrams, backed off to unigrams, which have one token added each."""
-    after = counts.sum(axis=0) + 1.0
-    single = after / after.sum()
-    total = counts.sum(axis=1, keepdims=True)
-    return np.log((counts + BACKOFF * single) / (total + BACKOFF)).astype(np.float32)
+def _log_probability(pair: Column, after: Column, before: Column, total: int) -> Column:
+    """A bigram, backed off to the unigram, which has one token added; in whole UNITs."""
+    single = (after + 1.0) / float(total)
+    return F.round(F.log((pair + BACKOFF * single) / (before + BACKOFF)) / UNIT).cast("long")
 
 
-def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> PairModel:
+def _with_log_probabilities(pairs: DataFrame, before: DataFrame, after: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    none = lambda c: F.coalesce(c, F.lit(0))
+    joined = pairs.join(before, "a", "left").join(after, "b", "left")
+    return joined.select(
+        "a", "b", "n",
+        _log_probability(F.col("n_target"), none("after_target"), none("before_target"), totals[1]).alias("of_target"),
+        _log_probability(F.col("n"), none("after"), none("before"), totals[0]).alias("of_background"),
+    )
+
+
+def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int | None = None) -> PairModel:
     """Both models, counted over every row: the background over all, the target over those whose key ``target`` holds.
 
-    They are matched: one vocabulary (the ``vocabulary`` most frequent words of
-    all rows, ties in order of the word), one order, one smoothing. Texts are
-    made into 16-bit token numbers before they are joined with the target's
-    keys; counts are summed in each partition, then over all by pair. What the
-    driver gets is at most ``vocabulary`` squared pairs.
+    They are matched: one vocabulary (all words; or, if ``vocabulary`` is given,
+    the so many most frequent of all rows, ties in order of the word), one
+    order, one smoothing. Counts are summed in each task, then over all by
+    pair; the tables stay distributed and grow with the corpus. Words are told
+    apart by hashes of 64 bits.
     """
-    if vocabulary > 2**16 - 2:
-        raise ValueError("token numbers have 16 bits")
     spark = session(df)
     rows = df.select(F.col(f"`{key}`").cast("long").alias("k"), text_of(text).alias("text"))
-    by_word = rows.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).persist()
-    top = [r[0] for r in most_frequent(by_word, "word", "n", vocabulary).collect()]
-    by_word.unpersist()
-    ids = {w: k + 2 for k, w in enumerate(top)}
-    held = spark.sparkContext.broadcast(ids)
+    words = None
+    if vocabulary is not None:
+        by_word = rows.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).persist()
+        words = frozenset(r[0] for r in most_frequent(by_word, "word", "n", vocabulary).collect())
+        by_word.unpersist()
+    held = spark.sparkContext.broadcast(words)
     # The keys grow with the corpus: they are shuffled at any size.
     of_target = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("target", F.lit(1))
-    marked = rows.mapInArrow(_encode(held), "k long, codes binary").join(of_target.hint("merge"), "k", "left").select("codes", F.coalesce("target", F.lit(0)).alias("target"))
-    pairs = marked.mapInArrow(_count_pairs(len(ids) + 2), "pair long, n long, n_target long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    found = pairs.toArrow()
-    size = len(ids) + 2
-    models = []
-    for column in ("n_target", "n"):
-        counts = np.zeros(size * size)
-        counts[found["pair"].to_numpy()] = found[column].to_numpy()
-        models.append(_log_probabilities(counts.reshape(size, size)))
-    return PairModel(ids, *models)
+    marked = rows.join(of_target.hint("merge"), "k", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
+    counted = marked.mapInArrow(_count_pairs(held), "a long, b long, n long, n_target long")
+    pairs = written(counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "pairs")
+    before = written(pairs.groupBy("a").agg(F.sum("n").alias("before"), F.sum("n_target").alias("before_target")), "before")
+    after = written(pairs.groupBy("b").agg(F.sum("n").alias("after"), F.sum("n_target").alias("after_target")), "after")
+    of_words = F.count(F.when(~F.col("b").isin(_BOUNDARY, _UNKNOWN), 1))
+    n_words, *n = after.agg(of_words, F.coalesce(F.sum("after"), F.lit(0)), F.coalesce(F.sum("after_target"), F.lit(0))).first()
+    totals = (n[0] + n_words + 2, n[1] + n_words + 2)
+    made = written(_with_log_probabilities(pairs, before, after, totals), "log-probabilities")
+    return PairModel(df, words, made, before, after, totals)
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a * np.int64(-7046029254386353131) + b
 
 
-_models: dict[str, tuple] = {}
+_SUMS = ["x_n", "x_target", "x_background", "x_a", "x_b"]
 
 
-def _score(held):
+def _look_up(held):
+    """Adds to each row its number of tokens, the sums over its hot pairs, and its other pairs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        if model.name not in _models:
-            _models.clear()
-            _models[model.name] = (_Ids(model.ids), model.target.ravel(), model.background.ravel())
-        ids, target, background = _models[model.name]
-        size = len(ids) + 2
-        for b in batches:
-            last = b.num_columns - 1
-            n, of_target, of_background = [], [], []
-            for text in b.column(last).to_pylist():
-                x = numbered(text, ids)
-                pairs = x[:-1] * size + x[1:]
-                n.append(len(x) - 2)
-                of_target.append(-float(target[pairs].mean(dtype=np.float64)))
-                of_background.append(-float(background[pairs].mean(dtype=np.float64)))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:last], pa.array(n, pa.int64()), pa.array(of_target, pa.float64()), pa.array(of_background, pa.float64())],
-                names=[*b.schema.names[:last], "n_tokens", "ce_target", "ce_background"],
-            )
+        words, hot = held.value
+        order = np.argsort(_mixed(hot[0], hot[1]), kind="stable")
+        hot_a, hot_b, *values = (c[order] for c in hot)
+        mixed = _mixed(hot_a, hot_b)
+        codes = Codes(words)
+        for rows, a, b, n in _pieces(batches, codes, -1):
+            starts = np.cumsum(n) - n
+            if len(mixed):
+                at = np.minimum(np.searchsorted(mixed, _mixed(a, b)), len(mixed) - 1)
+                hit = (hot_a[at] == a) & (hot_b[at] == b)
+                sums = [np.add.reduceat(np.where(hit, v[at], 0), starts) for v in values]
+            else:
+                hit, sums = np.zeros(len(a), bool), [np.zeros(len(n), np.int64)] * 2
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(~hit, starts, dtype=np.int64))]), pa.int32())
+            others = [pa.ListArray.from_arrays(ends, pa.array(x[~hit])) for x in (a, b)]
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(n - 1), *map(pa.array, sums), *others], names=[*rows.schema.names[:-1], *_SUMS])
 
     return run
 
 
-def score(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame:
-    """Every row of ``df`` with ``n_tokens``, ``ce_target``, ``ce_background`` and ``ce_difference``.
+def score(df: DataFrame, model: PairModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``df`` (or its columns ``keep``) with ``n_tokens``, ``ce_target``, ``ce_background`` and ``ce_difference``.
 
     Cross-entropies are nats a token, the end of the text counted as one; the
     difference is target less background: the lower, the more the text is like
-    the target and unlike the corpus.
+    the target and unlike the corpus. Pairs that the model has not met are
+    scored by their words.
+
+    The HOT_PAIRS most frequent pairs are looked up where the text is read; all
+    others are joined to the model's table and summed by row.
 
     A null or empty text is the boundary alone (0 tokens); very long texts are
     scored whole; repeated rows get the same score; input columns named like a
     result are replaced; an empty table gives no rows.
     """
     spark = session(df)
-    held = spark.sparkContext.broadcast(model)
+    columns = ["a", "b", "of_target", "of_background"]
+    hot = most_frequent(model.pairs, "a", "n", HOT_PAIRS).select(columns).toArrow()
+    held = spark.sparkContext.broadcast((model.words, [hot[c].to_numpy() for c in columns]))
     own = ("n_tokens", "ce_target", "ce_background", "ce_difference")
-    kept = add(df, {"x_text": text_of(text)}).drop(*own)
+    kept = add(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("x_text")) if keep else df, {"x_row": F.monotonically_increasing_id(), "x_text": text_of("x_text" if keep else text)}).drop(*own, *_SUMS)
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    scored = kept.mapInArrow(_score(held), f"{schema + ', ' if schema else ''}n_tokens long, ce_target double, ce_background double")
-    return scored.withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
+    seen = written(kept.mapInArrow(_look_up(held), f"{schema}, x_n long, x_target long, x_background long, x_a array<long>, x_b array<long>"), "scored")
+
+    others = seen.select("x_row", F.explode(F.arrays_zip("x_a", "x_b")).alias("p")).select("x_row", F.col("p.x_a").alias("a"), F.col("p.x_b").alias("b"))
+    known = model.pairs.select(columns)
+    if df is not model.docs:
+        new = others.select("a", "b").distinct().join(known, ["a", "b"], "left_anti").select("a", "b", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("n_target"))
+        known = known.unionByName(_with_log_probabilities(new, model.before, model.after, model.totals).select(columns))
+    rest = others.join(known, ["a", "b"]).groupBy("x_row").agg(F.sum("of_target").alias("rest_target"), F.sum("of_background").alias("rest_background"))
+    joined = seen.drop("x_a", "x_b").join(rest, "x_row", "left")
+    entropy = lambda c: -(F.col(f"x_{c}") + F.coalesce(f"rest_{c}", F.lit(0))) * F.lit(UNIT) / (F.col("x_n") + 1)
+    made = joined.withColumn("n_tokens", F.col("x_n")).withColumn("ce_target", entropy("target")).withColumn("ce_background", entropy("background"))
+    return made.drop("x_row", "x_n", "x_target", "x_background", "rest_target", "rest_background").withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is the documents that ``labels`` calls good; the background is all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels").where("quality = 1"))
-    return score(docs, model).select("doc_id", "n_tokens", "ce_target", "ce_background", "ce_difference")
+    return score(docs, model, keep=["doc_id"]).select("doc_id", "n_tokens", "ce_target", "ce_background", "ce_difference")
 
 
 QUERIES = {"op7_lm_scoring": op7_lm_scoring}

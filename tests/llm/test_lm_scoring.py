@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.llm import lm_scoring
 from feedloom.llm.lm_scoring import BACKOFF, op7_lm_scoring, score, tokens, train
 
 from .cases import awkward, empty
@@ -63,3 +64,29 @@ def test_awkward_rows(spark):
     assert score(empty(spark), model).count() == 0
     void = train(empty(spark), empty(spark))
     assert all(math.isfinite(r.ce_difference) for r in score(frame, void).collect())
+
+
+def test_every_word_counts(spark, monkeypatch):
+    """However few pairs are looked up by broadcast, all words are in the models."""
+    folder = "/root/testdata/sf0.001"
+    good = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
+    want = brute([(d.text, d.doc_id in good) for d in docs], None)
+    for hot in (250_000, 100):
+        monkeypatch.setattr(lm_scoring, "HOT_PAIRS", hot)
+        got = op7_lm_scoring(spark, folder).orderBy("doc_id").collect()
+        assert [r.doc_id for r in got] == [d.doc_id for d in docs]
+        for r, (t, b) in zip(got, want):
+            assert (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-5)
+
+
+def test_pairs_that_were_not_met(spark, monkeypatch):
+    """They are scored by their words; words that were not met are <unk>."""
+    monkeypatch.setattr(lm_scoring, "HOT_PAIRS", 2)
+    frame = spark.createDataFrame([(1, "a b c a b", True), (2, "c d e", False)], "doc_id int, text string, good boolean")
+    model = train(frame, frame.where("good"))
+    got = score(spark.createDataFrame([(3, "b a zebra"), (4, "")], "doc_id int, text string"), model).orderBy("doc_id").collect()
+    size, after, before = 7, {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "": 2}, {"a": 2, "b": 2, "c": 2, "": 2}
+    p = lambda x, y: BACKOFF * (after.get(y, 0) + 1) / (sum(after.values()) + size) / (before.get(x, 0) + BACKOFF)
+    assert got[0].ce_background == pytest.approx(-sum(math.log(p(*x)) for x in [("", "b"), ("b", "a"), ("a", "zebra"), ("zebra", "")]) / 4, abs=1e-6)
+    assert got[1].n_tokens == 0 and got[1].ce_background == pytest.approx(-math.log(p("", "")), abs=1e-6)
