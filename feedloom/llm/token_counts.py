@@ -25,16 +25,25 @@ _CACHE = 400_000
 
 
 class PreTokens(dict):
-    """Token counts of pre-tokens: the pattern's matches, which no token crosses."""
+    """Token counts of pre-tokens: added tokens, and the pattern's matches between them, which no token crosses."""
 
     def __init__(self, path: str):
         import public_tokenizers
         import regex
 
-        from .packing import byte_bpe
+        from .packing import added_tokens, encode_whole
 
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.encode = byte_bpe(path).encode_ordinary
+        added = sorted(added_tokens(path), key=len, reverse=True)
+        self.find = regex.compile(public_tokenizers.PATTERN).findall
+        self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        #: Whether an added token begins where a match ends shows so many characters later.
+        self.lookahead = LOOKAHEAD + max(map(len, added), default=0)
+        self.encode = encode_whole(path)
+
+    def split(self, text: str) -> list[str]:
+        if self.added is None or not self.added.search(text):
+            return self.find(text)
+        return [p for k, part in enumerate(self.added.split(text)) for p in ([part] if k % 2 else self.find(part))]
 
     def __missing__(self, piece: str) -> int:
         if len(self) > _CACHE:
@@ -108,7 +117,7 @@ class CountTree:
         n_deleted = min(max(n_deleted, 0), self.n_chars - position)
         if not n_deleted and not inserted:
             return
-        first, i, start = self._find(max(0, position - LOOKAHEAD))
+        first, i, start = self._find(max(0, position - self.counts.lookahead))
         shift = len(inserted) - n_deleted
         old: list[str] = []  # pre-tokens from the first that may change
         end, leaf, j, ahead = start, first, i, WINDOW
@@ -129,7 +138,7 @@ class CountTree:
             p, agree = start, None
             for k, piece in enumerate(new):
                 p += len(piece)
-                if not last and p > end + shift - LOOKAHEAD:
+                if not last and p > end + shift - self.counts.lookahead:
                     break
                 if p >= position + len(inserted) and p - shift in bounds:
                     agree = k + 1, bounds[p - shift]

@@ -80,3 +80,12 @@ def test_ids_are_the_librarys(library):
     encode = byte_bpe(PATH).encode_ordinary
     for text in ["", " ", "a  b\n\n c", "don't I'LL", "x" * 3000, "<|endoftext|> a", "日本語 é́ \U0001f600", "\t    z", "1234567 !!??", "ab" * 900]:
         assert encode(text) == library(text)
+
+
+def test_added_tokens_in_texts(spark):
+    """Ids are those of the library in its default setting, which finds added tokens in texts."""
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = {k: t for k, t in enumerate(["<|endoftext|>", "a <|endoftext|> b", "don't<|endoftext|>'s  <|endoftext|>\n\nx", "x <|endoftext|"])}
+    rows = pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), PATH).collect()
+    got = {r.doc_id: np.frombuffer(bytes(r.token_ids), "<u4").tolist() for r in rows}
+    assert got == {k: tokenizer.encode(t, add_special_tokens=False).ids + [0] for k, t in texts.items()}

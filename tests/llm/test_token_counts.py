@@ -77,3 +77,19 @@ def test_awkward_rows(spark):
     for r in count_edited(frame, holes, PATH).collect():
         assert r.n_edits == 2 and r.n_tokens_edited == count("x " + (r.text or ""))
     assert count_edited(empty(spark), F.lit(None).cast(EDIT), PATH).count() == 0
+
+
+def test_added_tokens_in_edited_texts():
+    """Edits make, break and move the strings of added tokens; counts are the library's in its default setting."""
+    counts, rnd, tokenizer = pre_tokens(PATH), random.Random(5), Tokenizer.from_file(PATH)
+    parts = ["<|endoftext|>", "<|endof", "text|>", "<|", "|>", "endoftext", " ", "  ", "'", "s", "a", " the", "\n"]
+    made = lambda *sizes: "".join(rnd.choice(parts) for _ in range(rnd.choice(sizes)))
+    for _ in range(1000):
+        text = made(0, 1, 3, 10, 60, 300)
+        tree = CountTree(text, counts)
+        for _ in range(rnd.randrange(1, 6)):
+            edit = (rnd.randrange(len(text) + 1), rnd.choice([0, 0, 1, 2, 5, 13, 80]), made(0, 1, 2, 5))
+            tree.edit(*edit)
+            text = apply(text, [edit])
+            assert tree.text() == text and [p for leaf in tree.leaves for p in leaf] == counts.split(text)
+            assert tree.n_tokens == len(tokenizer.encode(text, add_special_tokens=False).ids)
