@@ -26,10 +26,13 @@ def session(df: DataFrame) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session has none (local tests) is a temporary one made.
+    Only a local session (tests) that has none gets a temporary one; on a
+    cluster each executor would write to its own disk, which is an error.
     """
     held = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_feedloom_dir", None)
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         held = "file://" + tempfile.mkdtemp(prefix="feedloom-")
         spark._feedloom_dir = held
     return held.rstrip("/")
@@ -81,3 +84,15 @@ def most_frequent(counts: DataFrame, key: str, n: str, k: int) -> DataFrame:
         if above >= k:
             break
     return counts.where(level >= lowest).orderBy(F.desc(n), key).limit(k)
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, by: str, total: int, part: float = 0.001) -> DataFrame:
+    """``rows`` with the one row of ``facts`` that has their key ``by``.
+
+    ``facts`` says in ``n`` how many rows have the key. The facts of keys that
+    more than ``part`` of all ``total`` rows have, fewer than 1 / ``part`` of
+    them, are broadcast, so that no task gets all rows of such a key.
+    """
+    hot = facts.where(F.col("n") > total * part).drop("n")
+    cold = rows.join(F.broadcast(hot.select(by)), by, "left_anti").join(facts.where(F.col("n") <= total * part).drop("n"), by)
+    return cold.unionByName(rows.join(F.broadcast(hot), by))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import session, table, text_of, written
+from .common import join_hot, session, table, text_of, written
 from .components import components
 
 #: Registers: BANDS x BAND_ROWS of them, each the least of an exponential
@@ -19,6 +20,9 @@ from .components import components
 BANDS, BAND_ROWS, BASE = 25, 5, 1.02
 REGISTERS = BANDS * BAND_ROWS
 _SHIFT, _BITS = 250, 11  # registers lie in 0 to 2^11 - 1
+#: In so many rounds at most components of one bucket are compared with so many
+#: documents of its largest each; what stays apart then goes through the prefix filter.
+ROUNDS, TRIES = 3, 4
 #: A pair is left out before the exact check only if its registers are e^20
 #: times less likely at the threshold, or above, than at their best.
 UNLIKELY = 20.0
@@ -31,14 +35,19 @@ _ADDENDS = _rng.integers(0, 2**32, REGISTERS, dtype=np.uint32).reshape(-1, 1)
 
 
 class _WordHashes(dict):
+    def __init__(self, seed: int):
+        self.seed = seed
+
     def __missing__(self, word: bytes) -> int:
         if len(self) > _WORDS_KEPT:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
         return h
 
 
-_hashes = _WordHashes()
+@lru_cache(maxsize=2)
+def _hashes(seed: int) -> _WordHashes:
+    return _WordHashes(seed)
 
 
 def words(text: str) -> list[bytes]:
@@ -53,12 +62,12 @@ def shingle_set(text: str, k: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(w[i:] for i in range(k))))
 
 
-def shingle_hashes(text: str, k: int) -> np.ndarray:
+def shingle_hashes(text: str, k: int, seed: int = 0) -> np.ndarray:
     """The set's 64-bit hashes, sorted."""
     w = words(text)
     if not w:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+    h = np.fromiter(map(_hashes(seed).__getitem__, w), np.uint64, len(w))
     n = max(1, len(w) - k + 1)
     with np.errstate(over="ignore"):
         x = np.full(n, len(w) if len(w) < k else k, np.uint64)
@@ -110,14 +119,14 @@ def likely(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndar
     return (most.ravel() >= threshold - 1e-9) & (enough >= ll.max(axis=1) - UNLIKELY)
 
 
-def _sketch(k: int):
+def _sketch(k: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
                 n, h1, h2, regs, band = [], [], [], [], []
-                for text in b.column(1).to_pylist():
-                    x = shingle_hashes(text, k)
+                for text in b.column(3).to_pylist():
+                    x = shingle_hashes(text, k, seed)
                     d = xxhash.xxh3_128_digest(x.tobytes())
                     r = registers(x)
                     n.append(len(x))
@@ -126,13 +135,21 @@ def _sketch(k: int):
                     regs.append(r.tobytes())
                     band.append(bands(r))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(regs, pa.binary()), pa.array(band, pa.list_(pa.int64()))],
-                    names=["doc", "n", "h1", "h2", "regs", "bands"],
+                    [*b.columns[:3], pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(regs, pa.binary()), pa.array(band, pa.list_(pa.int64()))],
+                    names=["doc", "t1", "t2", "n", "h1", "h2", "regs", "bands"],
                 )
 
     return run
 
 
+def _sizes(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(shingle_hashes(t, k)) for t in b.column(0).to_pylist()], pa.int64())], names=["n"])
+
+    return run
+
+
 def _keep_likely(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,70 +199,108 @@ def _confirm(k: int, percent: int):
 
 
 class _Search:
-    """The documents' sketches, sets and texts, and the links found so far."""
+    """The sketches, sets and texts of documents, and the links found so far.
+
+    Rows are told apart by their key and two hashes of their text (``t1``,
+    ``t2``), so that rows of one key may have different texts. Rows with one and
+    the same set of shingles are one node, ``rep``.
+    """
 
     def __init__(self, df: DataFrame, key: str, text: str, k: int, percent: int):
         self.k, self.percent = k, percent
-        docs = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc"), text_of(text).alias("text"))
-        self.sketches = written(docs.mapInArrow(_sketch(k), "doc long, n long, h1 long, h2 long, regs binary, bands array<long>"), "sketches")
-        # Documents with one and the same set are one node, named by the smallest.
-        equal = self.sketches.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc", "n", "regs", "bands")).alias("s"))
-        self.sets = written(equal.select("h1", "h2", F.col("s.doc").alias("rep"), "s.n", "s.regs", "s.bands"), "sets")
+        self.docs = with_text_hashes(df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc"), text_of(text).alias("text")), "text")
+        self.of = df.sparkSession.createDataFrame([], "node long, component long")  # components of nodes with links
         # Two different sets are similar enough only if they are large enough.
-        least = next(n for n in range(1, 10_000) if 100 * n >= percent * (n + 1))
-        entries = self.sets.where(F.col("n") >= least).select("rep", "n", F.explode("bands").alias("band"))
+        self.least = next(n for n in range(1, 10_000) if 100 * n >= percent * (n + 1))
+        seed = 0
+        while not self._read(seed):
+            seed += 1
+
+    def _read(self, seed: int) -> bool:
+        """Sketches, sets, buckets and texts; False if two sets share a digest under this seed (not seen yet)."""
+        docs, k = self.docs, self.k
+        sketched = docs.select("doc", "t1", "t2", "text").mapInArrow(_sketch(k, seed), "doc long, t1 long, t2 long, n long, h1 long, h2 long, regs binary, bands array<long>")
+        self.sketches = written(sketched, "sketches")
+        equal = self.sketches.where("n > 0").groupBy("h1", "h2").agg(
+            F.min(F.struct("doc", "t1", "t2", "n", "regs", "bands")).alias("s"), *[f(t).alias(f.__name__ + t) for f in (F.min, F.max) for t in ("t1", "t2")]
+        )
+        several = (F.col("mint1") < F.col("maxt1")) | (F.col("mint2") < F.col("maxt2"))
+        self.sets = written(equal.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "s.*", several.alias("several")), "sets")
+        entries = self.sets.where(F.col("n") >= self.least).select("rep", "n", F.explode("bands").alias("band"))
         buckets = written(entries.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-        # Joins on a bucket, a document or a shingle that very many rows share
-        # are split by the adaptive skew join; small sides Spark broadcasts by
-        # their written size.
+        # Joins on a bucket or a shingle that very many rows share are split by
+        # the adaptive skew join; small sides Spark broadcasts by their written size.
         self.members = written(entries.join(buckets.drop("size"), "band"), "members")
-        involved = self.members.select(F.col("rep").alias("doc")).distinct()
-        # A key that comes with several texts is compared by the largest.
-        self.texts = written(docs.join(involved, "doc", "left_semi").groupBy("doc").agg(F.max("text").alias("text")), "texts")
-        self.links: DataFrame | None = None
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        rows = ["doc", "t1", "t2"]
+        involved = self.sets.join(self.members.select("rep").distinct(), "rep", "left_semi").select("rep", *rows)
+        # Texts of one set, where they differ, each with a node of its own below 0.
+        twins = self.sketches.select("h1", "h2", *rows).join(self.sets.where("several").select("h1", "h2", "rep", F.col("t1").alias("r1"), F.col("t2").alias("r2")), ["h1", "h2"])
+        twins = twins.where("t1 <> r1 OR t2 <> r2").groupBy("rep", "t1", "t2").agg(F.min("doc").alias("doc"))
+        twins = written(twins.select("rep", (-1 - F.monotonically_increasing_id()).alias("twin"), *rows), "twins")
+        heads = self.sets.where("several").select("rep", *rows)
+        wanted = written(involved.unionByName(heads).distinct().unionByName(twins.select(F.col("twin").alias("rep"), *rows)), "wanted")
+        found = written(docs.join(wanted, rows).select("rep", "text"), "wanted-texts")
+        self.texts = written(found.distinct(), "texts")
+        n = twins.count()
+        return not n or self._confirmed(twins.select(F.col("rep").alias("a"), F.col("twin").alias("b")), 100).count() == n
+
+    def _confirmed(self, pairs: DataFrame, percent: int) -> DataFrame:
         """Those of the pairs (a, b) whose whole sets are similar enough."""
+        # A document with very many partners is sent once to each chunk of them.
+        kept = written(pairs.repartition("a", "b").withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), 33)), "pairs")
+        sent = kept.select("a", "chunk", F.col("a").alias("rep"), F.lit(None).cast("long").alias("b")).distinct().unionByName(kept.select("a", "chunk", F.col("b").alias("rep"), "b"))
+        rows = sent.join(self.texts, "rep").select("a", "chunk", "b", "text")
+        sorted_ = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+        return written(sorted_.mapInArrow(_confirm(self.k, percent), "a long, b long"), "links")
+
+    def link(self, pairs: DataFrame) -> int:
+        """Joins the components of those pairs (a, b) that are links; their number. Very frequent documents stand in ``a``."""
+        pairs = written(pairs, "candidates")
         sizes = self.sets.select("rep", "n", "regs")
         side = lambda s: sizes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "regs_a", "n_b", "regs_b")
+        of_a = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(side("a"), "a")
+        both = join_hot(pairs, of_a, "a", pairs.count()).join(side("b"), "b").select("a", "b", "n_a", "regs_a", "n_b", "regs_b")
         both = both.where((F.col("n_a") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n_a") * self.percent))
-        kept = both.mapInArrow(_keep_likely(self.percent / 100), "a long, b long").repartition("a", "b")
-        # A document with very many partners is sent once to each chunk of them.
-        kept = written(kept.withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), 33)), "pairs")
-        sent = kept.select("a", "chunk", F.col("a").alias("doc"), F.lit(None).cast("long").alias("b")).distinct().unionByName(kept.select("a", "chunk", F.col("b").alias("doc"), "b"))
-        rows = sent.join(self.texts, "doc").select("a", "chunk", "b", "text")
-        sorted_ = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-        return sorted_.mapInArrow(_confirm(self.k, self.percent), "a long, b long")
-
-    def add(self, pairs: DataFrame) -> int:
-        """Confirms the pairs; the number of new links."""
-        new = written(self.confirmed(pairs), "links")
-        self.links = new if self.links is None else self.links.unionByName(new)
-        return new.count()
-
-    def placed(self) -> DataFrame:
-        """Members of buckets that hold several components, with their component and the bucket's largest (``main``)."""
-        rows = self.members.withColumn("component", F.col("rep"))
-        if self.links is not None:
-            rows = self.members.join(components(self.links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        rows = written(rows.select("band", "rep", "n", "component"), "placed")
-        return _mixed(rows, "band")
+        new = self._confirmed(both.mapInArrow(_keep_likely(self.percent / 100), "a long, b long"), self.percent)
+        found = new.count()
+        if found:
+            self.merge(new)
+        return found
+
+    def merge(self, links: DataFrame) -> None:
+        """Adds links between nodes: the components that they join become one."""
+        for end in ("a", "b"):
+            links = links.join(self.of.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+        step = written(components(links), "step")
+        fresh = step.join(self.of, "node", "left_anti")
+        moved = self.of.join(step.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
+        self.of = written(moved.select("node", F.coalesce("into", "component").alias("component")).unionByName(fresh), "components")
+
+    def placed(self, rows: DataFrame, compared: bool) -> DataFrame:
+        """Those ``rows`` of buckets that hold several components, with component and the bucket's largest one (``main``).
+
+        After a bucket's components have been ``compared``, one with two
+        documents has nothing left to compare.
+        """
+        rows = rows.select("band", "rep", "n").join(self.of.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        return written(_mixed(written(rows, "placed"), "band", 3 if compared else 2), "mixed")
 
     def run(self) -> None:
         # First each document with the one document that heads most of its buckets.
         heads = self.members.where("hub < rep").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("times"))
         best = heads.groupBy("rep").agg(F.max(F.struct("times", (-F.col("hub")).alias("hub"))).alias("s"))
-        self.add(best.select((-F.col("s.hub")).alias("a"), F.col("rep").alias("b")))
-        # Then, in each bucket, one document of every component with one of the largest.
-        heads = self.placed().groupBy("band", "main", "component").agg(F.min("rep").alias("rep"))
-        heads = written(heads, "heads")
-        tops = heads.where("component = main").select("band", F.col("rep").alias("top"))
-        others = heads.where("component <> main").select("band", "rep")
-        self.add(others.join(tops, "band").select(F.least("top", "rep").alias("a"), F.greatest("top", "rep").alias("b")).distinct())
-        self.add(self.rest_pairs())
-
-    def rest_pairs(self) -> DataFrame:
+        self.link(best.select((-F.col("s.hub")).alias("a"), F.col("rep").alias("b")))
+        # Then, in each bucket, one document of every component with some of the
+        # largest, others in each round, until a round joins nothing.
+        rows = self.placed(self.members, False)
+        for round_ in range(ROUNDS):
+            found = self.link(_tries(rows, round_))
+            rows = self.placed(rows, True)
+            if not found:
+                break
+        self.link(self.rest_pairs(rows))
+
+    def rest_pairs(self, rows: DataFrame) -> DataFrame:
         """All pairs that can still be links between components.
 
         Looked at are the documents of buckets that hold several. An overlap
@@ -257,8 +312,8 @@ class _Search:
         shingles of their own, and give no pairs.
         """
         t = self.percent
-        apart = self.placed().groupBy("rep").agg(F.first("n").alias("n"), F.first("component").alias("component"))
-        texts = self.texts.join(apart, F.col("doc") == F.col("rep")).select("rep", "n", "component", "text")
+        apart = rows.groupBy("rep").agg(F.first("n").alias("n"), F.first("component").alias("component"))
+        texts = self.texts.join(apart, "rep").select("rep", "n", "component", "text")
         each = written(texts.mapInArrow(_shingles(self.k), "rep long, n long, component long, shingle long"), "shingles")
         often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
         shared = each.join(written(often, "shingle-counts"), "shingle")
@@ -266,21 +321,53 @@ class _Search:
         # ``left``: shingles from this one on, in order; those of its own come first.
         left = F.count(F.lit(1)).over(of_set) - F.row_number().over(of_set.orderBy("times", "shingle")) + 1
         rarest = shared.withColumn("left", left).where(F.col("left") * 100 >= F.col("n") * t)
-        rarest = written(_mixed(written(rarest.select("shingle", "rep", "n", "component", "left"), "rarest"), "shingle"), "rarest-mixed")
+        rarest = written(_mixed(written(rarest.select("shingle", "rep", "n", "component", "left"), "rarest"), "shingle", 2), "rarest-mixed")
         x, y = rarest.where("component <> main").alias("x"), rarest.alias("y")
         near = (F.col("x.n") * 100 >= F.col("y.n") * t) & (F.col("y.n") * 100 >= F.col("x.n") * t)
         enough = F.least("x.left", "y.left") * (100 + t) >= (F.col("x.n") + F.col("y.n")) * t
         # Neither pairs inside a component, nor a pair of outsiders twice.
         once = (F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
         pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & near & enough & once)
-        return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+        return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+    def rows(self) -> DataFrame:
+        """(doc, t1, t2, n, component) of every row: the component is that of its set (null without shingles)."""
+        sets = self.sets.select("h1", "h2", "rep").join(self.of.withColumnRenamed("node", "rep"), "rep", "left")
+        sets = written(sets.select("h1", "h2", F.coalesce("component", "rep").alias("component")), "set-components")
+        return self.sketches.select("doc", "t1", "t2", "n", "h1", "h2").join(sets, ["h1", "h2"], "left").drop("h1", "h2")
+
+
+def with_text_hashes(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``t1`` and ``t2``, two hashes of the text: rows of one key with other texts are other rows."""
+    return df.withColumn("t1", F.xxhash64(text_of(text))).withColumn("t2", F.xxhash64(F.lit(1), text_of(text)))
 
 
-def _mixed(rows: DataFrame, by: str) -> DataFrame:
-    """The rows of groups that hold several components, with the group's largest component as ``main``."""
+def _mixed(rows: DataFrame, by: str, least: int) -> DataFrame:
+    """The rows of groups that hold several components and ``least`` rows, with the group's largest component as ``main``."""
     counts = rows.groupBy(by, "component").agg(F.count(F.lit(1)).alias("times"))
-    mixed = counts.groupBy(by).agg(F.max(F.struct("times", "component")).alias("s"), F.count(F.lit(1)).alias("several")).where("several > 1")
-    return rows.join(written(mixed.select(by, F.col("s.component").alias("main")), "mixed"), by)
+    mixed = counts.groupBy(by).agg(F.max(F.struct("times", "component")).alias("s"), F.count(F.lit(1)).alias("several"), F.sum("times").alias("size"))
+    return rows.join(written(mixed.where((F.col("several") > 1) & (F.col("size") >= least)).select(by, F.col("s.component").alias("main")), "mains"), by)
+
+
+def _tries(rows: DataFrame, round_: int) -> DataFrame:
+    """(a, b): in each bucket one document of every component (b) with TRIES documents of the largest (a).
+
+    They are drawn as the largest numbers after a change of bits, another one in each round.
+    """
+    masks = [F.lit(xxhash.xxh3_64_intdigest(f"{round_} {k}") >> 1) for k in range(TRIES)]
+    drawn = lambda m: F.max(F.col("rep").bitwiseXOR(m)).bitwiseXOR(m)
+    tops = rows.where("component = main").groupBy("band").agg(*[drawn(m).alias(f"top{k}") for k, m in enumerate(masks)])
+    tops = tops.select("band", F.explode(F.array_distinct(F.array(*[f"top{k}" for k in range(TRIES)]))).alias("a"))
+    others = rows.where("component <> main").groupBy("band", "component").agg(drawn(masks[0]).alias("b"))
+    return others.join(tops, "band").select("a", "b").distinct()
+
+
+def _links_of_keys(rows: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the components of keys that have rows in several, or None."""
+    several = written(rows.groupBy("doc").agg(F.min("component").alias("a"), F.max("component").alias("last")).where("a < last"), "several")
+    if not several.limit(1).count():
+        return None
+    return rows.join(several.select("doc", "a"), "doc").select("a", F.col("component").alias("b")).where("a <> b").distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -290,25 +377,54 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     the one sequence). Candidates share a band of SetSketch registers; a link
     that just meets the threshold is missed with a chance of (1 - 0.85^5)^25 =
     4e-7. Pairs are weighed by the registers' joint likelihood, then confirmed
-    on whole sets of words. No bucket gives all its pairs: documents are first
-    compared with one other; those that stay apart, through their rarest shingles.
+    on whole sets of words, as are different texts whose sets have one digest.
+    No bucket gives all its pairs: documents are first compared with one other,
+    then components with some documents of the bucket's largest; those that
+    stay apart, through their rarest shingles.
 
-    ``component_id`` is the smallest key reachable by links; that row is
+    ``component_id`` is the smallest key reachable by links; its rows are
     ``kept``. Null and empty texts have no shingles and no links. Rows with a
-    null key take no part: their component is null and they are kept. Rows with
-    one key are one node. An empty table gives no rows; other columns are not
-    looked at.
+    null key take no part: their sets have a size, their component is null and
+    they are kept. Rows with one key are one node, whose links are those of all
+    its texts. An empty table gives no rows; other columns are not looked at.
+    """
+    session(df)
+    search = _Search(df, key, text, k, percent)
+    search.run()
+    rows = written(search.rows(), "row-components")
+    links = _links_of_keys(rows)
+    if links is not None:
+        joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("into"))
+        rows = rows.join(written(joined, "key-components"), "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into")
+        # A key's rows without shingles go with its others.
+        own = rows.groupBy("doc").agg(F.max("component").alias("own"), F.min(F.coalesce("component", F.lit(-1))).alias("none")).where("own >= 0 AND none < 0").select("doc", "own")
+        rows = rows.join(written(own, "keys-with-empty-rows"), "doc", "left").withColumn("component", F.coalesce("component", "own")).drop("own")
+    first = written(rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc").alias("first")), "first-keys")
+    named = rows.join(first, "component", "left")
+    component: Column = F.coalesce("first", "doc")
+    out = named.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc") == component).alias("kept"))
+    void = df.where(F.col(f"`{key}`").isNull()).select(text_of(text).alias("text")).mapInArrow(_sizes(k), "n long")
+    return out.unionByName(void.select(F.lit(None).cast("long").alias(key), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
+
+
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` without near-duplicates of a row with a smaller key: links are those of ``near_duplicates``.
+
+    A row is known by its key and its text. Of rows that links join, the one
+    with the smallest key stays (of one key's texts, the one whose hash is
+    smallest); rows with the same key and text stay together. Rows without
+    shingles and rows with a null key stay. An empty table gives no rows.
     """
     session(df)
     search = _Search(df, key, text, k, percent)
     search.run()
-    of = components(search.links).withColumnRenamed("node", "rep")
-    sets = written(search.sets.select("h1", "h2", "rep").join(of, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")), "set-components")
-    rows = search.sketches.select("doc", "n", "h1", "h2").join(sets, ["h1", "h2"], "left")
-    component: Column = F.coalesce("component", "doc")
-    out = rows.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc") == component).alias("kept"))
-    void = df.where(F.col(f"`{key}`").isNull()).select(F.col(f"`{key}`").cast("long").alias(key), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    return out.unionByName(void)
+    rows = written(search.rows().where("component IS NOT NULL").drop("n"), "row-components")
+    first = rows.groupBy("component").agg(F.min(F.struct("doc", "t1", "t2")).alias("f"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    named = rows.join(written(first.select("component", "f"), "first-rows"), "component")
+    gone = written(named.where("doc <> f.doc OR t1 <> f.t1 OR t2 <> f.t2").select("doc", "t1", "t2").distinct(), "gone")
+    own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)], F.col(f"`{key}`").cast("long").alias("doc"), text_of(text).alias("text"))
+    kept = with_text_hashes(own, "text").drop("text").join(gone, ["doc", "t1", "t2"], "left_anti")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
