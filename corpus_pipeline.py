@@ -39,10 +39,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at 0.8 over five-word shingles the one with the smallest id stays."""
-    found = near_dedup.near_duplicates(docs)
-    gone = found.where("NOT kept").select("doc_id")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of documents linked at 0.8 over five-word shingles the one with the smallest id stays.
+
+    Texts without words, rows with a null id, and rows that no link joins to
+    another stay, also those of an id whose other texts go.
+    """
+    return near_dedup.drop_near_duplicates(docs.select(*COLUMNS))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
