@@ -259,7 +259,10 @@ class _Search:
         sizes = self.sets.select("rep", "n", "regs")
         side = lambda s: sizes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
         of_a = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(side("a"), "a")
-        both = join_hot(pairs, of_a, "a", pairs.count()).join(side("b"), "b").select("a", "b", "n_a", "regs_a", "n_b", "regs_b")
+        total = pairs.count()
+        if not total:
+            return 0
+        both = join_hot(pairs, of_a, "a", total).join(side("b"), "b").select("a", "b", "n_a", "regs_a", "n_b", "regs_b")
         both = both.where((F.col("n_a") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n_a") * self.percent))
         new = self._confirmed(both.mapInArrow(_keep_likely(self.percent / 100), "a long, b long"), self.percent)
         found = new.count()
@@ -294,11 +297,12 @@ class _Search:
         # largest, others in each round, until a round joins nothing.
         rows = self.placed(self.members, False)
         for round_ in range(ROUNDS):
-            found = self.link(_tries(rows, round_))
+            found = not rows.isEmpty() and self.link(_tries(rows, round_))
             rows = self.placed(rows, True)
             if not found:
                 break
-        self.link(self.rest_pairs(rows))
+        if not rows.isEmpty():
+            self.link(self.rest_pairs(rows))
 
     def rest_pairs(self, rows: DataFrame) -> DataFrame:
         """All pairs that can still be links between components.
@@ -346,7 +350,7 @@ def _mixed(rows: DataFrame, by: str, least: int) -> DataFrame:
     """The rows of groups that hold several components and ``least`` rows, with the group's largest component as ``main``."""
     counts = rows.groupBy(by, "component").agg(F.count(F.lit(1)).alias("times"))
     mixed = counts.groupBy(by).agg(F.max(F.struct("times", "component")).alias("s"), F.count(F.lit(1)).alias("several"), F.sum("times").alias("size"))
-    return rows.join(written(mixed.where((F.col("several") > 1) & (F.col("size") >= least)).select(by, F.col("s.component").alias("main")), "mains"), by)
+    return rows.join(mixed.where((F.col("several") > 1) & (F.col("size") >= least)).select(by, F.col("s.component").alias("main")), by)
 
 
 def _tries(rows: DataFrame, round_: int) -> DataFrame:

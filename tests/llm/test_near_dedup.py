@@ -5,7 +5,7 @@ import pytest
 
 from feedloom.llm import near_dedup
 from feedloom.llm.components import components
-from feedloom.llm.near_dedup import bands, likely, near_duplicates, op4_near_dedup, registers, shingle_hashes, shingle_set
+from feedloom.llm.near_dedup import bands, drop_near_duplicates, likely, near_duplicates, op4_near_dedup, registers, shingle_hashes, shingle_set
 
 from .cases import awkward, empty
 
@@ -71,12 +71,40 @@ def test_groups(spark):
 def test_threshold_is_met_exactly(spark):
     # 17 of 20 shingles shared is 0.85; 16 of 19 isn't.
     words = [f"w{i}" for i in range(22)]
-    rows = [(1, " ".join(words[:20])), (2, " ".join(words[:19] + ["x", "y", "z"][:0])), (3, " ".join(words)), (4, " ".join(words[:19]))]
+    rows = [(1, " ".join(words[:20])), (2, " ".join(words[:19])), (3, " ".join(words)), (4, " ".join(words[:19]).upper())]
     check(spark, rows, 3, 85)
-    check(spark, rows, 3, 80)
     check(spark, rows, 5, 80)
 
 
+def test_repeated_ids_and_equal_sets(spark):
+    """A key with two texts joins what either is like, and takes its empty rows along; texts of one set are compared."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (2, a + " x"), (2, b), (3, b + " y"), (3, ""), (4, ""), (4, None), (7, a.upper() + "  "), (8, "c d e f g c d e f g"), (9, "c d e f g c d e")]
+    check(spark, rows, 3, 85)
+    kept = drop_near_duplicates(spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, t1 int"), k=3, percent=85).collect()
+    # Rows are told apart here: of each group one row stays, and rows without shingles.
+    assert sorted(r.t1 for r in kept) == [0, 2, 4, 5, 6, 8]
+
+
+def test_sets_of_one_digest_are_told_apart(spark, monkeypatch):
+    """If two sets share a digest under one seed, the next one is taken."""
+    real = near_dedup._sketch
+    monkeypatch.setattr(near_dedup, "_sketch", lambda k, seed: _all_alike(real(k, seed)) if seed == 0 else real(k, seed))
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    check(spark, [(1, a), (2, b), (3, a + " x")], 3, 85)
+
+
+def _all_alike(sketch):
+    import pyarrow as pa
+
+    def run(batches):
+        for b in sketch(batches):
+            same = pa.array([5] * b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([same if n in ("h1", "h2") else c for n, c in zip(b.schema.names, b.columns)], names=b.schema.names)
+
+    return run
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
@@ -90,7 +118,10 @@ def test_awkward_rows(spark):
     of = {r.doc_id: r for r in got if r.doc_id is not None}
     assert of[1].component_id == of[2].component_id == 1 and of[1].kept and not of[2].kept
     assert all(of[k].component_id == k and of[k].n_shingles == 0 for k in (3, 4, 5))
-    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)] * 2
+    assert sorted((r.component_id or 0, r.kept, r.n_shingles) for r in got if r.doc_id is None) == [(0, True, 0), (0, True, 1)]
+    frame = awkward(spark)
+    kept = drop_near_duplicates(frame)
+    assert kept.columns == frame.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 4, 5, 6, 7, 8, 9]
     assert near_duplicates(empty(spark)).count() == 0
 
 
