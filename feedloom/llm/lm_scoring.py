@@ -11,24 +11,36 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import add, most_frequent, session, table, text_of, written
+from .common import most_frequent, session, table, text_of, written
+from .near_dedup import with_text_hashes
 
 #: Weight of the unigram model inside the bigram model, as that many tokens seen.
 BACKOFF = 5.0
-#: So many of the most frequent pairs are looked up in a broadcast table; all
-#: others are joined. It bounds what a task holds, not the model.
-HOT_PAIRS = 250_000
+#: Words of the shared vocabulary: those with a unigram probability of their own.
+#: All others share what is left evenly; pairs are counted for every word.
+VOCABULARY = 50_000
+#: Pairs of the so many most frequent words are counted in a table of all such
+#: pairs, which every task gets. Any other pair has a word beyond them, and so
+#: less than 1 / FREQUENT of all tokens: no key of the shuffle is hotter.
+FREQUENT = 1024
+#: Up to so many target keys are broadcast to the texts; more are shuffled with them.
+BROADCAST_KEYS = 500_000
 #: Log probabilities are whole numbers of this unit, so that sums don't depend on their order.
 UNIT = 2.0**-24
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
 _FLUSH = 300_000
-_PAIRS = 1_000_000
 _CACHE = 300_000
-_BOUNDARY, _UNKNOWN = 0, 1
+#: Stands for the start and the end of each text; no token is white space.
+_BOUNDARY = "\n"
+#: Flags in a row's number: in the target, counted, scored.
+_TARGET, _COUNTED, _SCORED = 1, 2, 4
+#: Kinds of events beside pairs: a context outside the vocabulary, and what a row brings along.
+_CONTEXT, _OF_TARGET, _OF_BACKGROUND, _PAIRS, _KEY, _T1, _T2 = range(-1, -8, -1)
 
 
 def tokens(text: str) -> list[str]:
@@ -37,208 +49,275 @@ def tokens(text: str) -> list[str]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    """(text, flags) to (word, n, n in target), with one boundary a text."""
+    held: tuple[Counter, Counter] = Counter(), Counter()
 
     def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-        held.clear()
+        words = list(held[0] | held[1])
+        of_target = [held[1][w] for w in words]
+        out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([held[0][w] + t for w, t in zip(words, of_target)], pa.int64()), pa.array(of_target, pa.int64())], names=["word", "n", "n_target"])
+        for c in held:
+            c.clear()
         return out
 
     for b in batches:
-        for text in b.column(0).to_pylist():
-            held.update(tokens(text))
-            if len(held) > _FLUSH:
+        for text, flags in zip(b.column(0), b.column(1).to_pylist()):
+            held[flags & _TARGET].update(tokens(text.as_py()))
+            held[flags & _TARGET][_BOUNDARY] += 1
+            if len(held[0]) + len(held[1]) > _FLUSH:
                 yield flush()
     yield flush()
 
 
 class Codes(dict):
-    """A 64-bit hash of each word; with ``words``, 1 (<unk>) for the others. Remembers what it has met."""
+    """Numbers of words: those of the vocabulary by frequency from 1, others a hash below 0. Remembers what it has met."""
 
-    def __init__(self, words: frozenset[str] | None):
-        self.words = words
+    def __init__(self, numbers: dict[str, int]):
+        self.numbers = numbers
 
     def __missing__(self, word: str) -> int:
-        code = _UNKNOWN if self.words is not None and word not in self.words else xxhash.xxh3_64_intdigest(word) - 2**63
+        code = self.numbers.get(word)
+        if code is None:
+            code = -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
         if len(self) > _CACHE:
             self.clear()
         self[word] = code
         return code
 
 
-def coded(text: str, codes: Codes) -> np.ndarray:
-    """Token codes between boundaries: 0 is the boundary, 1 <unk>."""
-    found = tokens(text)
-    out = np.zeros(len(found) + 2, np.int64)
-    out[1:-1] = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
-    return out
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], codes: Codes, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches of about _FLUSH tokens: (rows, first and second code of each pair, pairs a row)."""
+def _pieces(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of about _FLUSH tokens, the text being the last column: (rows, first and second code of each pair, pairs a row). 0 is the boundary."""
     for b in batches:
         first, held, size = 0, [], 0
-        for k, text in enumerate(b.column(column)):
-            held.append(coded(text.as_py(), codes))
-            size += len(held[-1])
+        for k, text in enumerate(b.column(b.num_columns - 1)):
+            found = tokens(text.as_py())
+            one = np.zeros(len(found) + 2, np.int64)
+            one[1:-1] = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
+            held.append(one)
+            size += len(one)
             if size > _FLUSH or k == b.num_rows - 1:
                 yield b.slice(first, k + 1 - first), np.concatenate([x[:-1] for x in held]), np.concatenate([x[1:] for x in held]), np.array([len(x) - 1 for x in held])
                 first, held, size = k + 1, [], 0
 
 
-def _count_pairs(held):
-    """(text, whether target) to (a, b, n, n in target), summed over a million pairs at a time."""
+def _among(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Pairs of two frequent words."""
+    return (a >= 0) & (a < size) & (b >= 0) & (b < size)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[pa.Table] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            sums = pa.concat_tables(kept).group_by(["a", "b"], use_threads=False).aggregate([("n", "sum"), ("n_target", "sum")])
-            kept.clear()
-            yield from sums.select(["a", "b", "n_sum", "n_target_sum"]).rename_columns(["a", "b", "n", "n_target"]).to_batches(max_chunksize=100_000)
+def _count_frequent(held):
+    """(flags, text) to (cell, n, n in target): pairs of frequent words, cells being numbered by row."""
 
-        for rows, a, b, n in _pieces(batches, Codes(held.value), 0):
-            kept.append(pa.table({"a": a, "b": b, "n": np.ones(len(a), np.int64), "n_target": np.repeat(rows.column(1).to_numpy().astype(np.int64), n)}))
-            if sum(t.num_rows for t in kept) > _PAIRS:
-                yield from flush()
-        if kept:
-            yield from flush()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, size = held.value
+        counts = np.zeros((2, size * size), np.int64)
+        for rows, a, b, n in _pieces(batches, Codes(numbers)):
+            of_target = np.repeat(rows.column(0).to_numpy() & _TARGET, n)
+            fits = _among(a, b, size)
+            cells = a[fits] * size + b[fits]
+            for flag in (0, 1):
+                counts[flag] += np.bincount(cells[of_target[fits] == flag], minlength=size * size)
+        at = np.flatnonzero(counts.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.sum(axis=0)[at]), pa.array(counts[1][at])], names=["cell", "n", "n_target"])
 
     return run
 
 
 @dataclass
 class PairModel:
-    """Counts of every word and every pair of words, as tables."""
-
-    docs: DataFrame  # what it was counted from
-    words: frozenset[str] | None  # all, if None
-    pairs: DataFrame  # (a, b, n, of_target, of_background): log probabilities of b after a, in UNITs
-    before: DataFrame  # (a, before, before_target)
-    after: DataFrame  # (b, after, after_target)
-    totals: tuple[int, int]  # of background and target, with one token added for each word
+    """What the two models know before all pairs are counted. Index 0 is the background's, 1 the target's."""
+
+    rows: DataFrame  # counted from: k, t1, t2, flags, text
+    docs: DataFrame  # as given
+    key: str
+    numbers: dict[str, int]
+    single: np.ndarray  # probability of each word by number; the last is that of any word outside the vocabulary
+    before: np.ndarray  # how often each word of the vocabulary comes before another
+    frequent: np.ndarray  # log probability of each pair of frequent words, in UNITs
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-
-def _log_probability(pair: Column, after: Column, before: Column, total: int) -> Column:
-    """A bigram, backed off to the unigram, which has one token added; in whole UNITs."""
-    single = (after + 1.0) / float(total)
-    return F.round(F.log((pair + BACKOFF * single) / (before + BACKOFF)) / UNIT).cast("long")
+    @property
+    def size(self) -> int:
+        return int(self.frequent.shape[1])
 
 
-def _with_log_probabilities(pairs: DataFrame, before: DataFrame, after: DataFrame, totals: tuple[int, int]) -> DataFrame:
-    none = lambda c: F.coalesce(c, F.lit(0))
-    joined = pairs.join(before, "a", "left").join(after, "b", "left")
-    return joined.select(
-        "a", "b", "n",
-        _log_probability(F.col("n_target"), none("after_target"), none("before_target"), totals[1]).alias("of_target"),
-        _log_probability(F.col("n"), none("after"), none("before"), totals[0]).alias("of_background"),
-    )
+def _rows(df: DataFrame, key: str, text: str, flags: Column) -> DataFrame:
+    own = df.select(F.col(f"`{key}`").cast("long").alias("k"), text_of(text).alias("text"))
+    return with_text_hashes(own, "text").select("k", "t1", "t2", flags.cast("int").alias("flags"), "text")
 
 
-def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int | None = None) -> PairModel:
+def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, frequent: int = FREQUENT) -> PairModel:
     """Both models, counted over every row: the background over all, the target over those whose key ``target`` holds.
 
-    They are matched: one vocabulary (all words; or, if ``vocabulary`` is given,
-    the so many most frequent of all rows, ties in order of the word), one
-    order, one smoothing. Counts are summed in each task, then over all by
-    pair; the tables stay distributed and grow with the corpus. Words are told
-    apart by hashes of 64 bits.
+    They are matched: one vocabulary (the most frequent words of all rows, ties
+    in order of the word), one order, one smoothing. The driver gets the
+    vocabulary's counts and the pairs of ``frequent`` words, bounded at any
+    size; all other pairs, of all words, are counted when texts are scored, in
+    the executors, and grow with the corpus.
     """
     spark = session(df)
-    rows = df.select(F.col(f"`{key}`").cast("long").alias("k"), text_of(text).alias("text"))
-    words = None
-    if vocabulary is not None:
-        by_word = rows.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).persist()
-        words = frozenset(r[0] for r in most_frequent(by_word, "word", "n", vocabulary).collect())
-        by_word.unpersist()
-    held = spark.sparkContext.broadcast(words)
-    # The keys grow with the corpus: they are shuffled at any size.
-    of_target = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("target", F.lit(1))
-    marked = rows.join(of_target.hint("merge"), "k", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
-    counted = marked.mapInArrow(_count_pairs(held), "a long, b long, n long, n_target long")
-    pairs = written(counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "pairs")
-    before = written(pairs.groupBy("a").agg(F.sum("n").alias("before"), F.sum("n_target").alias("before_target")), "before")
-    after = written(pairs.groupBy("b").agg(F.sum("n").alias("after"), F.sum("n_target").alias("after_target")), "after")
-    of_words = F.count(F.when(~F.col("b").isin(_BOUNDARY, _UNKNOWN), 1))
-    n_words, *n = after.agg(of_words, F.coalesce(F.sum("after"), F.lit(0)), F.coalesce(F.sum("after_target"), F.lit(0))).first()
-    totals = (n[0] + n_words + 2, n[1] + n_words + 2)
-    made = written(_with_log_probabilities(pairs, before, after, totals), "log-probabilities")
-    return PairModel(df, words, made, before, after, totals)
+    keys = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("of_target", F.lit(_TARGET))
+    rows = _rows(df, key, text, F.lit(_COUNTED))
+    few = target.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    rows = rows.join(F.broadcast(keys) if few else keys.hint("merge"), "k", "left").select("k", "t1", "t2", (F.col("flags") + F.coalesce("of_target", F.lit(0))).alias("flags"), "text")
+
+    counted = rows.select("text", "flags").mapInArrow(_count_words, "word string, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    counted = written(counted, "words")
+    words = counted.where(F.col("word") != _BOUNDARY)
+    top = most_frequent(words, "word", "n", vocabulary).collect()
+    numbers = {r["word"]: i + 1 for i, r in enumerate(top)}
+    none = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    texts = counted.where(F.col("word") == _BOUNDARY).agg(none("n"), none("n_target")).first()
+    n_words, *totals = words.agg(F.count(F.lit(1)), none("n"), none("n_target")).first()
+    others = n_words - len(top)
+    before = np.array([[texts[m], *(r[m + 1] for r in top)] for m in (0, 1)], np.float64)
+    rest = [(totals[m] - before[m, 1:].sum()) / max(others, 1) for m in (0, 1)]
+    all_ = [totals[m] + texts[m] + n_words + 1 for m in (0, 1)]
+    single = np.array([[*((before[m] + 1) / all_[m]), (rest[m] + 1) / all_[m]] for m in (0, 1)])
+
+    size = min(frequent, len(top) + 1)
+    held = spark.sparkContext.broadcast((numbers, size))
+    cells = rows.select("flags", "text").mapInArrow(_count_frequent(held), "cell long, n long, n_target long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
+    pairs = np.zeros((2, size * size))
+    for m, c in enumerate(("n", "n_target")):
+        pairs[m, cells["cell"].to_numpy()] = cells[c].to_numpy()
+    pairs = pairs.reshape(2, size, size)
+    log = np.log((pairs + BACKOFF * single[:, None, :size]) / (before[:, :size, None] + BACKOFF))
+    return PairModel(rows, df, key, numbers, single, before, np.round(log / UNIT).astype(np.int64).reshape(2, size, size))
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a * np.int64(-7046029254386353131) + b
+    """A hash of each pair."""
+    with np.errstate(over="ignore"):
+        x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x = (x + b.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(32)
+    return x.view(np.int64)
+
 
+def _kind(kind: np.ndarray | int, times: np.ndarray | int) -> np.ndarray:
+    """Kind of an event (a word's number, or one below 0) and how often it happened, in one number."""
+    return (np.asarray(kind, np.int64) + 8 << 32) + times
 
-_SUMS = ["x_n", "x_target", "x_background", "x_a", "x_b"]
 
+def _events(held):
+    """(k, t1, t2, flags, text) to events (key, row, kind, value).
 
-def _look_up(held):
-    """Adds to each row its number of tokens, the sums over its hot pairs, and its other pairs."""
+    Of each row: every pair with a word that isn't frequent, once, and every
+    context outside the vocabulary, by a hash; where the row is scored, also its
+    sums over all that is known already, and what it is known by.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, hot = held.value
-        order = np.argsort(_mixed(hot[0], hot[1]), kind="stable")
-        hot_a, hot_b, *values = (c[order] for c in hot)
-        mixed = _mixed(hot_a, hot_b)
-        codes = Codes(words)
-        for rows, a, b, n in _pieces(batches, codes, -1):
-            starts = np.cumsum(n) - n
-            if len(mixed):
-                at = np.minimum(np.searchsorted(mixed, _mixed(a, b)), len(mixed) - 1)
-                hit = (hot_a[at] == a) & (hot_b[at] == b)
-                sums = [np.add.reduceat(np.where(hit, v[at], 0), starts) for v in values]
-            else:
-                hit, sums = np.zeros(len(a), bool), [np.zeros(len(n), np.int64)] * 2
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(~hit, starts, dtype=np.int64))]), pa.int32())
-            others = [pa.ListArray.from_arrays(ends, pa.array(x[~hit])) for x in (a, b)]
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(n - 1), *map(pa.array, sums), *others], names=[*rows.schema.names[:-1], *_SUMS])
+        numbers, before, frequent, whole = held.value
+        size, n_vocabulary = frequent.shape[1], before.shape[1]
+        contexts = -np.round(np.log(before + BACKOFF) / UNIT).astype(np.int64)
+        part, seen = TaskContext.get().partitionId(), 0
+        for rows, a, b, n in _pieces(batches, Codes(numbers)):
+            flags = rows.column(3).to_numpy().astype(np.int64)
+            ids = ((np.int64(part) << 33) + seen + np.arange(rows.num_rows) << 3) + flags
+            seen += rows.num_rows
+            of = np.repeat(np.arange(rows.num_rows), n)
+            fits = _among(a, b, size)
+            known = ~fits & (a >= 0)
+            # Pairs to be counted, and contexts, each once for each row.
+            keys = np.concatenate([_mixed(a[~fits], b[~fits]), _mixed(a[a < 0], ~a[a < 0])])
+            kinds = np.concatenate([np.where(b[~fits] < 0, n_vocabulary, b[~fits]), np.full((a < 0).sum(), _CONTEXT)])
+            rs = np.concatenate([of[~fits], of[a < 0]])
+            order = np.lexsort((kinds, keys, rs))
+            keys, kinds, rs = keys[order], kinds[order], rs[order]
+            new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rs[1:] != rs[:-1]) | (kinds[1:] != kinds[:-1])])) if len(keys) else np.empty(0, np.int64)
+            times = np.diff(np.append(new, len(keys)))
+            columns = [[keys[new]], [ids[rs[new]]], [_kind(kinds[new], times)], [pa.array(np.zeros(len(new), np.int64))]]
+            scored = np.flatnonzero(flags & _SCORED)
+            if len(scored):
+                brought = []
+                for m, kind in ((1, _OF_TARGET), (0, _OF_BACKGROUND)):
+                    one = np.zeros(len(a), np.int64)
+                    one[fits] = frequent[m, a[fits], b[fits]]
+                    one[known] = contexts[m, a[known]]
+                    brought.append((kind, pa.array(np.add.reduceat(one, np.cumsum(n) - n)[scored])))
+                brought += [(_PAIRS, pa.array(n[scored])), (_KEY, rows.column(0).take(pa.array(scored)))]
+                brought += [(k, rows.column(c).take(pa.array(scored))) for k, c in ((_T1, 1), (_T2, 2)) if whole]
+                for kind, values in brought:
+                    columns[0].append(_mixed(ids[scored], ~ids[scored]))
+                    columns[1].append(ids[scored])
+                    columns[2].append(np.full(len(scored), _kind(kind, 1)))
+                    columns[3].append(values)
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in columns[:3]], pa.concat_arrays(columns[3])], names=["key", "row", "kind", "value"])
 
     return run
 
 
-def score(df: DataFrame, model: PairModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Every row of ``df`` (or its columns ``keep``) with ``n_tokens``, ``ce_target``, ``ce_background`` and ``ce_difference``.
+def _scores(rows: DataFrame, model: PairModel, whole: bool) -> DataFrame:
+    """(k, [t1, t2,] n_tokens, ce_target, ce_background) of each scored row."""
+    spark = rows.sparkSession
+    held = spark.sparkContext.broadcast((model.numbers, model.before, model.frequent, whole))
+    events = rows.mapInArrow(_events(held), "key long, row long, kind long, value long")
+    flag = lambda f: F.col("row").bitwiseAND(F.lit(f)) == f
+    times = F.col("kind").bitwiseAND(F.lit(2**32 - 1))
+    by_key = Window.partitionBy("key")
+    count = lambda f: F.sum(F.when(flag(f), times).otherwise(0)).over(by_key)
+    counted = events.select("row", "value", (F.shiftright("kind", 32) - 8).alias("v"), times.alias("times"), count(_COUNTED).alias("n"), count(_COUNTED + _TARGET).alias("n_target"))
+    single = spark.createDataFrame(pa.table({"v": np.arange(model.single.shape[1]), "p": model.single[0], "p_target": model.single[1]}))
+    joined = counted.where(flag(_SCORED)).join(F.broadcast(single), "v", "left")
+    units = lambda x: F.round(F.log(x) / UNIT).cast("long") * F.col("times")
+
+    def loss(n: str, p: str, brought: int) -> Column:
+        return F.sum(F.when(F.col("v") >= 0, units(F.col(n) + BACKOFF * F.col(p))).when(F.col("v") == _CONTEXT, -units(F.col(n) + BACKOFF)).when(F.col("v") == brought, F.col("value")))
+
+    of = lambda kind: F.max(F.when(F.col("v") == kind, F.col("value")))
+    known_by = [("k", _KEY), *([("t1", _T1), ("t2", _T2)] if whole else [])]
+    sums = joined.groupBy("row").agg(loss("n_target", "p_target", _OF_TARGET).alias("t"), loss("n", "p", _OF_BACKGROUND).alias("b"), of(_PAIRS).alias("pairs"), *[of(kind).alias(c) for c, kind in known_by])
+    entropy = lambda c: -F.col(c) * F.lit(UNIT) / F.col("pairs")
+    return sums.select(*[c for c, _ in known_by], (F.col("pairs") - 1).alias("n_tokens"), entropy("t").alias("ce_target"), entropy("b").alias("ce_background"))
+
+
+def score_keys(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame:
+    """(key, ``n_tokens``, ``ce_target``, ``ce_background``, ``ce_difference``) of every row of ``df``.
 
     Cross-entropies are nats a token, the end of the text counted as one; the
     difference is target less background: the lower, the more the text is like
-    the target and unlike the corpus. Pairs that the model has not met are
-    scored by their words.
+    the target and unlike the corpus. A pair of words has the probability
+    (n(a, b) + BACKOFF p(b)) / (n(a) + BACKOFF).
 
-    The HOT_PAIRS most frequent pairs are looked up where the text is read; all
-    others are joined to the model's table and summed by row.
+    All pairs but those of two frequent words are brought together once by a
+    hash of the pair, where the models' texts and the scored ones meet: there
+    they are counted, and each text gets its share back, summed in the task.
 
     A null or empty text is the boundary alone (0 tokens); very long texts are
-    scored whole; repeated rows get the same score; input columns named like a
-    result are replaced; an empty table gives no rows.
+    scored whole; repeated rows get the same score; an empty table gives no rows.
     """
-    spark = session(df)
-    columns = ["a", "b", "of_target", "of_background"]
-    hot = most_frequent(model.pairs, "a", "n", HOT_PAIRS).select(columns).toArrow()
-    held = spark.sparkContext.broadcast((model.words, [hot[c].to_numpy() for c in columns]))
-    own = ("n_tokens", "ce_target", "ce_background", "ce_difference")
-    kept = add(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("x_text")) if keep else df, {"x_row": F.monotonically_increasing_id(), "x_text": text_of("x_text" if keep else text)}).drop(*own, *_SUMS)
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    seen = written(kept.mapInArrow(_look_up(held), f"{schema}, x_n long, x_target long, x_background long, x_a array<long>, x_b array<long>"), "scored")
-
-    others = seen.select("x_row", F.explode(F.arrays_zip("x_a", "x_b")).alias("p")).select("x_row", F.col("p.x_a").alias("a"), F.col("p.x_b").alias("b"))
-    known = model.pairs.select(columns)
-    if df is not model.docs:
-        new = others.select("a", "b").distinct().join(known, ["a", "b"], "left_anti").select("a", "b", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("n_target"))
-        known = known.unionByName(_with_log_probabilities(new, model.before, model.after, model.totals).select(columns))
-    rest = others.join(known, ["a", "b"]).groupBy("x_row").agg(F.sum("of_target").alias("rest_target"), F.sum("of_background").alias("rest_background"))
-    joined = seen.drop("x_a", "x_b").join(rest, "x_row", "left")
-    entropy = lambda c: -(F.col(f"x_{c}") + F.coalesce(f"rest_{c}", F.lit(0))) * F.lit(UNIT) / (F.col("x_n") + 1)
-    made = joined.withColumn("n_tokens", F.col("x_n")).withColumn("ce_target", entropy("target")).withColumn("ce_background", entropy("background"))
-    return made.drop("x_row", "x_n", "x_target", "x_background", "rest_target", "rest_background").withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
+    session(df)
+    if df is model.docs:
+        rows = model.rows.withColumn("flags", F.col("flags") + F.lit(_SCORED))
+    else:
+        rows = model.rows.unionByName(_rows(df, model.key, text, F.lit(_SCORED)))
+    return _scores(rows, model, False).withColumnRenamed("k", model.key).withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
+
+
+def score(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame:
+    """Every row of ``df`` with the scores of ``score_keys``; columns named like a result are replaced."""
+    session(df)
+    key = model.key
+    rows = model.rows.withColumn("flags", F.col("flags") + F.lit(_SCORED)) if df is model.docs else model.rows.unionByName(_rows(df, key, text, F.lit(_SCORED)))
+    results = ("n_tokens", "ce_target", "ce_background")
+    # Rows with one key and text have one score.
+    scores = _scores(rows, model, True).groupBy("t1", "t2", "k").agg(*[F.max(c).alias(f"r{i}") for i, c in enumerate(results)])
+    own = [c for c in df.columns if c.lower() not in (*results, "ce_difference")]
+    named = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)], F.col(f"`{key}`").cast("long").alias("own_k"), text_of(text).alias("text"))
+    named = with_text_hashes(named, "text").drop("text").withColumnsRenamed({"t1": "own_t1", "t2": "own_t2"})
+    same = (F.col("t1") == F.col("own_t1")) & (F.col("t2") == F.col("own_t2")) & F.col("k").eqNullSafe(F.col("own_k"))
+    return named.join(scores, same).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)], *[F.col(f"r{i}").alias(c) for i, c in enumerate(results)], (F.col("r1") - F.col("r2")).alias("ce_difference"))
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is the documents that ``labels`` calls good; the background is all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs, table(spark, sf_dir, "labels").where("quality = 1"))
-    return score(docs, model, keep=["doc_id"]).select("doc_id", "n_tokens", "ce_target", "ce_background", "ce_difference")
+    return score_keys(docs, train(docs, table(spark, sf_dir, "labels").where("quality = 1")))
 
 
 QUERIES = {"op7_lm_scoring": op7_lm_scoring}

@@ -5,36 +5,42 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.llm import lm_scoring
-from feedloom.llm.lm_scoring import BACKOFF, op7_lm_scoring, score, tokens, train
+from feedloom.llm.lm_scoring import BACKOFF, op7_lm_scoring, score, score_keys, tokens, train
 
 from .cases import awkward, empty
 
 
-def brute(rows, vocabulary):
-    """rows: (text, is target). The two cross-entropies of each."""
-    top = [w for w, _ in sorted(Counter(w for t, _ in rows for w in tokens(t or "")).items(), key=lambda x: (-x[1], x[0]))[:vocabulary]]
-    ids = {w: k + 2 for k, w in enumerate(top)}
-    size = len(top) + 2
-    numbered = [[0, *(ids.get(w, 1) for w in tokens(t or "")), 0] for t, _ in rows]
+def brute(rows, vocabulary=10**9):
+    """rows: (text, is target). The two cross-entropies of each, all pairs counted by word."""
+    texts = [["\n", *tokens(t or ""), "\n"] for t, _ in rows]
+    every = Counter(w for x in texts for w in x[1:-1])
+    known = {w for w, _ in sorted(every.items(), key=lambda x: (-x[1], x[0]))[:vocabulary]} | {"\n"}
     out = []
     for target in (True, False):
-        pairs = Counter(p for x, (_, is_target) in zip(numbered, rows) if is_target or not target for p in zip(x, x[1:]))
-        after, before = Counter(), Counter()
-        for (a, b), n in pairs.items():
-            after[b] += n
-            before[a] += n
-        total = sum(after.values()) + size
-        p = lambda a, b: (pairs[a, b] + BACKOFF * (after[b] + 1) / total) / (before[a] + BACKOFF)
-        out.append([-sum(math.log(p(a, b)) for a, b in zip(x, x[1:])) / (len(x) - 1) for x in numbered])
+        pairs, single, before = Counter(), Counter(), Counter()
+        for x, (_, is_target) in zip(texts, rows):
+            if is_target or not target:
+                pairs.update(zip(x, x[1:]))
+                single.update(x[1:])
+                before.update(x[:-1])
+        others = [w for w in every if w not in known]
+        mean = sum(single[w] for w in others) / max(len(others), 1)
+        total = sum(single.values()) + len(every) + 1
+        p = lambda w: ((single[w] if w in known else mean) + 1) / total
+        loss = lambda a, b: -math.log((pairs[a, b] + BACKOFF * p(b)) / (before[a] + BACKOFF))
+        out.append([sum(loss(*ab) for ab in zip(x, x[1:])) / (len(x) - 1) for x in texts])
     return list(zip(*out))
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("vocabulary, frequent, keys", [(4, 3, 10**6), (50, 2, 1), (50, 1000, 10**6), (0, 1000, 10**6)])
+def test_against_brute_force(spark, monkeypatch, vocabulary, frequent, keys):
+    monkeypatch.setattr(lm_scoring, "BROADCAST_KEYS", keys)
     rows = [("a b c a b. a b", True), ("a b c", True), ("z z z q a b", False), ("", False), (None, True), ("The cat, the CAT 42!", False)] * 3
     frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, text string, good boolean").repartition(5)
-    got = score(frame, train(frame, frame.where("good"), vocabulary=4)).orderBy("doc_id").collect()
-    for r, (t, b) in zip(got, brute(rows, 4)):
-        assert (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-5) and r.ce_difference == r.ce_target - r.ce_background
+    model = train(frame, frame.where("good"), vocabulary=vocabulary, frequent=frequent)
+    for got in (score(frame, model), score_keys(frame, model)):
+        for r, (t, b) in zip(got.orderBy("doc_id").collect(), brute(rows, vocabulary), strict=True):
+            assert (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-5) and r.ce_difference == r.ce_target - r.ce_background
 
 
 def test_target_scores_lower(spark):
@@ -46,47 +52,41 @@ def test_target_scores_lower(spark):
     assert max(r.ce_difference for r in got if r.good) < min(r.ce_difference for r in got if not r.good)
 
 
-def test_query(spark):
+@pytest.mark.parametrize("vocabulary, frequent", [(50_000, 1024), (500, 20)])
+def test_query(spark, monkeypatch, vocabulary, frequent):
+    """All words and pairs count, whatever part of them is known beforehand."""
+    real = train
+    monkeypatch.setattr(lm_scoring, "train", lambda *a: real(*a, vocabulary=vocabulary, frequent=frequent))
     folder = "/root/testdata/sf0.001"
     good = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
     docs = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
     got = op7_lm_scoring(spark, folder).orderBy("doc_id").collect()
-    for r, d, (t, b) in zip(got, docs, brute([(d.text, d.doc_id in good) for d in docs], 1500)):
-        assert r.doc_id == d.doc_id and r.n_tokens == len(tokens(d.text)) and (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-4)
+    for r, d, (t, b) in zip(got, docs, brute([(d.text, d.doc_id in good) for d in docs], vocabulary), strict=True):
+        assert r.doc_id == d.doc_id and r.n_tokens == len(tokens(d.text)) and (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-5)
 
 
 def test_awkward_rows(spark):
     frame = awkward(spark).withColumn("good", F.when(F.col("doc_id") == 1, True))
     model = train(frame, frame.where("good"))
     got = score(frame, model).collect()
-    assert len(got) == 12 and {r.n_tokens for r in got if not (r.text or "").strip()} == {0}
+    assert len(got) == 12 and [c for c in frame.columns if c != "n_tokens"] == score(frame, model).columns[:-4] and {r.n_tokens for r in got if not (r.text or "").strip()} == {0}
     assert all(math.isfinite(r.ce_difference) for r in got)
     assert score(empty(spark), model).count() == 0
     void = train(empty(spark), empty(spark))
     assert all(math.isfinite(r.ce_difference) for r in score(frame, void).collect())
 
 
-def test_every_word_counts(spark, monkeypatch):
-    """However few pairs are looked up by broadcast, all words are in the models."""
-    folder = "/root/testdata/sf0.001"
-    good = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
-    docs = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
-    want = brute([(d.text, d.doc_id in good) for d in docs], None)
-    for hot in (250_000, 100):
-        monkeypatch.setattr(lm_scoring, "HOT_PAIRS", hot)
-        got = op7_lm_scoring(spark, folder).orderBy("doc_id").collect()
-        assert [r.doc_id for r in got] == [d.doc_id for d in docs]
-        for r, (t, b) in zip(got, want):
-            assert (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-5)
-
-
-def test_pairs_that_were_not_met(spark, monkeypatch):
-    """They are scored by their words; words that were not met are <unk>."""
-    monkeypatch.setattr(lm_scoring, "HOT_PAIRS", 2)
+def test_pairs_that_were_not_met(spark):
+    """They are scored by their words; words that were not met have the part of those outside the vocabulary."""
     frame = spark.createDataFrame([(1, "a b c a b", True), (2, "c d e", False)], "doc_id int, text string, good boolean")
     model = train(frame, frame.where("good"))
-    got = score(spark.createDataFrame([(3, "b a zebra"), (4, "")], "doc_id int, text string"), model).orderBy("doc_id").collect()
-    size, after, before = 7, {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "": 2}, {"a": 2, "b": 2, "c": 2, "": 2}
-    p = lambda x, y: BACKOFF * (after.get(y, 0) + 1) / (sum(after.values()) + size) / (before.get(x, 0) + BACKOFF)
-    assert got[0].ce_background == pytest.approx(-sum(math.log(p(*x)) for x in [("", "b"), ("b", "a"), ("a", "zebra"), ("zebra", "")]) / 4, abs=1e-6)
-    assert got[1].n_tokens == 0 and got[1].ce_background == pytest.approx(-math.log(p("", "")), abs=1e-6)
+    new = spark.createDataFrame([(3, "b a zebra"), (4, ""), (4, ""), (None, "a b")], "doc_id int, text string")
+    after, before = {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "": 2}, {"a": 2, "b": 2, "c": 2, "": 2}
+    pairs = {("", "a"): 1, ("a", "b"): 2, ("b", ""): 1}
+    p = lambda x, y: (pairs.get((x, y), 0) + BACKOFF * (after.get(y, 0) + 1) / (sum(after.values()) + 6)) / (before.get(x, 0) + BACKOFF)
+    loss = lambda *words: -sum(math.log(p(*x)) for x in zip(words, words[1:])) / (len(words) - 1)
+    for found in (score(new, model), score_keys(new, model)):
+        got = sorted(found.collect(), key=lambda r: (r.doc_id or 0, r.n_tokens))
+        assert [(r.doc_id, r.n_tokens) for r in got] == [(None, 2), (3, 3), (4, 0), (4, 0)]
+        want = [loss("", "a", "b", ""), loss("", "b", "a", "zebra", ""), loss("", ""), loss("", "")]
+        assert [r.ce_background for r in got] == pytest.approx(want, abs=1e-6)
