@@ -24,7 +24,7 @@ LONGEST_GRAM = 4
 LEAST_COUNT = 3
 UNKNOWN = "und"
 
-_CACHE = 300_000
+_CACHE = 100_000
 _FLUSH = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 

@@ -27,7 +27,7 @@ ROUNDS, TRIES = 3, 4
 #: times less likely at the threshold, or above, than at their best.
 UNLIKELY = 20.0
 
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 150_000
 _CHUNK = 4096
 _rng = np.random.default_rng(20240607)
 _FACTORS = (_rng.integers(0, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)).reshape(-1, 1)
@@ -209,7 +209,7 @@ class _Search:
     def __init__(self, df: DataFrame, key: str, text: str, k: int, percent: int):
         self.k, self.percent = k, percent
         self.docs = with_text_hashes(df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc"), text_of(text).alias("text")), "text")
-        self.of = df.sparkSession.createDataFrame([], "node long, component long")  # components of nodes with links
+        self.of = df.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))  # of nodes with links
         # Two different sets are similar enough only if they are large enough.
         self.least = next(n for n in range(1, 10_000) if 100 * n >= percent * (n + 1))
         seed = 0

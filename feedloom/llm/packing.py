@@ -12,7 +12,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import session, table, text_of, written
 
@@ -168,8 +167,8 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, k
     totals = sorted(((r["length"], r["class"], r["n"]) for r in counts.groupBy("class", "length").agg(F.sum("n").alias("n")).collect()), reverse=True)
     tail = [(j, length, n - n % j + k) for length, j, n in totals for k in range(n % j)]
     bins = first_fit([length for _, length, _ in tail], capacity)
-    kinds = T.StructType([T.StructField(c, t) for c, t in (("class", T.IntegerType()), ("length", T.IntegerType()), ("g", T.LongType()), ("tail_bin", T.LongType()), ("tail_offset", T.IntegerType()))])
-    last = spark.createDataFrame([(*p, *b) for p, b in zip(tail, bins)], kinds)
+    kinds = pa.schema([("class", pa.int32()), ("length", pa.int32()), ("g", pa.int64()), ("tail_bin", pa.int64()), ("tail_offset", pa.int32())])
+    last = spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, (*p, *b))) for p, b in zip(tail, bins)], kinds))
     rest = numbered.join(F.broadcast(last), ["class", "length", "g"], "left")
     rest = rest.withColumn(
         "sequence_id",
