@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -64,10 +65,17 @@ def is_train(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")), F.lit(0)) % 3 != 1
 
 
-def add(df: DataFrame, made: dict[str, Column]) -> DataFrame:
-    """``df`` with the columns of ``made``; they replace columns of the same name."""
-    keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in {k.lower() for k in made}]
-    return df.select(*keep, *[v.alias(k) for k, v in made.items()])
+def mapped(df: DataFrame, inputs: list[Column], run, results: str) -> DataFrame:
+    """Every row of ``df`` with the ``results`` ("name type, ...") that ``run`` (of Arrow batches) puts in the place of ``inputs``.
+
+    ``run`` gets the columns of ``df`` by position, whatever their names, and
+    the inputs after them. Columns named like a result are replaced.
+    """
+    made = [r.split(" ", 1)[0] for r in re.split(r", (?=\w+ \w)", results)]
+    names = [c for c in df.columns if c.lower() not in made]
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], *[x.alias(f"i{i}") for i, x in enumerate(inputs)])
+    held = "".join(f"c{i} {rows.schema[i].dataType.simpleString()}, " for i in range(len(names)))
+    return rows.mapInArrow(run, held + results).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *made)
 
 
 def most_frequent(counts: DataFrame, key: str, n: str, k: int) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add, is_train, most_frequent, session, table, text_of
+from .common import is_train, mapped, most_frequent, session, table, text_of
 
 #: Bounds of what is learned. About so many labelled rows are learned from,
 #: drawn by a hash of their id; so many words and n-grams are remembered.
@@ -196,9 +196,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     """
     spark = session(df)
     held = spark.sparkContext.broadcast(model)
-    kept = add(df, {"x_text": F.col(f"`{text}`").cast("string")}).drop("lang_pred", "lang_score")
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(_predict(held), f"{schema + ', ' if schema else ''}lang_pred string, lang_score double")
+    return mapped(df, [F.col(f"`{text}`").cast("string")], _predict(held), "lang_pred string, lang_score double")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,11 +169,15 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, k
     bins = first_fit([length for _, length, _ in tail], capacity)
     kinds = pa.schema([("class", pa.int32()), ("length", pa.int32()), ("g", pa.int64()), ("tail_bin", pa.int64()), ("tail_offset", pa.int32())])
     last = spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, (*p, *b))) for p, b in zip(tail, bins)], kinds))
-    rest = numbered.join(F.broadcast(last), ["class", "length", "g"], "left")
-    rest = rest.withColumn(
-        "sequence_id",
-        F.coalesce(F.lit(_LEFT_OVER) + F.col("tail_bin"), F.lit(_LEFT_OVER) + F.shiftleft(F.col("class").cast("long"), 48) + F.floor(F.col("g") / F.col("class"))),
-    ).withColumn("offset", F.coalesce(F.col("tail_offset"), (F.col("g") % F.col("class") * F.col("length")).cast("int")))
+    # The bins of each class and length are numbered after those of the tail, and after one another.
+    first, firsts = len({b for b, _ in bins}), []
+    for length, j, n in totals:
+        firsts.append({"class": j, "length": length, "first": first})
+        first += n // j
+    firsts = spark.createDataFrame(pa.Table.from_pylist(firsts, pa.schema([("class", pa.int32()), ("length", pa.int32()), ("first", pa.int64())])))
+    rest = numbered.join(F.broadcast(firsts), ["class", "length"]).join(F.broadcast(last), ["class", "length", "g"], "left")
+    rest = rest.withColumn("sequence_id", F.lit(_LEFT_OVER) + F.coalesce(F.col("tail_bin"), F.col("first") + F.floor(F.col("g") / F.col("class"))))
+    rest = rest.withColumn("offset", F.coalesce(F.col("tail_offset"), (F.col("g") % F.col("class") * F.col("length")).cast("int")))
 
     out = [F.col("doc_id").alias(key), "start", F.col("length").cast("long").alias("length"), "token_ids", "doc_tokens", "sequence_id", F.col("offset").cast("long").alias("offset")]
     return full.select(*out).unionByName(rest.select(*out))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add, session, table, text_of
+from .common import mapped, session, table, text_of, written
 
 #: Pre-tokens in a leaf when the tree is built; a leaf of SPLIT times as many is divided anew.
 LEAF, SPLIT = 32, 8
@@ -57,24 +57,53 @@ class CountTree:
 
     An edit finds its leaf from the top, encodes the pre-tokens from just
     before it to where the old ones hold again, and changes sums on the way up.
+    A tree that was kept is known by the characters and tokens of its leaves:
+    of its text only the leaves that edits touch are read.
     """
 
-    def __init__(self, text: str, counts: PreTokens):
-        self.counts = counts
+    def __init__(self, text: str, counts: PreTokens, chars: list[int] | None = None, tokens: list[int] | None = None):
+        self.counts, self.original = counts, text
         self.encoded = 0  # characters encoded by edits
-        self._build(counts.split(text))
-
-    def _build(self, pieces: list[str]) -> None:
-        self.leaves = [pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)] or [[]]
-        self.size = 1 << (len(self.leaves) - 1).bit_length()
-        get = self.counts.__getitem__
-        pad = [0] * (self.size - len(self.leaves))
-        self.chars = [0] * self.size + [sum(map(len, leaf)) for leaf in self.leaves] + pad
-        self.tokens = [0] * self.size + [sum(map(get, leaf)) for leaf in self.leaves] + pad
+        self.leaves: list[list[str] | None]
+        if chars is None or tokens is None:
+            self.leaves = self._dealt(counts.split(text))
+            self.starts = [0] * len(self.leaves)
+            self._sum([sum(map(len, leaf)) for leaf in self.leaves], [sum(map(counts.__getitem__, leaf)) for leaf in self.leaves])
+        else:
+            self.leaves = [None] * len(chars)
+            self.starts = list(accumulate(chars, initial=0))[:-1]
+            self._sum(chars, tokens)
+
+    @staticmethod
+    def _dealt(pieces: list[str]) -> list[list[str]]:
+        return [pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)] or [[]]
+
+    def _sum(self, chars: list[int], tokens: list[int]) -> None:
+        self.size = 1 << (len(chars) - 1).bit_length()
+        pad = [0] * (self.size - len(chars))
+        self.chars = [0] * self.size + list(chars) + pad
+        self.tokens = [0] * self.size + list(tokens) + pad
         for sums in (self.chars, self.tokens):
             for k in range(self.size - 1, 0, -1):
                 sums[k] = sums[2 * k] + sums[2 * k + 1]
 
+    def _leaf(self, k: int) -> list[str]:
+        """The leaf's pre-tokens; those of a leaf that no edit has changed are split from its part of the text."""
+        made = self.leaves[k]
+        if made is None:
+            n, start, at = self.chars[k + self.size], self.starts[k], 0
+            made = self.leaves[k] = []
+            for piece in self.counts.split(self.original[start : start + n + self.counts.lookahead]):
+                if at >= n:
+                    break
+                made.append(piece)
+                at += len(piece)
+        return made
+
+    def kept(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the leaves."""
+        return tuple(sums[self.size : self.size + len(self.leaves)] for sums in (self.chars, self.tokens))
+
     @property
     def n_chars(self) -> int:
         return self.chars[1]
@@ -84,7 +113,7 @@ class CountTree:
         return self.tokens[1]
 
     def text(self) -> str:
-        return "".join("".join(leaf) for leaf in self.leaves)
+        return "".join(self.original[self.starts[k] : self.starts[k] + self.chars[k + self.size]] if leaf is None else "".join(leaf) for k, leaf in enumerate(self.leaves))
 
     def _set(self, k: int, pieces: list[str]) -> None:
         self.leaves[k] = pieces
@@ -104,7 +133,7 @@ class CountTree:
             if char - start >= self.chars[at] and self.chars[at + 1]:
                 start += self.chars[at]
                 at += 1
-        leaf = self.leaves[at - self.size]
+        leaf = self._leaf(at - self.size)
         for i, piece in enumerate(leaf):
             if char - start < len(piece) or i == len(leaf) - 1:
                 return at - self.size, i, start
@@ -123,7 +152,7 @@ class CountTree:
         end, leaf, j, ahead = start, first, i, WINDOW
         while True:
             while end < position + n_deleted + ahead and leaf < len(self.leaves):
-                pieces = self.leaves[leaf]
+                pieces = self._leaf(leaf)
                 while j < len(pieces) and end < position + n_deleted + ahead:
                     old.append(pieces[j])
                     end += len(pieces[j])
@@ -153,16 +182,23 @@ class CountTree:
         self._replace(first, i, n_old, new[:n_new])
 
     def _replace(self, leaf: int, i: int, n_old: int, new: list[str]) -> None:
-        first, left = leaf, n_old - (len(self.leaves[leaf]) - i)
-        head, tail = self.leaves[leaf][:i], self.leaves[leaf][i + n_old :] if left < 0 else []
+        pieces = self._leaf(leaf)
+        first, left = leaf, n_old - (len(pieces) - i)
+        head, tail = pieces[:i], pieces[i + n_old :] if left < 0 else []
         while left > 0:
             leaf += 1
-            n = len(self.leaves[leaf])
-            self._set(leaf, self.leaves[leaf][left:])
-            left -= n
+            pieces = self._leaf(leaf)
+            self._set(leaf, pieces[left:])
+            left -= len(pieces)
         self._set(first, head + new + tail)
         if len(self.leaves[first]) > LEAF * SPLIT:
-            self._build([p for x in self.leaves for p in x])
+            parts = self._dealt(self.leaves[first])
+            chars, tokens = self.kept()
+            chars[first : first + 1] = [sum(map(len, p)) for p in parts]
+            tokens[first : first + 1] = [sum(map(self.counts.__getitem__, p)) for p in parts]
+            self.leaves[first : first + 1] = parts
+            self.starts[first : first + 1] = [0] * len(parts)
+            self._sum(chars, tokens)
 
 
 @lru_cache(maxsize=2)
@@ -170,46 +206,75 @@ def pre_tokens(path: str) -> PreTokens:
     return PreTokens(path)
 
 
+_INTS = pa.list_(pa.int32())
+
+
+def _build(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = pre_tokens(path)
+        for b in batches:
+            last = b.num_columns - 1
+            trees = [CountTree(text.as_py(), counts) for text in b.column(last)]
+            kept = [t.kept() for t in trees]
+            yield pa.RecordBatch.from_arrays([*b.columns[:last], pa.array([t.n_tokens for t in trees], pa.int64()), *[pa.array([k[m] for k in kept], _INTS) for m in (0, 1)]], names=[*b.schema.names[:last], "n_tokens", "tree_chars", "tree_tokens"])
+
+    return run
+
+
+_OWN = "n_tokens long, n_tokens_edited long, n_chars_edited long, n_edits long, encoded_chars long, text_edited string, tree_chars array<int>, tree_tokens array<int>"
+
+
 def _follow(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = pre_tokens(path)
-        names = ["n_tokens", "n_tokens_edited", "n_chars_edited", "n_edits", "encoded_chars"]
+        names = [c.split(" ")[0] for c in _OWN.split(", ")]
         for b in batches:
-            last = b.num_columns - 2
+            last = b.num_columns - 4
             made = []
-            for text, edits in zip(b.column(last).to_pylist(), b.column(last + 1).to_pylist()):
-                tree = CountTree(text, counts)
-                before = tree.n_tokens
+            for text, chars, tokens, edits in zip(*(b.column(last + m) for m in range(4))):
+                tree = CountTree(text.as_py(), counts, chars.as_py(), tokens.as_py())
+                before, edits = tree.n_tokens, edits.as_py()
                 for e in edits:
                     tree.edit(e["position"], e["n_deleted"], e["inserted"])
-                made.append((before, tree.n_tokens, tree.n_chars, len(edits), tree.encoded))
-            yield pa.RecordBatch.from_arrays([*b.columns[:last], *[pa.array([m[k] for m in made], pa.int64()) for k in range(5)]], names=[*b.schema.names[:last], *names])
+                made.append((before, tree.n_tokens, tree.n_chars, len(edits), tree.encoded, tree.text(), *tree.kept()))
+            types = [*[pa.int64()] * 5, pa.string(), _INTS, _INTS]
+            yield pa.RecordBatch.from_arrays([*b.columns[:last], *[pa.array([m[k] for m in made], t) for k, t in enumerate(types)]], names=[*b.schema.names[:last], *names])
 
     return run
 
 
-def count_edited(df: DataFrame, edits: Column, tokenizer: str, text: str = "text") -> DataFrame:
-    """Every row of ``df`` with its token counts before and after its edits.
+def build_trees(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """Every row of ``df`` with ``n_tokens`` and its tree: ``tree_chars`` and ``tree_tokens`` of the leaves.
+
+    To be kept with the texts. Null texts are empty (one empty leaf); very long
+    texts are counted whole; repeated rows get the same trees; input columns
+    named like a result are replaced; an empty table gives no rows.
+    """
+    session(df)
+    return mapped(df, [text_of(text)], _build(tokenizer), "n_tokens long, tree_chars array<int>, tree_tokens array<int>")
+
+
+def apply_edits(trees: DataFrame, edits: Column, tokenizer: str, text: str = "text") -> DataFrame:
+    """Every row of ``trees`` with its token counts before and after its edits, and its new text and tree.
 
     ``edits`` is an array of (position, n_deleted, inserted), applied in order;
-    positions are in characters of the text as the earlier edits left it. Added
-    are ``n_tokens``, ``n_tokens_edited``, ``n_chars_edited``, ``n_edits`` and
-    ``encoded_chars``, the characters that edits made it encode again.
+    positions are in characters of the text as the earlier edits left it. Only
+    leaves that edits touch are split and encoded again. Added are ``n_tokens``,
+    ``n_tokens_edited``, ``n_chars_edited``, ``n_edits``, ``encoded_chars`` (the
+    characters that edits made it encode again), ``text_edited``, and the
+    changed ``tree_chars`` and ``tree_tokens``, for the next edits.
 
     Null texts are empty; null arrays and null edits change nothing (a null
-    field counts as 0 or ""); ranges outside the text are cut to it; very long
-    texts are counted whole; repeated rows get the same counts; input columns
+    field counts as 0 or ""); ranges outside the text are cut to it; a row
+    without a tree gets one; repeated rows get the same counts; input columns
     named like a result are replaced; an empty table gives no rows.
     """
-    session(df)
-    own = ("n_tokens", "n_tokens_edited", "n_chars_edited", "n_edits", "encoded_chars")
+    session(trees)
     fine = F.transform(
         F.filter(F.coalesce(edits, F.array()), lambda e: e.isNotNull()),
         lambda e: F.struct(F.coalesce(e["position"], F.lit(0)).cast("long").alias("position"), F.coalesce(e["n_deleted"], F.lit(0)).cast("long").alias("n_deleted"), F.coalesce(e["inserted"], F.lit("")).alias("inserted")),
     )
-    kept = add(df.withColumn("x_edits", fine), {"x_text": text_of(text), "x_made": F.col("x_edits")}).drop("x_edits", *own)
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-2])
-    return kept.mapInArrow(_follow(tokenizer), f"{schema + ', ' if schema else ''}" + ", ".join(f"{c} long" for c in own))
+    return mapped(trees, [text_of(text), F.col("tree_chars"), F.col("tree_tokens"), fine], _follow(tokenizer), _OWN)
 
 
 def revisions(key: Column, text: Column) -> Column:
@@ -222,9 +287,10 @@ def revisions(key: Column, text: Column) -> Column:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = count_edited(docs, revisions(F.col("doc_id"), text_of("text")), public_tokenizers.path("byte_bpe_50k.json"))
-    return counted.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "encoded_chars")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    trees = written(build_trees(table(spark, sf_dir, "documents").select("doc_id", "text"), path), "trees")
+    edited = apply_edits(trees, revisions(F.col("doc_id"), text_of("text")), path)
+    return edited.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "encoded_chars")
 
 
 QUERIES = {"op10_token_counts": op10_token_counts}

@@ -3,9 +3,10 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedloom.llm.packing import byte_bpe, cut, first_fit, op8_packing, pack
+from feedloom.llm.packing import cut, encode_whole, first_fit, op8_packing, pack
 
 from .cases import awkward, empty
 
@@ -15,7 +16,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -69,15 +69,30 @@ def test_many_partitions(spark, library, tmp_path):
     assert check(op8_packing(spark, str(tmp_path)).collect(), texts, library) > 0.995
 
 
+@pytest.mark.parametrize("capacity", [64, 256, 512, 1024])
+def test_every_capacity(spark, library, capacity):
+    """No sequence is too full, also where pieces of several lengths are of one class."""
+    texts = {k: "word " * (7 * k % (2 * capacity)) for k in range(60)} | {100: "a <|endoftext|> b", 101: "", 102: None}
+    rows = pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6), PATH, capacity)
+    rows = rows.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset").collect()
+    assert check(rows, texts, library, capacity) > 0.8
+
+
 def test_awkward_rows(spark, library):
     rows = pack(awkward(spark), PATH, 64).collect()
     assert sum(r.length for r in rows) == sum(len(library(t)) + 1 for t in [r.text for r in awkward(spark).select("text").collect()])
     assert [bytes(r.token_ids) for r in rows if r.doc_id == 3] == [b"\0\0\0\0"]
+    filled = {}
+    for r in rows:
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in filled.values():
+        at = sorted(pieces)
+        assert [o for o, _ in at] == [sum(n for _, n in at[:k]) for k in range(len(at))] and sum(n for _, n in at) <= 64
     assert pack(empty(spark), PATH).count() == 0
 
 
 def test_ids_are_the_librarys(library):
-    encode = byte_bpe(PATH).encode_ordinary
+    encode = encode_whole(PATH)
     for text in ["", " ", "a  b\n\n c", "don't I'LL", "x" * 3000, "<|endoftext|> a", "日本語 é́ \U0001f600", "\t    z", "1234567 !!??", "ab" * 900]:
         assert encode(text) == library(text)
 

@@ -73,7 +73,6 @@ def test_near_copies_go(kept):
 
 def test_packing_keeps_every_token(kept):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = {}
     for r in kept["packing"].collect():
         pieces.setdefault(r.doc_id, []).append((r.start, bytes(r.token_ids)))
