@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from .common import is_train, mapped, most_frequent, session, table, text_of
 
-#: Bounds of what is learned. About so many labelled rows are learned from,
-#: drawn by a hash of their id; so many words and n-grams are remembered.
-MAX_TRAIN_ROWS = 20_000
+#: Bounds of what is learned. About so many labelled rows of each language are
+#: learned from, drawn by a hash of their id; so many words and n-grams are remembered.
+MAX_TRAIN_ROWS = 5_000
+MAX_LANGUAGES = 1_000  # the most frequent ones
 MAX_WORDS = 60_000
 MAX_GRAMS = 40_000  # of each length
 LONGEST_GRAM = 4
@@ -30,7 +31,12 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters (Unicode's L) in lower case."""
+    found = _WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # Numbers that aren't digits, as in x², are no letters.
+    return [w for x in found for w in ("".join(c if c.isalpha() else " " for c in x).split() if not x.isalpha() else (x,))]
 
 
 def grams(word: str, n: int) -> Iterable[str]:
@@ -135,25 +141,30 @@ def _scores(rows: list, languages: list[str]) -> tuple[dict[str, int], np.ndarra
 def train(df: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "text", max_rows: int = MAX_TRAIN_ROWS) -> LanguageModel:
     """Log frequencies of words and of n-grams (1 to 4 letters, with word ends) by language.
 
-    Counted in Spark over about ``max_rows`` labelled rows, drawn by a hash of
-    the key; the driver gets only the MAX_WORDS and MAX_GRAMS most frequent.
+    Counted in Spark over about ``max_rows`` rows of each language, drawn by a
+    hash of the key; the driver gets only MAX_WORDS and MAX_GRAMS, those that
+    are most frequent in any of the languages, each beside its own words.
     """
     spark = session(df)
     labelled = df.where(F.col(f"`{label}`").isNotNull()).select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("string").alias("lang"), text_of(text).alias("text"))
-    n = labelled.count()
-    part = min(1.0, max_rows / max(n, 1))
-    drawn = labelled.where(F.pmod(F.xxhash64("k", F.lit("language")), F.lit(1_000_000)) < int(part * 1_000_000)) if part < 1 else labelled
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES)
+    parts = spark.createDataFrame(pa.Table.from_pylist([{"lang": r["lang"], "part": int(min(1.0, max_rows / r["rows"]) * 1_000_000)} for r in sizes.collect()], pa.schema([("lang", pa.string()), ("part", pa.int64())])))
+    drawn = labelled.join(F.broadcast(parts), "lang").where(F.pmod(F.xxhash64("k", F.lit("language")), F.lit(1_000_000)) < F.col("part"))
     found = drawn.select("lang", "text").mapInArrow(_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
     try:
-        languages = sorted(r[0] for r in found.select("lang").distinct().collect())
-        top = most_frequent(found.groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT), "word", "all", MAX_WORDS)
-        known = found.join(F.broadcast(top), "word").select("word", "lang", "n").collect()
+        tokens = {r[0]: r[1] for r in found.groupBy("lang").agg(F.sum("n")).collect()}
+        languages = sorted(tokens)
+        totals = spark.createDataFrame(pa.Table.from_pylist([{"lang": x, "tokens": n} for x, n in tokens.items()], pa.schema([("lang", pa.string()), ("tokens", pa.int64())])))
+
+        def top(counts: DataFrame, of: str, k: int) -> list:
+            """(of, lang, n) of the ``k`` that are most frequent, as a part of a language's tokens (in millionths of millionths)."""
+            share = (F.lit(1e12) * F.col("n") / F.col("tokens")).cast("long")
+            ranked = counts.join(F.broadcast(totals), "lang").groupBy(of).agg(F.max(share).alias("share"), F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT)
+            return counts.join(F.broadcast(most_frequent(ranked.select(of, "share"), of, "share", k)), of).select(of, "lang", "n").collect()
+
+        known = top(found, "word", MAX_WORDS)
         by_gram = found.select("lang", "word", "n").mapInArrow(_gram_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
-        tables = []
-        for length in range(1, LONGEST_GRAM + 1):
-            own = by_gram.where(F.char_length("gram") == length)
-            top = most_frequent(own.groupBy("gram").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_COUNT), "gram", "all", MAX_GRAMS)
-            tables.append(_scores(own.join(F.broadcast(top), "gram").select("gram", "lang", "n").collect(), languages))
+        tables = [_scores(top(by_gram.where(F.char_length("gram") == length), "gram", MAX_GRAMS), languages) for length in range(1, LONGEST_GRAM + 1)]
         by_gram.unpersist()
     finally:
         found.unpersist()

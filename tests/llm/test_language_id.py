@@ -62,3 +62,16 @@ def test_awkward_rows(spark, docs):
         assert all((r.lang_pred, r.lang_score) == (UNKNOWN, 0.0) for r in rows if r.doc_id in (3, 4, 5, 8))
         assert identify(empty(spark), model).count() == 0
         assert set(awkward(spark).columns) <= set(identify(awkward(spark), model).columns)
+
+
+def test_letters_are_unicode_letters(docs):
+    scorer = Scorer(train(docs, max_rows=50))
+    assert all(scorer.predict(t) == (UNKNOWN, 0.0) for t in ("½ ² Ⅷ ①", "12 ½", "_ __ 3²"))
+    assert language_id.words("X² a_b Ⅷb ½") == ["x", "a", "b", "b"] and scorer.predict("und ½ die")[0] == "de"
+
+
+def test_a_rare_language_is_learned(spark, docs):
+    """However many rows the others have, and however few words are kept."""
+    rare = spark.createDataFrame([(10**6 + k, f"zemlja nebo voda ogenj vetrov morje zemlja kamen{k}", "sl") for k in range(6)], "doc_id long, text string, lang string")
+    model = train(docs.select("doc_id", "text", "lang").unionByName(rare), max_rows=100)
+    assert "sl" in model.languages and Scorer(model).predict("voda ogenj zemlja")[0] == "sl"
