@@ -28,12 +28,12 @@ class Block:
         self.lists = np.argsort(self.x, axis=0, kind="stable")  # ascending, one column a dimension
         self.sorted = np.take_along_axis(self.x, self.lists, axis=0)
 
-    def top(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the k best rows but row ``own``, best first.
+    def top(self, q: np.ndarray, k: int, own: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the k best rows but row ``own``, best first; rows below a ``floor`` that k others reach may be left out.
 
         Reads all lists from their better end to the same depth, scores every
         row that is met, and stops when the sum of the last components read (the
-        most that an unmet row can score) is below the kth score.
+        most that an unmet row can score) is below the kth score, or the floor.
         """
         n = len(self.ids)
         dims = np.flatnonzero(q)
@@ -56,19 +56,20 @@ class Block:
             scores = np.concatenate([scores, self.x[fresh] @ q])
             order = np.lexsort((best, -scores))[:k]
             best, scores = best[order], scores[order]
-            if until == n:
-                return best, scores
-            if len(best) == k:
+            bar = scores[-1] if len(best) == k else floor
+            bar = bar if floor is None else max(bar, floor)
+            if until < n and bar is not None:
                 last = np.where(down, self.sorted[n - until, dims], self.sorted[until - 1, dims])
-                if int(weights @ last) < scores[-1]:
-                    return best, scores
+            if until == n or (bar is not None and int(weights @ last) < bar):
+                fits = slice(None) if floor is None else scores >= floor
+                return best[fits], scores[fits]
             depth, step = until, step * 2
 
 
 def _vectors(t: pa.Table, column: str) -> np.ndarray:
     flat = t[column].combine_chunks()
     flat = flat.values if isinstance(flat, pa.ListArray) else flat.flatten()
-    return flat.to_numpy().reshape(t.num_rows, -1)
+    return flat.to_numpy().reshape(t.num_rows, -1).astype(np.int64)
 
 
 def _search(k: int):
@@ -77,8 +78,8 @@ def _search(k: int):
             return _OUT.empty_table()
         block = Block(vectors["v"].to_numpy(), vectors["vec_id"].to_numpy(), _vectors(vectors, "x"))
         qs, found = _vectors(queries, "x"), []
-        for q, own in zip(qs, queries["v"].to_numpy()):
-            found.append(block.top(q, k, own))
+        for q, own, floor in zip(qs, queries["v"].to_numpy(), queries["floor"].to_pylist()):
+            found.append(block.top(q, k, own, floor))
         n = [len(b) for b, _ in found]
         at = np.concatenate([b for b, _ in found])
         return pa.Table.from_arrays(
@@ -102,6 +103,9 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vecto
     divisible by ``every``. Vectors are dealt into blocks of about BLOCK_ROWS,
     queries into groups of about GROUP_QUERIES; each pair of block and group is
     one task's work and gives at most k rows a query, of which the best k stay.
+    The first block is searched before the others: its kth score is a floor that
+    lets them stop earlier, and leave out what can't be among the best.
+    Components travel in as few bytes as the largest of them needs.
 
     Ties go to the smaller key, then to the earlier row. Vectors that are null,
     empty, or hold a null or a value that isn't finite take no part, nor do
@@ -118,14 +122,24 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vecto
     )
     held = written(rows.withColumn("v", F.monotonically_increasing_id()), "vectors").withColumn("d", F.size("x"))
     is_query = F.col("vec_id") % every == 0
-    n, n_queries = held.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
+    least, largest = F.min(F.array_min("x")), F.max(F.array_max("x"))
+    n, n_queries, least, largest = held.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1)), least, largest).first()
+    widest = max(-(least or 0), largest or 0)
+    held = held.withColumn("x", F.col("x").cast(f"array<{next(t for t, bits in (('smallint', 15), ('int', 31), ('bigint', 64)) if widest < 1 << bits)}>"))
     blocks, groups = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n_queries // GROUP_QUERIES))
 
     spread = lambda n, seed: F.pmod(F.xxhash64("v", F.lit(seed)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     vectors = held.select("v", "vec_id", "x", "d", spread(blocks, 1).alias("b"), each(groups).alias("g"))
     queries = held.where(is_query).select("v", "vec_id", "x", "d", spread(groups, 2).alias("g"), each(blocks).alias("b"))
-    found = vectors.groupBy("b", "g", "d").cogroup(queries.groupBy("b", "g", "d")).applyInArrow(_search(k), "q long, query_id long, v long, vec_id long, score long")
+    # Queries are vectors too: as columns of other names first, they can't be mistaken for them.
+    queries = queries.toDF(*[f"q_{c}" for c in queries.columns]).select(*[F.col(f"q_{c}").alias(c) for c in queries.columns])
+    search = lambda v, q: v.groupBy("b", "g", "d").cogroup(q.groupBy("b", "g", "d")).applyInArrow(_search(k), "q long, query_id long, v long, vec_id long, score long")
+    found = search(vectors.where("b = 0"), queries.where("b = 0").withColumn("floor", F.lit(None).cast("long")))
+    if blocks > 1:
+        found = written(found, "first-block")
+        floors = found.groupBy("q").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor")).withColumnRenamed("q", "v")
+        found = found.unionByName(search(vectors.where("b > 0"), queries.where("b > 0").join(floors, "v", "left")))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "v")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

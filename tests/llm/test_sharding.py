@@ -35,6 +35,36 @@ def test_query(spark):
     check_law(rows, 24)
 
 
+def feistel(number, n, seed):
+    """The same permutation, one number at a time in plain integers."""
+
+    def mix(x, key):
+        z = (x + key) % 2**64
+        z = (z ^ (z >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+        z = (z ^ (z >> 27)) * 0x94D049BB133111EB % 2**64
+        return z ^ (z >> 31)
+
+    half = 1
+    while 4**half < n:
+        half += 1
+    keys = [mix(k * 0x9E3779B97F4A7C15 % 2**64, seed) for k in range(1, 7)]
+    while True:
+        left, right = divmod(number, 2**half)
+        for key in keys:
+            left, right = right, left ^ (mix(right, key) % 2**half)
+        number = left * 2**half + right
+        if number < n:
+            return number
+
+
+def test_against_brute_force(spark):
+    """Shard and slot of every document from its place in order of the id."""
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: (r.shard, r.slot) for r in op9_sharding(spark, folder).collect()}
+    places = {doc: feistel(k, len(got), 2024) for k, doc in enumerate(sorted(got))}
+    assert got == {doc: (p % 24, p // 24) for doc, p in places.items()}
+
+
 def test_partitions_do_not_matter(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     one = {r.doc_id: (r.shard, r.slot) for r in shard(frame.coalesce(1), 5).collect()}

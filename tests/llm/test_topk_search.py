@@ -31,6 +31,18 @@ def test_block(kind):
         assert (block.ids[best] == ids[want]).all() and (scores == s[want]).all()
 
 
+def test_a_floor_stops_earlier():
+    rng = np.random.default_rng(4)
+    x, ids = np.floor(256 * rng.normal(size=(2000, 8))).astype(np.int64), np.arange(2000)
+    block = Block(ids, ids, x)
+    for q in range(0, 2000, 97):
+        best, scores = block.top(x[q], 5, q)
+        for floor in (-(10**9), int(scores[2]), int(scores[0]) + 1):
+            some, kept = block.top(x[q], 5, q, floor)
+            fits = scores >= floor
+            assert list(some) == list(best[fits]) and list(kept) == list(scores[fits])
+
+
 def test_stops_early():
     x = np.zeros((5000, 4), np.int64)
     x[:, 0] = np.arange(5000)
@@ -50,7 +62,10 @@ def test_awkward_rows(spark, monkeypatch):
     assert top_k(frame.limit(0), 5, 10).count() == 0 and top_k(frame.where("vec_id = 70")).count() == 0
 
 
-def test_query(spark):
+@pytest.mark.parametrize("block", [8192, 60])
+def test_query(spark, monkeypatch, block):
+    """Also where the first block gives the others their floor."""
+    monkeypatch.setattr(topk_search, "BLOCK_ROWS", block)
     folder = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in op3_topk_search(spark, folder).collect()) == brute(rows, 5, 50)
