@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The redirect that wraps links of brands without a program of their own.
-REDIRECT = "https://redirect.viglink.com/"
+from . import rules
+
+REDIRECT = rules.REDIRECT
 
 
 def quote(x: Column) -> Column:

@@ -37,8 +37,8 @@ def first_price(variants: Column) -> Column:
 
 
 def usd(price: Column, rate: Column) -> Column:
-    """In whole dollars, halves to the even one; an unknown rate is 1."""
-    return F.rint(price * F.coalesce(rate, F.lit(1.0))).cast("int")
+    """In whole dollars, halves to the even one; an unknown rate is 1. Null if that is no whole number that fits."""
+    return F.rint(price * F.coalesce(rate, F.lit(1.0))).try_cast("int")
 
 
 def size_rank(size: Column) -> Column:
@@ -98,7 +98,7 @@ def samples(products: Column, currency: Column, n: int = 3) -> Column:
         F.coalesce(products, F.array()),
         lambda p: F.struct(
             strip(blank(p["title"])).alias("name"),
-            F.coalesce(F.concat(currency, F.lit(" "), F.rint(first_price(p["variants"])).cast("long").cast("string")), F.lit("")).alias("price"),
+            F.coalesce(F.concat(currency, F.lit(" "), F.rint(first_price(p["variants"])).try_cast("long").cast("string")), F.lit("")).alias("price"),
             first_image(p["images"]).alias("image"),
         ),
     )

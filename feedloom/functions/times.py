@@ -17,12 +17,18 @@ def parse(x: Column) -> Column:
     return F.try_to_timestamp(x)
 
 
+def _utc(x: Column) -> Column:
+    """The clock in UTC at a timestamp, whatever the session's zone; times without a zone are read in the session's."""
+    return F.to_utc_timestamp(x.cast("timestamp"), F.current_timezone())
+
+
 def iso(x: Column) -> Column:
-    return F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.date_format(_utc(x), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def pushed_today(at: Column, as_of: Column) -> Column:
-    return F.coalesce(F.to_date(at) == F.to_date(as_of), F.lit(False))
+    """Whether both are on one day in UTC."""
+    return F.coalesce(F.to_date(_utc(at)) == F.to_date(_utc(as_of)), F.lit(False))
 
 
 def recently_active(at: Column, as_of: Column, days: int = rules.ACTIVE_DAYS) -> Column:

@@ -23,8 +23,7 @@ def messages(people: DataFrame, profiles: DataFrame, place: str = "the feed") ->
     token = strip(blank(F.col("push_token")))
     valid = token.startswith(rules.PUSH_PREFIXES[0]) | token.startswith(rules.PUSH_PREFIXES[1])
     joined = people.join(profiles.select(F.col("id").alias("user_id"), token.alias("to"), valid.alias("x_valid")).where("x_valid"), "user_id")
-    asked = F.concat(F.lit("✦ "), "brand", F.lit(f" is now on {place} — the brand you asked for just landed."))
-    followed = F.concat(F.lit(f"✦ New on {place}: "), "brand", F.lit(" — a brand you follow just dropped."))
+    asked, followed = (F.concat(F.lit(a.format(place=place)), "brand", F.lit(b.format(place=place))) for a, b in (rules.SAY_ASKED, rules.SAY_FOLLOWED))
     return joined.select("brand", "user_id", "to", F.when(F.col("is_requester"), asked).otherwise(followed).alias("body"))
 
 

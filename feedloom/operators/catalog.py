@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import links, products, text
+from ..functions import links, products, rules, text
 from .selection import effective_cap, interleave, is_excluded, name_repeats_removed, select_products
-from .snapshots import added_at, carried_forward
+from .snapshots import added_at, carried_forward, validated_images
 
 
 def with_store(raw: DataFrame, stores: DataFrame, fx: DataFrame) -> DataFrame:
@@ -52,14 +52,16 @@ def normalized(rows: DataFrame) -> DataFrame:
 def selected(rows: DataFrame, per_brand: int) -> DataFrame:
     """Each store's rows within its cap, and within the cap of variants of one thing."""
     rows = rows.withColumns({"base": text.base_name(F.col("name")), "cap": effective_cap(F.col("store_brand"), per_brand)})
-    return select_products(rows).drop("base", "cap")
+    return select_products(rows, most=max(per_brand, rules.MAINSTREAM_CAP)).drop("base", "cap")
 
 
-def build(raw: DataFrame, stores: DataFrame, fx: DataFrame, templates: DataFrame, curated: DataFrame, previous: DataFrame, as_of: Column, seed: str, per_brand: int = 60, key: str = "", campaign: str = "") -> DataFrame:
+def build(raw: DataFrame, stores: DataFrame, fx: DataFrame, templates: DataFrame, curated: DataFrame, previous: DataFrame, as_of: Column, seed: str, per_brand: int = 60, key: str = "", campaign: str = "", checks: DataFrame | None = None) -> DataFrame:
     """The catalog: scraped, curated and carried rows, in the order of (part, round, turn, pos).
 
     ``curated`` and ``previous`` have the catalog's columns. Curated links are
-    wrapped; carried rows stay as they were, with their own stamp.
+    wrapped; carried rows stay as they were, with their own stamp. If the
+    results of image ``checks`` are given (url, status, content_type), rows are
+    repaired or dropped by them, within the guard of ``validated_images``.
     """
     wrapped = lambda df: with_template(df, templates).withColumn("affiliate_url", links.wrap(F.col("affiliate_url"), F.col("template"), F.lit(key), F.lit(campaign))).drop("template")
     scraped = selected(normalized(with_store(raw, stores, fx)), per_brand)
@@ -70,6 +72,8 @@ def build(raw: DataFrame, stores: DataFrame, fx: DataFrame, templates: DataFrame
     live = scraped.unionByName(by_hand, allowMissingColumns=True).withColumn("last_seen_at", as_of)
     kept = carried_forward(live, previous, as_of).withColumn("part", F.lit(3))
     every = live.drop("store_order", "store_brand", "domain", "handle").unionByName(kept, allowMissingColumns=True)
+    if checks is not None:
+        every = validated_images(every, checks)
     order = ["part", "round", "turn", "pos", "id"]
     every = name_repeats_removed(every, order).where(~is_excluded(F.col("brand")))
     return added_at(every, previous, as_of)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import money, products, times
+from ..functions import money, products, rules, times
 from ..functions.text import blank, strip
 from .selection import keep_first
 
@@ -18,16 +18,19 @@ def alerts(saved: DataFrame, live: DataFrame) -> DataFrame:
     """
     pid = F.coalesce(F.nullif(F.col("product_id").cast("string"), F.lit("")), F.nullif(F.col("saved_id").cast("string"), F.lit("")))
     # What depends on the catalog alone is made once a product, before the join.
-    live = live.withColumns({"pid": F.col("id").cast("string"), "new": products.distinct_sizes(F.col("sizes"))}).drop("id", "sizes").withColumn("new_canon", products.canon_sizes(F.col("new")))
-    joined = saved.withColumn("pid", pid).where("pid IS NOT NULL").join(live, "pid")
-    once = keep_first(joined, ["user_id", "pid"], ["pos"])
+    live = live.select(F.col("id").cast("string").alias("pid"), "price", strip(blank(F.col("brand"))).alias("brand"), strip(blank(F.col("name"))).alias("name"), products.distinct_sizes(F.col("sizes")).alias("new"))
+    live = live.withColumn("new_canon", products.canon_sizes(F.col("new")))
+    # A live product is there for all of a user's savings of it or for none, so
+    # that the first is found before the join: rows that lie by user stay there.
+    first = keep_first(saved.withColumn("pid", pid).where("pid IS NOT NULL"), ["user_id", "pid"], ["pos"])
+    once = first.join(live, "pid")
     drop = money.meaningful_drop(F.col("price"), F.col("price_at_save"))
     once = once.withColumn("old", products.distinct_sizes(F.col("saved_sizes"))).withColumn("old_canon", products.canon_sizes(F.col("old")))
     both = (F.size("old") > 0) & (F.size("new") > 0)
     none = F.array().cast("array<string>")
     missing = lambda of, there: products.sizes_missing(F.col(of), F.col(f"{of}_canon"), F.col(f"{there}_canon"))
     made = once.select(
-        "user_id", "pid", "pos", strip(blank(F.col("brand"))).alias("brand"), strip(blank(F.col("name"))).alias("name"),
+        "user_id", "pid", "pos", "brand", "name",
         F.when(drop, F.col("price_at_save").cast("double")).alias("was"),
         F.when(drop, F.col("price").cast("double")).alias("now"),
         F.when(drop, money.sale_percent(F.col("price"), F.col("price_at_save"))).alias("pct"),
@@ -56,15 +59,15 @@ def summaries(found: DataFrame) -> DataFrame:
         F.count_if(sale).alias("n_sales"), F.count_if(restock).alias("n_restocks"),
         lead(sale).alias("sale"), lead(restock).alias("restock"),
     )
-    named = lambda c: F.when(F.col(c) != "", F.col(c)).otherwise("A saved piece")
+    named = lambda c: F.when(F.col(c) != "", F.col(c)).otherwise(rules.SAY_NAMELESS)
     more = lambda n, words: F.concat(F.lit(" +"), n.cast("string"), F.lit(words))
-    sale_tail = F.when(F.col("n_sales") > 1, more(F.col("n_sales") - 1, " more on sale")).when(F.col("n_restocks") > 0, more(F.col("n_restocks"), " back in your size")).otherwise("")
-    sale_body = F.concat(named("sale.label"), F.lit(" is "), F.col("sale.pct").cast("string"), F.lit("% off (now $"), money.price_text(F.col("sale.now")), F.lit(")."), sale_tail)
-    back_tail = F.when(F.col("n_restocks") > 1, more(F.col("n_restocks") - 1, " more restocked")).otherwise("")
-    back_body = F.concat(named("restock.label"), F.lit(" is back in "), F.col("restock.size"), F.lit("."), back_tail)
+    sale_tail = F.when(F.col("n_sales") > 1, more(F.col("n_sales") - 1, rules.SAY_MORE_SALES)).when(F.col("n_restocks") > 0, more(F.col("n_restocks"), rules.SAY_ALSO_BACK)).otherwise("")
+    sale_body = F.concat(named("sale.label"), F.lit(rules.SAY_SALE[0]), F.col("sale.pct").cast("string"), F.lit(rules.SAY_SALE[1]), money.price_text(F.col("sale.now")), F.lit(rules.SAY_SALE[2]), sale_tail)
+    back_tail = F.when(F.col("n_restocks") > 1, more(F.col("n_restocks") - 1, rules.SAY_MORE_BACK)).otherwise("")
+    back_body = F.concat(named("restock.label"), F.lit(rules.SAY_BACK[0]), F.col("restock.size"), F.lit(rules.SAY_BACK[1]), back_tail)
     return out.select(
         "user_id", "signature", "n_sales", "n_restocks",
-        F.when(F.col("n_sales") > 0, "Price drop among your saved items ✦").when(F.col("n_restocks") > 0, "Back in your size ✦").alias("title"),
+        F.when(F.col("n_sales") > 0, rules.SAY_SALE_TITLE).when(F.col("n_restocks") > 0, rules.SAY_BACK_TITLE).alias("title"),
         F.when(F.col("n_sales") > 0, sale_body).when(F.col("n_restocks") > 0, back_body).alias("body"),
     )
 

@@ -2,39 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dot, l2_normalize
+from ..functions.vectors import l2_normalize
 
-#: A query set is broadcast only up to this many rows.
-MAX_QUERIES = 1_000
+#: Rows of about so many vectors are compared with as many queries at a time.
+BLOCK = 2048
+#: Cosines that differ less than this many decimals are equal.
+DECIMALS = 9
 
 
-def _queries(vectors: DataFrame, sample: int, item: str) -> DataFrame:
-    if sample > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} query vectors; see the exact search of the llm package for more")
-    return vectors.orderBy(item).limit(sample).select(F.col(item).alias("query_id"), F.col("x_v").alias("x_q"))
+def _in_blocks(vectors: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """(block, ids, vectors) of about BLOCK rows each, dealt by a hash of the id; and the number of blocks."""
+    n = max(1, -(-vectors.count() // BLOCK))
+    dealt = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).alias(name)).agg(F.array_sort(F.collect_list(F.struct("id", "v"))).alias("rows"))
+    return dealt.select(name, F.col("rows.id").alias(f"{name}_ids"), F.flatten("rows.v").alias(f"{name}_vectors")), n
 
 
-def cosine_pairs(df: DataFrame, sample: int = 300, item: str = "id", vector: str = "vec") -> DataFrame:
-    """(query_id, neighbour_id, cosine) of the first ``sample`` rows by id with every other row.
+def _best(k: int):
+    """(query ids, query vectors, ids, vectors) to each query's ``k`` nearest among the ids, itself left out."""
 
-    The query set's size is a parameter with a bound, so it is broadcast to all rows.
-    """
-    vectors = df.where(F.size(vector) > 0).select(item, l2_normalize(F.col(vector)).alias("x_v"))
-    joined = vectors.join(F.broadcast(_queries(vectors, sample, item)), F.col(item) != F.col("query_id"))
-    return joined.select("query_id", F.col(item).alias("neighbour_id"), dot(F.col("x_q"), F.col("x_v")).alias("cosine"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in range(b.num_rows):
+                q_ids, q, ids, v = (b.column(c)[row].values.to_numpy() for c in range(4))
+                cosines = q.reshape(len(q_ids), -1) @ v.reshape(len(ids), -1).T
+                ranked = np.where(q_ids[:, None] == ids, -np.inf, np.round(cosines, DECIMALS))
+                # Ids are in order, and the sort is stable: ties go to the smaller one.
+                at = np.argsort(-ranked, axis=1, kind="stable")[:, :k]
+                fits = np.take_along_axis(ranked, at, 1) > -np.inf
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, at.shape[1])[fits.ravel()]), pa.array(ids[at][fits]), pa.array(np.take_along_axis(cosines, at, 1)[fits])], names=["query_id", "neighbour_id", "cosine"])
 
+    return run
 
-def nearest(df: DataFrame, sample: int = 300, item: str = "id", vector: str = "vec") -> DataFrame:
-    """Each query's nearest row; of equal ones that with the smallest id. Combined before the exchange."""
-    pairs = cosine_pairs(df, sample, item, vector)
-    best = F.max_by(F.struct("neighbour_id", "cosine"), F.struct(F.round("cosine", 9), -F.col("neighbour_id")))
-    return pairs.groupBy("query_id").agg(best.alias("b")).select("query_id", "b.neighbour_id", "b.cosine")
 
+def k_nearest(df: DataFrame, queries: DataFrame, k: int = 5, item: str = "id", vector: str = "vec") -> DataFrame:
+    """(query_id, rank, neighbour_id, cosine): the ``k`` nearest rows of ``df`` to each of the ``queries``, but itself.
 
-def k_nearest(df: DataFrame, k: int, sample: int = 300, item: str = "id", vector: str = "vec") -> DataFrame:
-    """Each query's ``k`` nearest rows, ranked."""
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("cosine", 9)), "neighbour_id")
-    return cosine_pairs(df, sample, item, vector).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    Both are of the same columns, the ids integers, all vectors of one length;
+    rows without a vector take no part. Blocks of vectors meet blocks of queries,
+    each pair of blocks keeps ``k`` a query, and these are ranked. Of equal
+    cosines the smaller id comes first.
+    """
+    normal = lambda d: d.where(F.size(vector) > 0).select(F.col(item).cast("long").alias("id"), l2_normalize(F.col(vector)).cast("array<double>").alias("v"))
+    vectors, _ = _in_blocks(normal(df), "b")
+    asked, n_queries = _in_blocks(normal(queries), "q")
+    met = vectors.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))).join(asked, "q").select("q_ids", "q_vectors", "b_ids", "b_vectors")
+    found = met.mapInArrow(_best(k), "query_id long, neighbour_id long, cosine double")
+    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("cosine", DECIMALS)), "neighbour_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def nearest(df: DataFrame, sample: int = 300, item: str = "id", vector: str = "vec") -> DataFrame:
+    """A report on a sample: the nearest row to each of the first ``sample`` rows by id."""
+    return k_nearest(df, df.orderBy(item).limit(sample), 1, item, vector).drop("rank")

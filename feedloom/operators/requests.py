@@ -61,8 +61,12 @@ def judged(requests: DataFrame, stores: DataFrame, currencies: Column, key: str
 
 
 def review_updates(judged_: DataFrame, as_of: Column, key: str = "id") -> DataFrame:
-    """The new state of each pending request: rejected with its reason, or awaiting review under a name to show."""
+    """The new state of each pending request: rejected with its reason, or awaiting review under a name to show.
+
+    A ``sample`` of products (see ``with_samples``) goes with those that await review.
+    """
     ok = F.col("reject_reason").isNull()
+    sample = [F.when(ok, F.col("sample")).alias("sample")] if "sample" in judged_.columns else []
     return judged_.select(
         key,
         F.when(ok, "awaiting_review").otherwise("rejected").alias("status"),
@@ -71,6 +75,7 @@ def review_updates(judged_: DataFrame, as_of: Column, key: str = "id") -> DataFr
         F.when(ok, F.col("domain")).alias("resolved_domain"),
         F.when(ok, F.col("currency")).alias("candidate_currency"),
         as_of.alias("processed_at"),
+        *sample,
     )
 
 
@@ -111,6 +116,16 @@ def to_resend(requests: DataFrame, as_of: Column) -> DataFrame:
     return due.withColumn("reason", F.when(never, "never emailed").otherwise("link expired"))
 
 
+def emailed_updates(sent: DataFrame, as_of: Column, key: str = "id") -> DataFrame:
+    """The stamp of each request whose mail was ``sent``, and of no other: those left out are sent again."""
+    return sent.select(key).distinct().withColumn("review_emailed_at", as_of)
+
+
+def reminted_updates(requests: DataFrame, nonces: DataFrame, as_of: Column, key: str = "id") -> DataFrame:
+    """New nonces (key, nonce) of the requests to send again, which make older links void; set before their mail goes out."""
+    return to_resend(requests, as_of).select(key, "reason").join(nonces.select(key, F.col("nonce").alias("approval_nonce")), key)
+
+
 def with_samples(requests: DataFrame, store_products: DataFrame) -> DataFrame:
     """Requests with up to three products of their store; ``store_products``: domain, products."""
     return requests.join(store_products, "domain", "left").withColumn("sample", products.samples(F.col("products"), F.col("currency"))).drop("products")

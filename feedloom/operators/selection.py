@@ -37,19 +37,23 @@ def is_excluded(brand: Column) -> Column:
     return brand_key(brand).isin(brand_keys(rules.EXCLUDED_BRANDS))
 
 
-def capped(df: DataFrame, store: str, base: str, cap: Column, order: Sequence[str | Column], per_base: int = rules.VARIANTS_PER_BASE) -> DataFrame:
+def capped(df: DataFrame, store: str, base: str, cap: Column, order: Sequence[str | Column], per_base: int = rules.VARIANTS_PER_BASE, most: int | None = None) -> DataFrame:
     """In each store at most ``per_base`` rows of a base name, then at most ``cap`` rows, in order.
 
-    One exchange: rows dealt by store already lie right for (store, base). Both
-    ranks are cut early by Spark's window group limit.
+    Each rank is cut by Spark's window group limit before its exchange: rows
+    beyond ``per_base`` before they are dealt by base name, and, if a bound
+    ``most`` of all caps is given, rows beyond it before a store meets in one task.
     """
     by_base = F.row_number().over(Window.partitionBy(store, base).orderBy(*order))
-    dealt = df.repartition(store).withColumn("x_base", by_base).where(F.col("x_base") <= per_base)
+    dealt = df.withColumn("x_base", by_base).where(F.col("x_base") <= per_base)
     by_store = F.row_number().over(Window.partitionBy(store).orderBy(*order))
-    return dealt.withColumn("x_store", by_store).where(F.col("x_store") <= cap).drop("x_base", "x_store")
+    ranked = dealt.withColumn("x_store", by_store)
+    if most is not None:
+        ranked = ranked.where(F.col("x_store") <= most)
+    return ranked.where(F.col("x_store") <= cap).drop("x_base", "x_store")
 
 
-def select_products(df: DataFrame, store: str = "store_order", pos: str = "pos", item: str = "id", base: str = "base", cap: str = "cap") -> DataFrame:
+def select_products(df: DataFrame, store: str = "store_order", pos: str = "pos", item: str = "id", base: str = "base", cap: str = "cap", most: int | None = None) -> DataFrame:
     """Walks stores in order and keeps what is new, within both caps.
 
     An id counts as taken once a row with it is *kept*, in any store before. If
@@ -60,7 +64,7 @@ def select_products(df: DataFrame, store: str = "store_order", pos: str = "pos",
     order = [store, pos]
     # Rows read through the rounds, by an id that occurs twice.
     repeated = df.groupBy(item).count().where("count > 1").select(item)
-    kept = capped(df, store, base, F.col(cap), order)
+    kept = capped(df, store, base, F.col(cap), order, most=most)
     if repeated.limit(1).count() == 0:
         return kept
     df = materialize(df)
@@ -69,7 +73,7 @@ def select_products(df: DataFrame, store: str = "store_order", pos: str = "pos",
         at = F.struct(store, pos)
         first = kept.join(repeated, item, "left_semi").groupBy(item).agg(F.min(at).alias("x_taken"))
         free = df.join(first, item, "left").where(F.col("x_taken").isNull() | (at <= F.col("x_taken"))).drop("x_taken")
-        again = materialize(capped(free, store, base, F.col(cap), order))
+        again = materialize(capped(free, store, base, F.col(cap), order, most=most))
         # A symmetric difference of keys: nothing comes to the driver but whether there is one.
         changed = again.select(*order).exceptAll(kept.select(*order)).union(kept.select(*order).exceptAll(again.select(*order))).limit(1).count()
         kept = again
@@ -88,15 +92,22 @@ def interleave(df: DataFrame, store: str, item: str, seed: str) -> DataFrame:
     return ranked.withColumn("turn", F.md5(F.concat_ws("|", F.lit(seed), F.col(store).cast("string"), F.col("round").cast("string"))))
 
 
-def batch_numbers(df: DataFrame, key: str, size: int = rules.PUSH_BATCH) -> DataFrame:
-    """Rows with ``batch_no``, each of at most ``size`` rows, without sorting all rows in one task.
+def row_numbers(df: DataFrame, *order: str) -> DataFrame:
+    """Rows with their number ``row`` in this order, from 0, without sorting all of them in one task.
 
-    Rows are dealt to hash buckets, and numbered in each; batches of a bucket
-    are its own.
+    Rows are dealt by ranges and written; the sizes of the ranges, one row a
+    partition, give where each begins. Rows that are equal in ``order`` are
+    numbered as they come, so that it should tell all rows apart.
     """
-    spark = df.sparkSession
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    row = F.row_number().over(Window.partitionBy("x_bucket").orderBy(key))
-    numbered = df.withColumn("x_bucket", bucket).withColumn("x_row", F.floor((row - 1) / size))
-    return numbered.withColumn("batch_no", F.concat_ws("-", "x_bucket", "x_row")).drop("x_bucket", "x_row")
+    place = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = materialize(ranged.withColumns({"x_part": F.shiftright(place, 33), "x_place": place.bitwiseAND(F.lit((1 << 33) - 1))}))
+    sizes = dealt.groupBy("x_part").agg(F.count(F.lit(1)).alias("x_n"))
+    before = F.coalesce(F.sum("x_n").over(Window.orderBy("x_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("x_part", before.alias("x_before"))
+    return dealt.join(F.broadcast(starts), "x_part").withColumn("row", F.col("x_before") + F.col("x_place")).drop("x_part", "x_place", "x_before")
+
+
+def batch_numbers(df: DataFrame, key: str, size: int = rules.PUSH_BATCH) -> DataFrame:
+    """Rows with ``batch_no`` from 0: in order of a key that tells them apart, ``size`` rows to a batch, the last one less."""
+    return row_numbers(df, key).withColumn("batch_no", F.floor(F.col("row") / size)).drop("row")

@@ -35,10 +35,10 @@ def added_at(products: DataFrame, previous: DataFrame, as_of: Column) -> DataFra
     return joined.withColumn("added_at", stamp).drop("x_added", "x_known")
 
 
-def image_loads(status: Column, content_type: Column) -> Column:
-    """Whether a checked image can be shown."""
+def image_loads(url: Column, status: Column, content_type: Column) -> Column:
+    """Whether a checked image can be shown; only web addresses can."""
     kind = F.lower(blank(content_type))
-    return F.coalesce(status.isin(200, 206), F.lit(False)) & kind.startswith("image/") & ~kind.rlike("^image/hei[cf]")
+    return blank(url).startswith("http") & F.coalesce(status.isin(200, 206), F.lit(False)) & kind.startswith("image/") & ~kind.rlike("^image/hei[cf]")
 
 
 def repaired_images(hero: Column, images: Column, good: Column) -> Column:
@@ -67,6 +67,20 @@ def guarded_drop(df: DataFrame, dropped: Column, brand: str = "brand", limit: fl
     return joined.where(F.col("x_doubt") | ~F.col("x_drop")).withColumn("validated", ~F.col("x_doubt")).drop("x_drop", "x_doubt")
 
 
+def validated_images(df: DataFrame, checks: DataFrame, item: str = "id", hero: str = "image_url", images: str = "images") -> DataFrame:
+    """Rows (unique by ``item``) with images that load: repaired, or dropped where none does, within ``guarded_drop``.
+
+    ``checks``: url, status, content_type; an image without a check doesn't load.
+    """
+    loads = checks.where(image_loads(F.col("url"), F.col("status"), F.col("content_type"))).select("url").distinct()
+    urls = df.select(item, F.explode(F.array_distinct(F.concat(F.array(hero), F.coalesce(images, F.array().cast("array<string>"))))).alias("url")).where("url IS NOT NULL")
+    good = urls.join(loads, "url").groupBy(item).agg(F.collect_set("url").alias("x_good"))
+    checked = df.join(good, item, "left").withColumn("x_made", repaired_images(F.col(hero), F.col(images), F.coalesce("x_good", F.array().cast("array<string>"))))
+    kept = guarded_drop(checked, F.col("x_made").isNull())
+    use = F.col("validated") & F.col("x_made").isNotNull()
+    return kept.withColumns({hero: F.when(use, F.col("x_made.hero")).otherwise(F.col(hero)), images: F.when(use, F.col("x_made.images")).otherwise(F.col(images))}).drop("x_good", "x_made", "validated")
+
+
 def category_mix(df: DataFrame) -> DataFrame:
     """Rows of each category; sort by ``n`` to show."""
     return df.groupBy("category").agg(F.count(F.lit(1)).alias("n"))

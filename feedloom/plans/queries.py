@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import links, money, products, rules, text, times, vectors
@@ -258,19 +259,19 @@ def infer_category(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT p_partkey, array_to_string(CASE WHEN len(shown) > 0 THEN shown WHEN len(behind) > 0 THEN behind ELSE ['neutral'] END, ',') AS colors
-FROM (SELECT p_partkey, {sql_colors("lower(substr(p_name, 1, 4) || ' ' || p_type)")} AS shown, {sql_colors("lower(p_brand || ' ' || p_name)")} AS behind FROM part)"""
+FROM (SELECT p_partkey, {sql_colors("lower(p_name || ' ' || p_type)")} AS shown, {sql_colors("lower(p_brand || ' ' || p_name)")} AS behind FROM part)"""
 )
 def infer_colors(spark: SparkSession, folder: str) -> DataFrame:
-    """here a name's first letters stand for the title, brand and option values for what is behind it."""
+    """the title comes first; brand and option values are behind it."""
     options = F.array(F.struct(F.lit("Colour").alias("name"), F.lit(1).alias("position"), F.array("p_name").alias("values")))
-    colors = text.infer_colors(F.substring("p_name", 1, 4), F.col("p_type"), F.array("p_brand"), options)
+    colors = text.infer_colors(F.col("p_name"), F.col("p_type"), F.array("p_brand"), options)
     return table(spark, folder, "part").select("p_partkey", F.array_join(colors, ",").alias("colors"))
 
 
-@query(f"SELECT doc_id, {sql_brand_key('text[1:80]')} AS brand_key, {sql_slug('text[1:80]')} AS slug, {sql_norm('text[1:80]')} AS name, trim(regexp_replace(lower(text[1:80]), '[^a-z0-9]+', ' ', 'g')) AS type FROM documents")
+@query(f"SELECT doc_id, {sql_brand_key('text')} AS brand_key, {sql_slug('text')} AS slug, {sql_norm('text')} AS name, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS type FROM documents")
 def names_normalized(spark: SparkSession, folder: str) -> DataFrame:
-    """F1 F2 F3 F4, on a document's heading."""
-    heading = F.substring("text", 1, 80)
+    """F1 F2 F3 F4, on whole texts."""
+    heading = F.col("text")
     return table(spark, folder, "documents").select("doc_id", text.brand_key(heading).alias("brand_key"), text.slugify(heading).alias("slug"), text.normalize_name(heading).alias("name"), text.normalize_type(heading).alias("type"))
 
 
@@ -307,7 +308,7 @@ def escape_html(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(rules.FX_TO_USD.items()), "currency string, fx double")
+    return spark.createDataFrame(pa.table({"currency": list(rules.FX_TO_USD), "fx": list(rules.FX_TO_USD.values())}))
 
 
 _CURRENCIES = [*list(rules.FX_TO_USD)[:6], "XXX"]
@@ -338,7 +339,10 @@ def _sold(spark: SparkSession, folder: str) -> DataFrame:
     item = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_returnflag")
     value = lambda v: F.get(F.array(*map(F.lit, ["L", " S ", "2XL", "M", "xs"])), v["l_linenumber"] % 5)
     number = lambda v: F.concat(F.lit("eu "), (v["l_suppkey"] % 9 + 34).cast("string"))
-    sold = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_list(item)).alias("v"))
+    # Of what was sold in one size, or came back, the first is enough.
+    size = F.when(F.col("l_partkey") % 2 == 0, F.col("l_linenumber") % 5).otherwise(F.col("l_suppkey") % 9)
+    firsts = table(spark, folder, "lineitem").groupBy("l_partkey", size.alias("size"), (F.col("l_returnflag") == "R").alias("back")).agg(F.min(item).alias("item"))
+    sold = firsts.groupBy("l_partkey").agg(F.array_sort(F.collect_list("item")).alias("v"))
     variant = lambda v: F.struct(v["l_extendedprice"].cast("string").alias("price"), (v["l_returnflag"] != "R").alias("available"), F.lit("x").alias("option1"), F.when(F.col("l_partkey") % 2 == 0, value(v)).otherwise(number(v)).alias("option2"), F.lit(None).cast("string").alias("option3"))
     declared = F.array(*[F.lit(f"eu {n}") for n in (40, 38, 36, 34, 42)])
     options = F.array(F.struct(F.lit("Color").alias("name"), F.lit(1).alias("position"), F.array(F.lit("x")).alias("values")), F.struct(F.lit(" SIZE ").alias("name"), F.lit(2).alias("position"), declared.alias("values")))
@@ -422,9 +426,9 @@ def last_wins(spark: SparkSession, folder: str) -> DataFrame:
     return selection.keep_last(table(spark, folder, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type")
 
 
-@query()
+@query(f"SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) // {rules.PUSH_BATCH} AS batch_no FROM customer")
 def push_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """K6: batch numbers of at most 100 rows. They follow the hash of the key, so there is no SQL."""
+    """K6: batches of 100 rows in order."""
     return selection.batch_numbers(table(spark, folder, "customer").select("c_custkey"), "c_custkey")
 
 
@@ -499,11 +503,11 @@ def image_repair(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(key.alias("id"), made.alias("m")).where("m IS NOT NULL").select("id", "m.hero", F.array_join("m.images", " ").alias("images"))
 
 
-@query("SELECT o_orderkey, coalesce(status IN (200, 206), false) AND starts_with(lower(kind), 'image/') AND NOT regexp_matches(lower(kind), '^image/hei[cf]') AS ok FROM (SELECT o_orderkey, [200, 404, 206][1 + o_orderkey % 3] AS status, ['Image/png', 'image/HEIC', 'text/html', 'image/heif-x', 'image/webp'][1 + o_orderkey % 5] AS kind FROM orders)")
+@query("SELECT o_orderkey, o_orderkey % 7 > 0 AND coalesce(status IN (200, 206), false) AND starts_with(lower(kind), 'image/') AND NOT regexp_matches(lower(kind), '^image/hei[cf]') AS ok FROM (SELECT o_orderkey, [200, 404, 206][1 + o_orderkey % 3] AS status, ['Image/png', 'image/HEIC', 'text/html', 'image/heif-x', 'image/webp'][1 + o_orderkey % 5] AS kind FROM orders)")
 def image_check(spark: SparkSession, folder: str) -> DataFrame:
     """P14, on results of requests."""
     pick = lambda xs: F.get(F.array(*map(F.lit, xs)), (F.col("o_orderkey") % len(xs)).cast("int"))
-    return table(spark, folder, "orders").select("o_orderkey", snapshots.image_loads(pick([200, 404, 206]), pick(["Image/png", "image/HEIC", "text/html", "image/heif-x", "image/webp"])).alias("ok"))
+    return table(spark, folder, "orders").select("o_orderkey", snapshots.image_loads(F.when(F.col("o_orderkey") % 7 > 0, "https://i/x").otherwise("data:x"), pick([200, 404, 206]), pick(["Image/png", "image/HEIC", "text/html", "image/heif-x", "image/webp"])).alias("ok"))
 
 
 def _colored(spark: SparkSession, folder: str) -> DataFrame:
@@ -629,6 +633,15 @@ def request_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(spark, folder).select("id", "domain", "currency", "reject_reason")
 
 
+@query(_SQL_JUDGED + " SELECT id, CASE WHEN reject_reason IS NULL THEN 'awaiting_review' ELSE 'rejected' END AS status, CASE WHEN reject_reason IS NULL THEN domain || ' ' || coalesce(nullif(cur, ''), 'USD') || ' ' || len(domain) || ' i' END AS sample FROM judged")
+def review_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests that await review, with products of their store."""
+    product = F.struct(F.col("domain").alias("title"), F.array(F.struct(F.char_length("domain").cast("string").alias("price"))).alias("variants"), F.array(F.struct(F.lit("i").alias("src"))).alias("images"))
+    offers = _probes(spark, folder).select("domain", F.array(product).alias("products"))
+    updates = requests.review_updates(requests.with_samples(_judged(spark, folder), offers), as_of())
+    return updates.select("id", "status", F.array_join(F.transform("sample", lambda p: F.concat_ws(" ", p["name"], p["price"], p["image"])), ";").alias("sample"))
+
+
 @query(_SQL_JUDGED + " SELECT CASE WHEN reject_reason IS NULL THEN 'awaiting_review' ELSE 'rejected' END AS status, reject_reason, count(*) AS n FROM judged GROUP BY ALL")
 def review_counts(spark: SparkSession, folder: str) -> DataFrame:
     """B9 M1 M5 A10."""
@@ -668,6 +681,16 @@ def resend_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return requests.to_resend(_states(spark, folder), as_of()).select("id", "reason")
 
 
+@query(f"""SELECT id, 'n' || id AS approval_nonce, CASE WHEN id % 3 > 0 THEN '{AS_OF}' END AS emailed FROM {_SQL_STATES} WHERE status = 'awaiting_review' AND brand IS NOT NULL AND domain IS NOT NULL AND NOT garbled AND (emailed IS NULL OR emailed + INTERVAL 14 DAY <= TIMESTAMP '{AS_OF}')""")
+def resend_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """M2 M3: new nonces before the mail, stamps after it, for those mails that went out."""
+    state = _states(spark, folder)
+    nonces = state.select("id", F.concat(F.lit("n"), F.col("id").cast("string")).alias("nonce"))
+    minted = requests.reminted_updates(state, nonces, as_of()).drop("reason")
+    stamped = requests.emailed_updates(minted.where("id % 3 > 0"), F.lit(AS_OF))
+    return minted.join(stamped, "id", "left").withColumnRenamed("review_emailed_at", "emailed")
+
+
 def _listed(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "supplier").select(F.col("s_suppkey").cast("int").alias("store_order"), F.col("s_name").alias("brand"), F.concat(F.lit("b"), (F.col("s_suppkey") * 2).cast("string"), F.lit(".COM")).alias("domain"))
 
@@ -700,7 +723,7 @@ def _new_brands(spark: SparkSession, folder: str) -> DataFrame:
 
 def _follows(spark: SparkSession, folder: str) -> DataFrame:
     brands = table(spark, folder, "lineitem").join(table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey")
-    return brands.join(table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id")), "l_orderkey").where("l_quantity < 9").select("brand", "user_id")
+    return brands.join(table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id")), "l_orderkey").select("brand", "user_id").distinct()
 
 
 def _profiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -710,7 +733,7 @@ def _profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 _SQL_RECIPIENTS = """
 WITH nb AS (SELECT p_brand AS brand, min(p_partkey) % 97 + 1 AS user_id FROM part GROUP BY 1),
-f AS (SELECT p_brand AS brand, o_custkey AS user_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity < 9),
+f AS (SELECT DISTINCT p_brand AS brand, o_custkey AS user_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
 r AS (SELECT brand, user_id, bool_or(q) AS is_requester FROM (SELECT brand, user_id, true AS q FROM nb UNION ALL SELECT brand, user_id, false FROM f WHERE brand IN (SELECT brand FROM nb)) GROUP BY ALL)"""
 
 
@@ -744,10 +767,11 @@ def knn_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), 300, "vec_id", "embedding").withColumn("cosine", F.round("cosine", 6))
 
 
-@query(_SQL_PAIRS + ", r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(c, 9) DESC, vec_id)::INT AS rank FROM p) SELECT query_id, vec_id AS neighbour_id, round(c, 6) AS cosine, rank FROM r WHERE rank <= 5")
+@query(_SQL_PAIRS.replace("ORDER BY vec_id LIMIT 300", "WHERE vec_id % 50 = 0") + ", r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(c, 9) DESC, vec_id)::INT AS rank FROM p) SELECT query_id, vec_id AS neighbour_id, round(c, 6) AS cosine, rank FROM r WHERE rank <= 5")
 def knn_cosine(spark: SparkSession, folder: str) -> DataFrame:
-    """B15."""
-    return neighbours.k_nearest(table(spark, folder, "embeddings"), 5, 300, "vec_id", "embedding").withColumn("cosine", F.round("cosine", 6))
+    """More like each item whose id is divisible by 50, among all items."""
+    items = table(spark, folder, "embeddings")
+    return neighbours.k_nearest(items, items.where("vec_id % 50 = 0"), 5, "vec_id", "embedding").withColumn("cosine", F.round("cosine", 6))
 
 
 @query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS length, array_to_string(list_transform(embedding, lambda x: greatest(-127, least(127, round_even((x * 127::FLOAT)::DOUBLE, 0)))::INT), ',') AS bytes FROM embeddings")
@@ -797,11 +821,13 @@ def _shops(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").select(F.col("n_nationkey").alias("store_order"), name.alias("brand"), F.concat(F.lit("shop"), F.col("n_nationkey").cast("string"), F.lit(".com")).alias("domain"), _currency("n_nationkey").alias("currency"), (F.col("n_nationkey") % 5 == 0).alias("multi_brand"))
 
 
+_FEED = "(SELECT p_partkey AS pos, p_partkey % 25 AS store_order, part.* FROM part)"
 _SQL_NORMALIZED = f"""
-WITH r AS (SELECT p_partkey AS pos, {_SQL_VARIANT} AS name, p_type AS kind, p_retailprice AS raw, n_nationkey AS store, CASE n_nationkey WHEN 3 THEN 'Totême' WHEN 4 THEN 'Taottao' ELSE n_name END AS store_brand, CASE WHEN p_partkey % 3 > 0 THEN p_brand END AS vendor,
-    coalesce(fx, 1.0) AS fx FROM part JOIN nation ON n_nationkey = p_partkey % 25 LEFT JOIN {_SQL_FX} ON f.currency = {sql_list(_CURRENCIES)}[1 + n_nationkey % {len(_CURRENCIES)}] WHERE p_partkey % 13 > 0),
+WITH feed AS {_FEED},
+r AS (SELECT pos, p_partkey AS h, {_SQL_VARIANT} AS name, p_type AS kind, p_retailprice AS raw, n_nationkey AS store, CASE n_nationkey WHEN 3 THEN 'Totême' WHEN 4 THEN 'Taottao' ELSE n_name END AS store_brand, CASE WHEN p_partkey % 3 > 0 THEN p_brand END AS vendor,
+    coalesce(fx, 1.0) AS fx FROM feed JOIN nation ON n_nationkey = store_order LEFT JOIN {_SQL_FX} ON f.currency = {sql_list(_CURRENCIES)}[1 + n_nationkey % {len(_CURRENCIES)}] WHERE p_partkey % 13 > 0),
 b AS (SELECT *, CASE WHEN store % 5 = 0 THEN coalesce(vendor, store_brand) ELSE store_brand END AS brand, round_even(raw * fx, 0)::INT AS price FROM r),
-n AS (SELECT pos, store, store_brand, brand, name, price, {sql_slug("brand")} || '-' || pos AS id, {sql_category("lower(kind || ' ' || name)")} AS category,
+n AS (SELECT pos, h, store, store_brand, brand, name, price, {sql_slug("brand")} || '-' || h AS id, {sql_category("lower(kind || ' ' || name)")} AS category,
     {sql_colors("lower(name || ' ' || kind)")} AS c FROM b WHERE price > 0 AND {sql_brand_key("brand")} <> 'taottao' AND NOT {sql_junk("name", "price", "kind")})"""
 
 
@@ -834,6 +860,107 @@ def catalog_build(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("id", "brand", "name", "price", "round", "turn", "affiliate_url", times.iso(F.col("added_at")).alias("added_at"))
 
 
+# A day after another: two stores list some things of one maker, there is a catalog of the day before, rows by
+# hand, affiliate programs, and images that were checked.
+
+_COPIES = 1_000_000
+
+
+def _day_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as products; those of store 0 are in store 20 too. Every other product has a second image."""
+    key = F.col("id").cast("string")
+    image = lambda host: F.struct(F.concat(F.lit(f"http://{host}/"), key).alias("src"))
+    raw = _raw(spark, folder).withColumn("images", F.when(F.col("id") % 13 > 0, F.when(F.col("id") % 2 == 0, F.array(image("i"), image("j"))).otherwise(F.array(image("i")))))
+    return raw.unionByName(raw.where("store_order = 0").withColumns({"store_order": F.lit(20), "pos": F.col("pos") + _COPIES}))
+
+
+def _day_before(spark: SparkSession, folder: str, today: DataFrame) -> DataFrame:
+    """Every fourth product of today, and brands that are gone today."""
+    part, key = table(spark, folder, "part"), F.col("p_partkey")
+    stamps = lambda k: {"last_seen_at": F.when(k % 5 > 0, as_of() - F.make_dt_interval(days=(k % 12).cast("int"))).cast("timestamp"), "added_at": F.when(k % 3 > 0, as_of() - F.make_dt_interval(days=(k % 40).cast("int"))).cast("timestamp")}
+    known = today.where("pos % 4 = 1").withColumn("affiliate_url", F.lit("known")).withColumns(stamps(F.col("pos")))
+    gone = part.where("p_partkey % 6 = 0").select(
+        F.concat(F.lit("old-"), key.cast("string")).alias("id"), F.concat(F.lit("Gone "), (key % 7).cast("string")).alias("brand"), F.when(key % 5 == 0, "Gift Card").otherwise(F.col("p_name")).alias("name"),
+        F.col("p_retailprice").cast("int").alias("price"), F.lit("tops").alias("category"), F.concat(F.lit("http://i/"), key.cast("string")).alias("image_url"), F.lit("old").alias("affiliate_url"), key.alias("pos"),
+    ).withColumns(stamps(F.col("pos")))
+    columns = ["id", "brand", "name", "price", "category", "color_tags", "image_url", "sizes", "images", "affiliate_url", "last_seen_at", "added_at"]
+    return known.unionByName(gone, allowMissingColumns=True).select(*columns)
+
+
+def _by_hand(spark: SparkSession, folder: str, today: DataFrame) -> DataFrame:
+    """Suppliers' things, half of them of a brand that has a store, and some ids that today's stores may have too."""
+    key = F.col("s_suppkey")
+    own = table(spark, folder, "supplier").select(
+        F.concat(F.lit("c-"), key.cast("string")).alias("id"), F.when(key % 2 == 0, "Totême").when(key % 5 == 0, "TAOTTAO").otherwise(F.concat(F.lit("Hand "), (key % 3).cast("string"))).alias("brand"), F.col("s_name").alias("name"),
+        F.lit(200).alias("price"), F.lit("tops").alias("category"), F.concat(F.when(key % 9 == 0, "http://i/").otherwise("http://j/"), key.cast("string")).alias("image_url"), F.concat(F.lit("https://hand/"), key.cast("string")).alias("affiliate_url"),
+    )
+    return own.unionByName(today.where("pos % 50 = 7").withColumn("affiliate_url", F.lit("https://hand/too")).drop("store_order", "store_brand", "domain", "handle", "pos"), allowMissingColumns=True)
+
+
+def _checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Images of host i: every eleventh is lost, and all of store 7's and of those gone brands whose number is 3. Host j has all."""
+    key = F.col("p_partkey")
+    lost = (key % 11 == 0) | (key % 25 == 7) | ((key % 6 == 0) & (key % 7 == 3))
+    one = lambda host, status: table(spark, folder, "part").select(F.concat(F.lit(f"http://{host}/"), key.cast("string")).alias("url"), status.alias("status"), F.lit("image/png").alias("content_type"))
+    return one("i", F.when(lost, 404).otherwise(200)).unionByName(one("j", F.lit(206)))
+
+
+_PROGRAMS = {"toteme": "https://go.example/t?u={url}", "hand1": "https://hand.example/?u={url}"}
+_SQL_LOADS = "(CASE WHEN starts_with(u, 'http://i/') THEN u[10:]::BIGINT <= m AND NOT (u[10:]::BIGINT % 11 = 0 OR u[10:]::BIGINT % 25 = 7 OR (u[10:]::BIGINT % 6 = 0 AND u[10:]::BIGINT % 7 = 3)) ELSE u[10:]::BIGINT <= m END)"
+
+
+def _sql_stamps(k: str) -> str:
+    return f"CASE WHEN {k} % 5 > 0 THEN TIMESTAMP '{AS_OF}' - to_days(({k} % 12)::INT) END AS last_seen_at, CASE WHEN {k} % 3 > 0 THEN TIMESTAMP '{AS_OF}' - to_days(({k} % 40)::INT) END AS added_at"
+
+
+_SQL_WRAPPED = f"CASE WHEN brand = 'Totême' THEN 'https://go.example/t?u=' || url_encode(url) WHEN brand = 'Hand 1' THEN 'https://hand.example/?u=' || url_encode(url) ELSE '{links.REDIRECT}?key=k&u=' || url_encode(url) || '&cuid=app' END"
+
+
+@query(
+    _SQL_NORMALIZED.replace(_FEED, f"(SELECT p_partkey AS pos, p_partkey % 25 AS store_order, part.* FROM part UNION ALL SELECT p_partkey + {_COPIES}, 20, part.* FROM part WHERE p_partkey % 25 = 0)")
+    + f""", a AS (SELECT *, row_number() OVER (PARTITION BY store, {sql_base("name")} ORDER BY pos) AS v FROM n),
+k0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY store ORDER BY pos) AS w FROM a WHERE v <= 2 AND store <> 20) WHERE w <= CASE WHEN store = 3 THEN 15 ELSE 40 END),
+f AS (SELECT *, row_number() OVER (PARTITION BY {sql_base("name")} ORDER BY pos) AS v FROM n WHERE store = 20 AND id NOT IN (SELECT id FROM k0)),
+k1 AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY pos) AS w FROM f WHERE v <= 2) WHERE w <= 40),
+k AS (SELECT * FROM k0 UNION ALL SELECT * FROM k1),
+today AS (SELECT *, row_number() OVER (PARTITION BY store ORDER BY md5('{SEED}' || id), id)::INT AS round FROM k),
+scraped AS (SELECT 1 AS part, round, md5('{SEED}|' || store || '|' || round) AS turn, pos, id, brand, name, price, 'http://i/' || h AS image_url, CASE WHEN h % 2 = 0 THEN ['http://i/' || h, 'http://j/' || h] ELSE ['http://i/' || h] END AS images,
+    'https://shop' || store || '.com/products/' || h AS url, TIMESTAMP '{AS_OF}' AS last_seen_at FROM today),
+hand AS (SELECT 'c-' || s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN 'Totême' WHEN s_suppkey % 5 = 0 THEN 'TAOTTAO' ELSE 'Hand ' || (s_suppkey % 3) END AS brand, s_name AS name, 200 AS price, CASE WHEN s_suppkey % 9 = 0 THEN 'http://i/' ELSE 'http://j/' END || s_suppkey AS image_url, NULL::VARCHAR[] AS images, 'https://hand/' || s_suppkey AS url FROM supplier
+    UNION ALL SELECT id, brand, name, price, 'http://i/' || h, CASE WHEN h % 2 = 0 THEN ['http://i/' || h, 'http://j/' || h] ELSE ['http://i/' || h] END, 'https://hand/too' FROM n WHERE pos % 50 = 7),
+live AS (SELECT * FROM scraped UNION ALL SELECT 2, NULL, NULL, NULL, hand.*, TIMESTAMP '{AS_OF}' FROM hand WHERE id NOT IN (SELECT id FROM scraped)),
+prev AS (SELECT id, brand, name, price, 'http://i/' || h AS image_url, CASE WHEN h % 2 = 0 THEN ['http://i/' || h, 'http://j/' || h] ELSE ['http://i/' || h] END AS images, 'known' AS link, {_sql_stamps("pos")} FROM n WHERE pos % 4 = 1
+    UNION ALL SELECT 'old-' || p_partkey, 'Gone ' || (p_partkey % 7), CASE WHEN p_partkey % 5 = 0 THEN 'Gift Card' ELSE p_name END, trunc(p_retailprice)::INT, 'http://i/' || p_partkey, NULL, 'old', {_sql_stamps("p_partkey")} FROM part WHERE p_partkey % 6 = 0),
+kept AS (SELECT * FROM prev WHERE brand NOT IN (SELECT trim(brand) FROM live) AND id NOT IN (SELECT id FROM live) AND coalesce(last_seen_at, added_at) >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND NOT {sql_junk("name", "price", chr(39) * 2)}),
+every AS (SELECT part, round, turn, pos, id, brand, name, price, image_url, images, {_SQL_WRAPPED} AS affiliate_url, last_seen_at FROM live
+    UNION ALL SELECT 3, NULL, NULL, NULL, id, brand, name, price, image_url, images, link, last_seen_at FROM kept),
+good AS (SELECT every.*, list_filter(list_distinct([image_url] || coalesce(images, [])), lambda u: {_SQL_LOADS}) AS g FROM every, (SELECT max(p_partkey) AS m FROM part)),
+hero AS (SELECT *, CASE WHEN list_contains(g, image_url) THEN image_url ELSE list_filter(coalesce(images, []), lambda u: list_contains(g, u))[1] END AS h FROM good),
+doubt AS (SELECT brand, avg((h IS NULL)::INT) > 0.4 OR (SELECT avg((h IS NULL)::INT) FROM hero) > 0.4 AS doubt FROM hero GROUP BY brand),
+fine AS (SELECT hero.* EXCLUDE (image_url, images), CASE WHEN doubt THEN image_url ELSE h END AS image_url, CASE WHEN doubt THEN images ELSE ([h] || list_filter(coalesce(images, []), lambda u: u <> h))[1:5] END AS images FROM hero JOIN doubt USING (brand) WHERE doubt OR h IS NOT NULL),
+once AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(brand)), lower(trim(name)) ORDER BY part, round, turn, pos, id) AS x FROM fine)
+SELECT part, id, brand, name, price, round, turn, image_url, array_to_string(images, ' ') AS images, affiliate_url, strftime(once.last_seen_at, '%Y-%m-%dT%H:%M:%SZ') AS last_seen_at,
+  strftime(CASE WHEN p.added_at IS NOT NULL THEN p.added_at WHEN p.id IS NOT NULL THEN TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY ELSE TIMESTAMP '{AS_OF}' END, '%Y-%m-%dT%H:%M:%SZ') AS added_at
+FROM once LEFT JOIN (SELECT id, max(added_at) AS added_at FROM prev GROUP BY id) p USING (id) WHERE x = 1 AND {sql_brand_key("brand")} <> 'taottao' AND (SELECT count(*) FROM once WHERE x = 1) >= {rules.MIN_PUBLISHED}"""
+)
+def catalog_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalog of a day after another, read back as it was published."""
+    from ..operators import catalog
+    from ..sources.tables import publish_folder, write_catalog
+
+    feed, shops, rates = _day_feed(spark, folder), _shops(spark, folder), _rates(spark)
+    today = catalog.normalized(catalog.with_store(feed, shops, rates))
+    before, by_hand = _day_before(spark, folder, today), _by_hand(spark, folder, today)
+    programs = spark.createDataFrame(pa.table({"brand_key": list(_PROGRAMS), "template": list(_PROGRAMS.values())}))
+    made = catalog.build(feed, shops, rates, programs, by_hand, before, F.lit(AS_OF).cast("timestamp"), SEED, 40, "k", "app", _checks(spark, folder))
+    made = made.select(
+        "part", "id", "brand", "name", "price", "round", "turn", "image_url", F.array_join("images", " ").alias("images"), "affiliate_url",
+        times.iso(F.col("last_seen_at")).alias("last_seen_at"), times.iso(F.col("added_at")).alias("added_at"),
+    )
+    path = publish_folder(spark)
+    return spark.read.schema(made.schema).parquet(path) if write_catalog(made, path) else made.limit(0)
+
+
 @query(
     "SELECT p_brand AS brand, array_to_string(list(p_name || ' EUR ' || round_even(p_retailprice, 0)::BIGINT || ' i' || p_partkey ORDER BY p_partkey)[1:3], ';') AS sample FROM part WHERE p_partkey % 3 > 0 GROUP BY p_brand"
 )
@@ -842,6 +969,9 @@ def sample_products(spark: SparkSession, folder: str) -> DataFrame:
     price = F.struct(F.col("p_retailprice").cast("string").alias("price"))
     image = F.struct(F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit("i"), F.col("p_partkey").cast("string"))).alias("src"))
     item = F.struct(F.col("p_partkey").alias("at"), F.col("p_name").alias("title"), F.array(price).alias("variants"), F.array(image).alias("images"))
-    stores = table(spark, folder, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.array_sort(F.collect_list(item)).alias("products"))
+    # The first three with an image, before a store's products come together.
+    place = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    first = table(spark, folder, "part").where("p_partkey % 3 > 0").withColumn("place", place).where("place <= 3")
+    stores = first.groupBy(F.col("p_brand").alias("brand")).agg(F.array_sort(F.collect_list(item)).alias("products"))
     text_ = F.transform(products.samples(F.col("products"), F.lit("EUR")), lambda s: F.concat(s["name"], F.lit(" "), s["price"], F.lit(" "), s["image"]))
     return stores.select("brand", F.array_join(text_, ";").alias("sample"))

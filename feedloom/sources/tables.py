@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import rules
 from ..functions.text import blank, brand_keys
 
 RAW_PRODUCT = (
@@ -33,13 +34,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Written once to the folder in ``spark.checkpoint.dir``, and read back: a lost executor costs no lineage."""
-    spark = df.sparkSession
+def publish_folder(spark: SparkSession) -> str:
+    """A new folder under the one in ``spark.checkpoint.dir``, which driver and executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_feedloom_dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = spark._feedloom_dir = "file://" + tempfile.mkdtemp(prefix="feedloom-")
-    path = f"{folder.rstrip('/')}/feedloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/feedloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Written once to the folder in ``spark.checkpoint.dir``, and read back: a lost executor costs no lineage."""
+    spark, path = df.sparkSession, publish_folder(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -118,9 +125,33 @@ def artifact_stamps(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha1("content").alias("sha1"), F.col("length").alias("bytes"))
 
 
-def write_catalog(df: DataFrame, path: str) -> None:
-    """The catalog of record, as Parquet."""
+def read_curated(spark: SparkSession, path: str) -> DataFrame:
+    """Curated rows of a file {products: [...]}; none where it is missing or isn't JSON."""
+    try:
+        return read_catalog(spark, path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T._parse_datatype_string(CATALOG)])
+        raise
+
+
+def write_catalog(df: DataFrame, path: str, least: int = rules.MIN_PUBLISHED) -> bool:
+    """The catalog of record, as Parquet; with fewer than ``least`` rows nothing is written, and the answer is False."""
+    from ..operators.snapshots import may_publish
+
+    df = materialize(df)
+    if not may_publish(df, least):
+        return False
     df.write.mode("overwrite").parquet(path)
+    return True
+
+
+def write_new_brands(added: DataFrame, as_of: Column, path: str) -> None:
+    """The hand-off to whatever announces: one JSON object {generatedAt, brands: [{brand, user_id, request_id}]} of a day's few new stores."""
+    from ..functions.times import iso
+
+    listed = F.array_sort(F.collect_list(F.struct("brand", "user_id", "request_id")))
+    added.agg(listed.alias("brands")).select(iso(as_of).alias("generatedAt"), "brands").coalesce(1).write.mode("overwrite").json(path)
 
 
 def export_catalog(df: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.functions import rules
+from feedloom.functions import products, rules, times
 from feedloom.operators import announce, catalog, digest, insights, neighbours, requests, selection, snapshots
 from feedloom.sources import tables
 
@@ -53,7 +53,10 @@ def test_selection_takes_second_copy(spark):
 def test_selection_plan(spark):
     frame = spark.createDataFrame([(0, 0, "a", "x", 1)], "store_order int, pos int, id string, base string, cap int")
     plan = selection.capped(frame, "store_order", "base", F.col("cap"), ["pos"])._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("WindowGroupLimit") >= 2
+    plan = selection.capped(frame, "store_order", "base", F.col("cap"), ["pos"], most=60)._jdf.queryExecution().executedPlan().toString()
+    # Both ranks are cut before their rows are exchanged.
+    assert plan.count("WindowGroupLimit") == 4 and plan.count("Exchange hashpartitioning") == 2 and plan.rstrip().split("Exchange hashpartitioning")[-1].count("WindowGroupLimit") == 1
 
 
 def test_interleave(spark):
@@ -62,6 +65,23 @@ def test_interleave(spark):
     assert {r.store for r in rows[:2]} == {"a", "b"} and sorted(r.round for r in rows) == [1, 1, 2, 3]
 
 
+def test_times_in_any_zone(spark):
+    """Stamps and days are of UTC whatever the session's zone."""
+    at = F.lit("2024-01-20T23:30:00Z").cast("timestamp")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = spark.range(1).select(times.iso(at).alias("iso"), times.pushed_today(at, F.lit("2024-01-20T01:00:00Z").cast("timestamp")).alias("same"), times.pushed_today(at, F.lit("2024-01-21T00:30:00Z").cast("timestamp")).alias("next")).first()
+            assert (r.iso, r.same, r.next) == ("2024-01-20T23:30:00Z", True, False), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_prices_that_fit_no_number(spark):
+    prices = spark.createDataFrame([("1e12",), ("inf",), ("NaN",), ("110.5",), ("111.5",), (None,)], "p string").select(F.col("p"), products.usd(F.col("p").try_cast("double"), F.lit(1.0)).alias("usd"))
+    assert {r.p: r.usd for r in prices.collect()} == {"1e12": None, "inf": None, "NaN": None, "110.5": 110, "111.5": 112, None: None}
+
+
 def test_keep_first_and_last(spark):
     frame = spark.createDataFrame([("x", 1, 2), ("x", 2, 1), (None, 3, 3)], "k string, pos int, v int")
     assert sorted(r.v for r in selection.keep_first(frame, ["k"], ["pos"]).collect()) == [2, 3]
@@ -71,9 +91,9 @@ def test_keep_first_and_last(spark):
 
 
 def test_batches(spark):
-    numbered = selection.batch_numbers(spark.range(1050).withColumnRenamed("id", "k"), "k", 20)
-    sizes = [r["count"] for r in numbered.groupBy("batch_no").count().collect()]
-    assert sum(sizes) == 1050 and max(sizes) <= 20
+    numbered = selection.batch_numbers(spark.range(1050).repartition(7).withColumnRenamed("id", "k"), "k", 20)
+    assert {r.k: r.batch_no for r in numbered.collect()} == {k: k // 20 for k in range(1050)}
+    assert selection.batch_numbers(spark.range(0), "id").count() == 0
 
 
 def test_grace_and_added(spark):
@@ -118,8 +138,9 @@ def test_images_repaired(spark):
     assert tuple(of("h", array("a", "h", "b"), array("b", "a"))) == ("a", ["a", "h", "b"])
     assert tuple(of("h", array("h", "b"), array("h"))) == ("h", ["h", "b"])
     assert of("h", array("a"), array()) is None
-    ok = lambda s, k: spark.range(1).select(snapshots.image_loads(F.lit(s).cast("int"), F.lit(k).cast("string")).alias("m")).first()["m"]
+    ok = lambda s, k: spark.range(1).select(snapshots.image_loads(F.lit("http://i"), F.lit(s).cast("int"), F.lit(k).cast("string")).alias("m")).first()["m"]
     assert ok(200, "Image/PNG") and ok(206, "image/webp") and not ok(404, "image/png") and not ok(200, "image/heic") and not ok(None, None)
+    assert not spark.range(1).select(snapshots.image_loads(F.lit("data:x"), F.lit(200), F.lit("image/png")).alias("m")).first()["m"]
 
 
 def test_stats_and_gate(spark):
@@ -218,12 +239,16 @@ def test_announce(spark):
     assert ids(announce.notified_updates(new, now())) == [1, 2]
 
 
-def test_neighbours(spark):
-    frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.1]), (3, [0.0, 1.0]), (4, [2.0, 0.1]), (5, [])], "id int, vec array<double>")
-    assert {r.query_id: r.neighbour_id for r in neighbours.nearest(frame).collect()} == {1: 2, 2: 4, 3: 2, 4: 2}
-    assert [(r.query_id, r["rank"], r.neighbour_id) for r in neighbours.k_nearest(frame, 2, 1).orderBy("query_id", "rank").collect()] == [(1, 1, 2), (1, 2, 4)]
-    with pytest.raises(ValueError):
-        neighbours.nearest(frame, 5000)
+def test_neighbours(spark, monkeypatch):
+    rows = [(1, [1.0, 0.0]), (2, [0.8, 0.6]), (3, [0.0, 1.0]), (4, [0.9, 0.5]), (5, []), (6, None)]
+    frame = spark.createDataFrame(rows, "id int, vec array<float>")
+    assert {r.query_id: r.neighbour_id for r in neighbours.nearest(frame).collect()} == {1: 4, 2: 4, 3: 2, 4: 2}
+    assert [(r.query_id, r["rank"], r.neighbour_id) for r in neighbours.k_nearest(frame, frame.where("id = 1"), 2).orderBy("query_id", "rank").collect()] == [(1, 1, 4), (1, 2, 2)]
+    # Blocks of two give what one block gives.
+    whole = {tuple(r) for r in neighbours.k_nearest(frame, frame, 2).select("query_id", "rank", "neighbour_id").collect()}
+    monkeypatch.setattr(neighbours, "BLOCK", 2)
+    assert {tuple(r) for r in neighbours.k_nearest(frame, frame, 2).select("query_id", "rank", "neighbour_id").collect()} == whole and len(whole) == 8
+    assert neighbours.k_nearest(frame.limit(0), frame.limit(0)).count() == 0
 
 
 def test_insights(spark):
@@ -281,7 +306,14 @@ def test_sources(spark, tmp_path):
     users = spark.createDataFrame([("a", "t", None, None, None), ("b", "", None, None, None)], "id string, push_token string, last_marketing_push_sig string, last_marketing_push_at timestamp, updated_at timestamp")
     assert ids(tables.push_users(users)) == ["a"] and tables.push_users(users.drop("updated_at")).count() == 0
     rows = tables.read_or_empty(spark, str(tmp_path / "none")).drop("added_at")
-    tables.write_catalog(rows, str(tmp_path / "out"))
+    assert not tables.write_catalog(rows, str(tmp_path / "out")) and not (tmp_path / "out").exists()
+    assert tables.write_catalog(rows, str(tmp_path / "out"), 0) and (tmp_path / "out").exists()
+    assert tables.read_curated(spark, str(tmp_path / "none.json")).count() == 0
+    (tmp_path / "bad.json").write_text("no json")
+    assert tables.read_curated(spark, str(tmp_path / "bad.json")).count() == 0 and tables.read_curated(spark, str(tmp_path / "list.json")).count() == 1
+    tables.write_new_brands(spark.createDataFrame([("B", 1, 2), ("A", None, 3)], "brand string, user_id int, request_id int"), now(), str(tmp_path / "new"))
+    handed = spark.read.json(str(tmp_path / "new")).first()
+    assert handed.generatedAt == "2024-01-20T12:00:00Z" and [(b.brand, b.request_id) for b in handed.brands] == [("A", 3), ("B", 2)]
     tables.export_catalog(rows, str(tmp_path / "feed"))
     tables.write_stores(stores, spark.createDataFrame([("C", "A.com", "USD"), ("D", "d.com", "USD")], "brand string, domain string, currency string"), str(tmp_path / "cfg"))
     assert ids(spark.read.json(str(tmp_path / "cfg")), "brand") == ["A", "B", "D"]
