@@ -25,7 +25,7 @@ LONGEST_GRAM = 4
 LEAST_COUNT = 3
 UNKNOWN = "und"
 
-_CACHE = 100_000
+_CACHE = 400_000
 _FLUSH = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -53,34 +53,48 @@ class LanguageModel:
     gram_scores: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)  # workers keep one scorer a model
 
-    def unseen(self, word: str) -> np.ndarray:
-        """For each end in the word the longest known n-gram there; together they count as one word."""
-        marked, rows = f"<{word}>", []
+    def unseen(self, word: str) -> list[int]:
+        """Rows of gram_scores: for each end in the word that of the longest known n-gram there."""
+        get, marked, rows = self.grams.get, f"<{word}>", []
         for end in range(2, len(marked) + 1):
-            for n in range(min(LONGEST_GRAM, end), 0, -1):
-                row = self.grams.get(marked[end - n : end])
+            for start in range(max(0, end - LONGEST_GRAM), end):
+                row = get(marked[start:end])
                 if row is not None:
                     rows.append(row)
                     break
-        return self.gram_scores[rows].mean(axis=0) if rows else np.zeros(len(self.languages), np.float32)
+        return rows
 
 
 class Scorer(dict):
-    """Rows of a score matrix by word, filled as words are met."""
+    """Rows of a score matrix by word, filled as words are met; those of unseen words a text at a time."""
 
     def __init__(self, model: LanguageModel):
         self.model, self.used = model, 0
         self.rows = np.empty((_CACHE, len(model.languages)), np.float32)
+        self.unseen: list[tuple[int, list[int]]] = []
 
     def __missing__(self, word: str) -> int:
-        k = self.model.words.get(word)
         if self.used == len(self.rows):
             self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])  # one text with very many words
-        self.rows[self.used] = self.model.word_scores[k] if k is not None else self.model.unseen(word)
+        k = self.model.words.get(word)
+        if k is not None:
+            self.rows[self.used] = self.model.word_scores[k]
+        elif found := self.model.unseen(word):
+            self.unseen.append((self.used, found))
+        else:
+            self.rows[self.used] = 0
         self[word] = self.used
         self.used += 1
         return self[word]
 
+    def _fill(self) -> None:
+        """Scores of new unseen words: the mean over their n-grams, so that together these count as one word."""
+        at, found = zip(*self.unseen)
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        sums = np.add.reduceat(self.model.gram_scores[np.fromiter((r for f in found for r in f), np.int64, int(n.sum()))], np.cumsum(n) - n, axis=0)
+        self.rows[list(at)] = sums / n[:, None]
+        self.unseen.clear()
+
     def predict(self, text: str) -> tuple[str, float]:
         found = words(text)
         if not found or not self.model.languages:
@@ -90,6 +104,8 @@ class Scorer(dict):
             self.used = 0
             self.rows = self.rows[:_CACHE]
         at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        if self.unseen:
+            self._fill()
         total = self.rows[at].sum(axis=0, dtype=np.float64)
         best = int(total.argmax())
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
