@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, written
+from .common import dropped, join_hot, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,15 +13,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates large and small stars: every node hands its larger, then its
     smaller neighbours to the smallest one, until each component is one star.
-    Each round is a written table; edges stay in the executors. The smallest
+    Each round is a written table in the place of the one before; edges stay in the executors. The smallest
     neighbour is a minimum after Spark's partial aggregate; those of nodes with
     very many edges, a bounded number, are broadcast to the edges.
     """
     edges = written(links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct(), "edges")
     before, total = None, edges.count()
     while total:
-        edges = written(_large_star(edges, total), "large")
-        edges = written(_small_star(edges, total), "stars")
+        large = written(_large_star(edges, total), "large")
+        dropped(edges)
+        edges = written(_small_star(large, total), "stars")
+        dropped(large)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import join_hot, session, table, text_of, written
+from .common import dropped, join_hot, session, table, text_of, written
 from .components import components
 
 #: Registers: BANDS x BAND_ROWS of them, each the least of an exponential
@@ -22,7 +22,7 @@ REGISTERS = BANDS * BAND_ROWS
 _SHIFT, _BITS = 250, 11  # registers lie in 0 to 2^11 - 1
 #: In so many rounds at most components of one bucket are compared with so many
 #: documents of its largest each; what stays apart then goes through the prefix filter.
-ROUNDS, TRIES = 3, 4
+ROUNDS, TRIES = 2, 4
 #: A pair is left out before the exact check only if its registers are e^20
 #: times less likely at the threshold, or above, than at their best.
 UNLIKELY = 20.0
@@ -251,7 +251,9 @@ class _Search:
         sent = kept.select("a", "chunk", F.col("a").alias("rep"), F.lit(None).cast("long").alias("b")).distinct().unionByName(kept.select("a", "chunk", F.col("b").alias("rep"), "b"))
         rows = sent.join(self.texts, "rep").select("a", "chunk", "b", "text")
         sorted_ = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-        return written(sorted_.mapInArrow(_confirm(self.k, percent), "a long, b long"), "links")
+        links = written(sorted_.mapInArrow(_confirm(self.k, percent), "a long, b long"), "links")
+        dropped(kept)
+        return links
 
     def link(self, pairs: DataFrame) -> int:
         """Joins the components of those pairs (a, b) that are links; their number. Very frequent documents stand in ``a``."""
@@ -268,16 +270,20 @@ class _Search:
         found = new.count()
         if found:
             self.merge(new)
+        dropped(pairs, new)
         return found
 
     def merge(self, links: DataFrame) -> None:
         """Adds links between nodes: the components that they join become one."""
         for end in ("a", "b"):
             links = links.join(self.of.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
-        step = written(components(links), "step")
+        stars = components(links)
+        step = written(stars, "step")
+        dropped(stars)
         fresh = step.join(self.of, "node", "left_anti")
         moved = self.of.join(step.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
-        self.of = written(moved.select("node", F.coalesce("into", "component").alias("component")).unionByName(fresh), "components")
+        before, self.of = self.of, written(moved.select("node", F.coalesce("into", "component").alias("component")).unionByName(fresh), "components")
+        dropped(step, before)
 
     def placed(self, rows: DataFrame, compared: bool) -> DataFrame:
         """Those ``rows`` of buckets that hold several components, with component and the bucket's largest one (``main``).
@@ -286,7 +292,10 @@ class _Search:
         documents has nothing left to compare.
         """
         rows = rows.select("band", "rep", "n").join(self.of.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        return written(_mixed(written(rows, "placed"), "band", 3 if compared else 2), "mixed")
+        placed = written(rows, "placed")
+        made = written(_mixed(placed, "band", 3 if compared else 2), "mixed")
+        dropped(placed)
+        return made
 
     def run(self) -> None:
         # First each document with the one document that heads most of its buckets.
@@ -298,7 +307,8 @@ class _Search:
         rows = self.placed(self.members, False)
         for round_ in range(ROUNDS):
             found = not rows.isEmpty() and self.link(_tries(rows, round_))
-            rows = self.placed(rows, True)
+            before, rows = rows, self.placed(rows, True)
+            dropped(before)
             if not found:
                 break
         if not rows.isEmpty():
