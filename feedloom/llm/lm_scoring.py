@@ -39,8 +39,11 @@ _CACHE = 300_000
 _BOUNDARY = "\n"
 #: Flags in a row's number: in the target, counted, scored.
 _TARGET, _COUNTED, _SCORED = 1, 2, 4
-#: Kinds of events beside pairs: a context outside the vocabulary, and what a row brings along.
-_CONTEXT, _OF_TARGET, _OF_BACKGROUND, _PAIRS, _KEY, _T1, _T2 = range(-1, -8, -1)
+#: Kinds of events, in 16 bits: the second word's number (one more for any outside
+#: the vocabulary), and beyond these a context outside the vocabulary, and what a row brings along.
+_CONTEXT, _OF_TARGET, _OF_BACKGROUND, _PAIRS, _KEY, _T1, _T2 = range(65_529, 65_536)
+#: Events travel in bundles, so many for each partition they are dealt to.
+BUNDLES = 4
 
 
 def tokens(text: str) -> list[str]:
@@ -155,6 +158,8 @@ def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "te
     size; all other pairs, of all words, are counted when texts are scored, in
     the executors, and grow with the corpus.
     """
+    if vocabulary >= _CONTEXT - 1:
+        raise ValueError(f"a vocabulary has fewer than {_CONTEXT - 1} words")
     spark = session(df)
     keys = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("of_target", F.lit(_TARGET))
     rows = _rows(df, key, text, F.lit(_COUNTED))
@@ -198,13 +203,11 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _kind(kind: np.ndarray | int, times: np.ndarray | int) -> np.ndarray:
-    """Kind of an event (a word's number, or one below 0) and how often it happened, in one number."""
-    return (np.asarray(kind, np.int64) + 8 << 32) + times
+_BUNDLE = "bundle int, first long, key array<long>, row array<int>, kind array<smallint>, times array<int>, value array<long>"
 
 
 def _events(held):
-    """(k, t1, t2, flags, text) to events (key, row, kind, value).
+    """(k, t1, t2, flags, text) to bundles of events (key, row, kind, times, value), dealt by key.
 
     Of each row: every pair with a word that isn't frequent, once, and every
     context outside the vocabulary, by a hash; where the row is scored, also its
@@ -212,26 +215,38 @@ def _events(held):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, before, frequent, whole = held.value
+        numbers, before, frequent, whole, bundles = held.value
         size, n_vocabulary = frequent.shape[1], before.shape[1]
         contexts = -np.round(np.log(before + BACKOFF) / UNIT).astype(np.int64)
         part, seen = TaskContext.get().partitionId(), 0
+        names = [c.split(" ")[0] for c in _BUNDLE.split(", ")]
+
+        def bundled(first: int, at: np.ndarray, ends: np.ndarray, keys, rows, kinds, times, values) -> pa.RecordBatch:
+            ends = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c.astype(t))) for c, t in ((keys, np.int64), (rows, np.int32), (kinds.astype(np.uint16).view(np.int16), np.int16), (times, np.int32))]
+            last = pa.nulls(len(at), pa.list_(pa.int64())) if values is None else pa.ListArray.from_arrays(ends, values)
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.full(len(at), first)), *lists, last], names=names)
+
         for rows, a, b, n in _pieces(batches, Codes(numbers)):
             flags = rows.column(3).to_numpy().astype(np.int64)
-            ids = ((np.int64(part) << 33) + seen + np.arange(rows.num_rows) << 3) + flags
+            first = (part << 33) + seen << 3
+            own = (np.arange(rows.num_rows) << 3) + flags  # a row's number, less the first one
             seen += rows.num_rows
             of = np.repeat(np.arange(rows.num_rows), n)
             fits = _among(a, b, size)
             known = ~fits & (a >= 0)
             # Pairs to be counted, and contexts, each once for each row.
             keys = np.concatenate([_mixed(a[~fits], b[~fits]), _mixed(a[a < 0], ~a[a < 0])])
-            kinds = np.concatenate([np.where(b[~fits] < 0, n_vocabulary, b[~fits]), np.full((a < 0).sum(), _CONTEXT)])
-            rs = np.concatenate([of[~fits], of[a < 0]])
-            order = np.lexsort((kinds, keys, rs))
-            keys, kinds, rs = keys[order], kinds[order], rs[order]
-            new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rs[1:] != rs[:-1]) | (kinds[1:] != kinds[:-1])])) if len(keys) else np.empty(0, np.int64)
-            times = np.diff(np.append(new, len(keys)))
-            columns = [[keys[new]], [ids[rs[new]]], [_kind(kinds[new], times)], [pa.array(np.zeros(len(new), np.int64))]]
+            if len(keys):
+                kinds = np.concatenate([np.where(b[~fits] < 0, n_vocabulary, b[~fits]), np.full((a < 0).sum(), _CONTEXT)])
+                rs = np.concatenate([of[~fits], of[a < 0]])
+                to = (keys.view(np.uint64) % np.uint64(bundles)).astype(np.int64)
+                order = np.lexsort((kinds, keys, rs, to))
+                keys, kinds, rs, to = keys[order], kinds[order], rs[order], to[order]
+                new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rs[1:] != rs[:-1]) | (kinds[1:] != kinds[:-1])]))
+                times = np.diff(np.append(new, len(keys)))
+                at, ends = np.unique(to[new], return_index=True)
+                yield bundled(first, at, np.append(ends, len(new)), keys[new], own[rs[new]], kinds[new], times, None)
             scored = np.flatnonzero(flags & _SCORED)
             if len(scored):
                 brought = []
@@ -242,12 +257,9 @@ def _events(held):
                     brought.append((kind, pa.array(np.add.reduceat(one, np.cumsum(n) - n)[scored])))
                 brought += [(_PAIRS, pa.array(n[scored])), (_KEY, rows.column(0).take(pa.array(scored)))]
                 brought += [(k, rows.column(c).take(pa.array(scored))) for k, c in ((_T1, 1), (_T2, 2)) if whole]
-                for kind, values in brought:
-                    columns[0].append(_mixed(ids[scored], ~ids[scored]))
-                    columns[1].append(ids[scored])
-                    columns[2].append(np.full(len(scored), _kind(kind, 1)))
-                    columns[3].append(values)
-            yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in columns[:3]], pa.concat_arrays(columns[3])], names=["key", "row", "kind", "value"])
+                ids, m = own[scored] + first, len(brought)
+                kinds = np.repeat(np.array([k for k, _ in brought]), len(scored))
+                yield bundled(first, np.array([seen % bundles]), np.array([0, len(kinds)]), np.tile(_mixed(ids, ~ids), m), np.tile(own[scored], m), kinds, np.ones(len(kinds)), pa.concat_arrays([v for _, v in brought]))
 
     return run
 
@@ -255,19 +267,24 @@ def _events(held):
 def _scores(rows: DataFrame, model: PairModel, whole: bool) -> DataFrame:
     """(k, [t1, t2,] n_tokens, ce_target, ce_background) of each scored row."""
     spark = rows.sparkSession
-    held = spark.sparkContext.broadcast((model.numbers, model.before, model.frequent, whole))
-    events = rows.mapInArrow(_events(held), "key long, row long, kind long, value long")
+    bundles = BUNDLES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = spark.sparkContext.broadcast((model.numbers, model.before, model.frequent, whole, bundles))
+    dealt = rows.mapInArrow(_events(held), _BUNDLE).repartition("bundle")
+    lists = [F.col(c) for c in ("key", "row", "kind", "times")]
+    each = dealt.select("bundle", "first", F.explode(F.arrays_zip(*lists, F.coalesce("value", F.array().cast("array<long>")).alias("value"))).alias("e"))
+    # Rows that lie by bundle lie right for (bundle, key): there is no other exchange before they are counted.
+    events = each.select("bundle", F.col("e.key").alias("key"), (F.col("first") + F.col("e.row")).alias("row"), F.col("e.kind").cast("int").bitwiseAND(F.lit(65_535)).alias("v"), F.col("e.times").cast("long").alias("times"), F.col("e.value").alias("value"))
     flag = lambda f: F.col("row").bitwiseAND(F.lit(f)) == f
-    times = F.col("kind").bitwiseAND(F.lit(2**32 - 1))
-    by_key = Window.partitionBy("key")
+    times = F.col("times")
+    by_key = Window.partitionBy("bundle", "key")
     count = lambda f: F.sum(F.when(flag(f), times).otherwise(0)).over(by_key)
-    counted = events.select("row", "value", (F.shiftright("kind", 32) - 8).alias("v"), times.alias("times"), count(_COUNTED).alias("n"), count(_COUNTED + _TARGET).alias("n_target"))
+    counted = events.select("row", "value", "v", "times", count(_COUNTED).alias("n"), count(_COUNTED + _TARGET).alias("n_target"))
     single = spark.createDataFrame(pa.table({"v": np.arange(model.single.shape[1]), "p": model.single[0], "p_target": model.single[1]}))
     joined = counted.where(flag(_SCORED)).join(F.broadcast(single), "v", "left")
     units = lambda x: F.round(F.log(x) / UNIT).cast("long") * F.col("times")
 
     def loss(n: str, p: str, brought: int) -> Column:
-        return F.sum(F.when(F.col("v") >= 0, units(F.col(n) + BACKOFF * F.col(p))).when(F.col("v") == _CONTEXT, -units(F.col(n) + BACKOFF)).when(F.col("v") == brought, F.col("value")))
+        return F.sum(F.when(F.col("v") < _CONTEXT, units(F.col(n) + BACKOFF * F.col(p))).when(F.col("v") == _CONTEXT, -units(F.col(n) + BACKOFF)).when(F.col("v") == brought, F.col("value")))
 
     of = lambda kind: F.max(F.when(F.col("v") == kind, F.col("value")))
     known_by = [("k", _KEY), *([("t1", _T1), ("t2", _T2)] if whole else [])]
