@@ -267,9 +267,11 @@ def _events(held):
 def _scores(rows: DataFrame, model: PairModel, whole: bool) -> DataFrame:
     """(k, [t1, t2,] n_tokens, ce_target, ce_background) of each scored row."""
     spark = rows.sparkSession
-    bundles = BUNDLES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A number of partitions that is given isn't merged by size: bundles grow when they are opened.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bundles = BUNDLES * parts
     held = spark.sparkContext.broadcast((model.numbers, model.before, model.frequent, whole, bundles))
-    dealt = rows.mapInArrow(_events(held), _BUNDLE).repartition("bundle")
+    dealt = rows.mapInArrow(_events(held), _BUNDLE).repartition(parts, "bundle")
     lists = [F.col(c) for c in ("key", "row", "kind", "times")]
     each = dealt.select("bundle", "first", F.explode(F.arrays_zip(*lists, F.coalesce("value", F.array().cast("array<long>")).alias("value"))).alias("e"))
     # Rows that lie by bundle lie right for (bundle, key): there is no other exchange before they are counted.
