@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, lm_scoring, merkle, near_dedup, packing, sentence_pieces, sharding, token_counts, topk_search, toxicity
+from . import chat_format, exact_dedup, language_id, lm_scoring, merkle, near_dedup, packing, phrases, sentence_pieces, sharding, token_counts, topk_search, toxicity
 
-MODULES = (language_id, toxicity, topk_search, near_dedup, exact_dedup, sentence_pieces, lm_scoring, packing, sharding, token_counts, merkle)
+MODULES = (language_id, toxicity, topk_search, near_dedup, exact_dedup, sentence_pieces, lm_scoring, packing, sharding, token_counts, phrases, merkle, chat_format)
 
 
 def queries() -> dict:
