@@ -946,6 +946,7 @@ FROM once LEFT JOIN (SELECT id, max(added_at) AS added_at FROM prev GROUP BY id)
 def catalog_day(spark: SparkSession, folder: str) -> DataFrame:
     """The catalog of a day after another, read back as it was published."""
     from ..operators import catalog
+    from ..sources.snapshots import read_published
     from ..sources.tables import publish_folder, write_catalog
 
     feed, shops, rates = _day_feed(spark, folder), _shops(spark, folder), _rates(spark)
@@ -958,7 +959,8 @@ def catalog_day(spark: SparkSession, folder: str) -> DataFrame:
         times.iso(F.col("last_seen_at")).alias("last_seen_at"), times.iso(F.col("added_at")).alias("added_at"),
     )
     path = publish_folder(spark)
-    return spark.read.schema(made.schema).parquet(path) if write_catalog(made, path) else made.limit(0)
+    write_catalog(made, path)
+    return read_published(spark, path, made.schema)
 
 
 @query(

@@ -90,15 +90,11 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str = CATALOG) -> DataFrame:
-    """A snapshot in Parquet, or no rows where there is none."""
-    try:
-        found = spark.read.schema(schema).parquet(path)
-        found.limit(1).count()
-        return found
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    """A snapshot in Parquet, or no rows where there is none, or a file of it can't be read."""
+    from .snapshots import readable
+
+    found = readable(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def templates(spark: SparkSession, text: str) -> DataFrame:
@@ -136,14 +132,10 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_catalog(df: DataFrame, path: str, least: int = rules.MIN_PUBLISHED) -> bool:
-    """The catalog of record, as Parquet; with fewer than ``least`` rows nothing is written, and the answer is False."""
-    from ..operators.snapshots import may_publish
-
-    df = materialize(df)
-    if not may_publish(df, least):
-        return False
-    df.write.mode("overwrite").parquet(path)
-    return True
+    """The catalog of record, as the next version under ``path`` (see ``snapshots.publish``); with fewer than ``least`` rows nothing is written, and the answer is False."""
+    from .snapshots import publish
+
+    return publish(df, path, least) is not None
 
 
 def write_new_brands(added: DataFrame, as_of: Column, path: str) -> None:
