@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import snapshots
+from ..operators import announce
+from ..sources import push_sink, snapshots
 from ..sources.tables import publish_folder, table
-from .queries import query
+from .queries import ORACLES, _follows, _new_brands, _profiles, query
 
 
 @query("SELECT p_partkey::VARCHAR AS id, p_name AS name, p_size AS price FROM part")
@@ -37,3 +38,15 @@ def merged_state(spark: SparkSession, folder: str) -> DataFrame:
     snapshots.write_state(state, path)
     snapshots.merge_state(spark, path, done.select("id", F.lit("S").alias("status"), "shipped"))
     return snapshots.read_state(spark, path).select("id", "status", "shipped")
+
+
+@query(
+    f"""WITH m AS ({ORACLES["announce_messages"]}), b AS (SELECT (row_number() OVER (ORDER BY brand || '|' || user_id) - 1) // 100 AS batch_no FROM m)
+SELECT batch_no, count(*) AS n, true AS ok FROM b GROUP BY batch_no"""
+)
+def push_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """K6: announcements sent in batches (to a sender that only looks at them), and what became of each batch."""
+    people = announce.recipients(_new_brands(spark, folder), _follows(spark, folder))
+    rows = announce.messages(people, _profiles(spark, folder)).withColumn("key", F.concat("brand", F.lit("|"), F.col("user_id").cast("string")))
+    _, outcomes = push_sink.send_batches(rows, "key", "feedloom.sources.push_sink:dry_run", "announcements")
+    return outcomes.select("batch_no", "n", "ok")
