@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,28 +57,47 @@ def select_products(df: DataFrame, store: str = "store_order", pos: str = "pos",
     """Walks stores in order and keeps what is new, within both caps.
 
     An id counts as taken once a row with it is *kept*, in any store before. If
-    no id repeats this is ``capped``; otherwise rows whose id an earlier kept
-    row has are taken out, and the caps applied again, until nothing changes.
-    A row depends on earlier rows only, so that this ends at the one answer.
+    no id repeats this is ``capped``. Otherwise rows are decided round by round,
+    each of which has only the rows that are open yet (see ``decided``); the
+    caps and a store's rows are known by ``store`` and ``pos``.
     """
-    order = [store, pos]
     # Rows read through the rounds, by an id that occurs twice.
     repeated = df.groupBy(item).count().where("count > 1").select(item)
-    kept = capped(df, store, base, F.col(cap), order, most=most)
     if repeated.limit(1).count() == 0:
-        return kept
-    df = materialize(df)
-    kept = materialize(kept)
+        return capped(df, store, base, F.col(cap), [store, pos], most=most)
+    df, kept = materialize(df), None
+    narrow = df.select(F.col(store).alias("store"), F.col(pos).alias("pos"), F.col(item).alias("item"), F.col(base).alias("base"), F.col(cap).alias("cap"))
+    for found, _ in decided(narrow, most):
+        kept = found if kept is None else kept.unionByName(found)
+    keys = kept.select(F.col("store").alias(store), F.col("pos").alias(pos))
+    return df.join(keys, [store, pos], "left_semi")
+
+
+def decided(rows: DataFrame, most: int | None = None, per_base: int = rules.VARIANTS_PER_BASE) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Round after round (rows kept for sure, rows still open) of the rows (store, pos, item, base, cap) of a selection.
+
+    A round takes out the rows whose id an earlier row has that the round before
+    kept, and applies the caps to the others. A row depends on earlier rows only:
+    if the stores before the first one that this changes are as they were, they
+    are so for good. Their rows, and later rows with an id that they keep, don't
+    travel any further. At least one store is decided in a round, mostly many.
+    """
+    at = F.struct("store", "pos")
+    left, kept = rows, materialize(capped(rows, "store", "base", F.col("cap"), ["pos"], per_base, most).select(*rows.columns))
     while True:
-        at = F.struct(store, pos)
-        first = kept.join(repeated, item, "left_semi").groupBy(item).agg(F.min(at).alias("x_taken"))
-        free = df.join(first, item, "left").where(F.col("x_taken").isNull() | (at <= F.col("x_taken"))).drop("x_taken")
-        again = materialize(capped(free, store, base, F.col(cap), order, most=most))
-        # A symmetric difference of keys: nothing comes to the driver but whether there is one.
-        changed = again.select(*order).exceptAll(kept.select(*order)).union(kept.select(*order).exceptAll(again.select(*order))).limit(1).count()
-        kept = again
-        if not changed:
-            return kept
+        # Of one id the first, as a minimum: rows of a frequent id don't meet in one task.
+        first = kept.groupBy("item").agg(F.min(at).alias("x_taken"))
+        free = left.join(first, "item", "left").where(F.col("x_taken").isNull() | (at <= F.col("x_taken"))).drop("x_taken")
+        again = materialize(capped(free, "store", "base", F.col("cap"), ["pos"], per_base, most).select(*rows.columns))
+        both = kept.select("store", "pos", F.lit(1).alias("x_n")).unionByName(again.select("store", "pos", F.lit(2).alias("x_n")))
+        changed = both.groupBy("store", "pos").agg(F.sum("x_n").alias("x_n")).where("x_n <> 3").agg(F.min("store")).first()[0]
+        if changed is None:
+            yield again, left.limit(0)
+            return
+        sure = again.where(F.col("store") < changed)
+        left = materialize(left.where(F.col("store") >= changed).join(sure.select("item"), "item", "left_anti").select(*rows.columns))
+        kept = again.where(F.col("store") >= changed)
+        yield sure, left
 
 
 def interleave(df: DataFrame, store: str, item: str, seed: str) -> DataFrame:

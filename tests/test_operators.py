@@ -50,6 +50,19 @@ def test_selection_takes_second_copy(spark):
     assert sorted((r.store_order, r.id) for r in selection.select_products(frame).collect()) == [(0, "a"), (1, "b")]
 
 
+def test_rounds_have_open_rows_only(spark):
+    """Fewer rows in each round than in the one before; what is kept is the walk's."""
+    rnd = random.Random(9)
+    rows = [(s, p, f"i{rnd.randrange(60)}", f"b{rnd.randrange(6)}", 6) for s in range(8) for p in range(30)]
+    frame = spark.createDataFrame(rows, "store int, pos int, item string, base string, cap int")
+    sizes, kept = [len(rows)], []
+    for found, left in selection.decided(frame):
+        kept += [(r.store, r.pos) for r in found.collect()]
+        sizes.append(left.count())
+    assert sorted(kept) == greedy(rows) and len(set(kept)) == len(kept)
+    assert all(a > b for a, b in zip(sizes, sizes[1:])) and sizes[-1] == 0 and len(sizes) <= 9
+
+
 def test_selection_plan(spark):
     frame = spark.createDataFrame([(0, 0, "a", "x", 1)], "store_order int, pos int, id string, base string, cap int")
     plan = selection.capped(frame, "store_order", "base", F.col("cap"), ["pos"])._jdf.queryExecution().executedPlan().toString()
