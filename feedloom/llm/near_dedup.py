@@ -176,6 +176,70 @@ def _shingles(k: int):
     return run
 
 
+#: Rows of a shingle's list that are compared all with all; longer lists are met by size.
+SHORT = 64
+_LIST = "shingle long, rep long, n long, component long, left long, main long"
+
+
+def _size_range(t: int):
+    """Rows of _LIST to one row for each node of the binary tree over sizes that makes up the sizes which the row's partners can have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, left = b.column(2).to_numpy(), b.column(4).to_numpy()
+            # Of similar sets the smaller has t percent of the larger; and the overlap, no
+            # more than what is left, is t / (100 + t) of both sizes.
+            low, high = -(-n * t // 100), np.minimum(n * 100 // t, left * (100 + t) // t - n) + 1
+            at, nodes, level = [], [], 0
+            rows = np.flatnonzero(low < high)
+            low, high = low[rows], high[rows]
+            while len(rows):
+                for odd, node in ((low & 1 == 1, low), (high & 1 == 1, high - 1)):
+                    at.append(rows[odd])
+                    nodes.append((level << 48) | node[odd])
+                low, high, level = (low + 1) >> 1, high >> 1, level + 1
+                more = low < high
+                rows, low, high = rows[more], low[more], high[more]
+            yield _with_nodes(b, at, nodes)
+
+    return run
+
+
+def _size_nodes(t: int):
+    """Rows of _LIST to one row for each node over their own size that a range of ``_size_range`` can use."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy()
+            # The widest range that holds n is that of the largest partner, n / t.
+            widest = n * (100.0 / t) * (100.0 / t - t / 100.0) + 2
+            at, nodes = [], []
+            for level in range(int(np.log2(widest.max(initial=2))) + 1):
+                rows = np.flatnonzero(widest >= 1 << level)
+                at.append(rows)
+                nodes.append((level << 48) | (n[rows] >> level))
+            yield _with_nodes(b, at, nodes)
+
+    return run
+
+
+def _with_nodes(b: pa.RecordBatch, at: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+    every = np.concatenate(at) if at else np.empty(0, np.int64)
+    made = b.take(pa.array(every))
+    return pa.RecordBatch.from_arrays([*made.columns, pa.array(np.concatenate(nodes) if nodes else every, pa.int64())], names=[*b.schema.names, "node"])
+
+
+def long_lists(rows: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a join by shingle and ``node`` that meets a row with the rows of sizes it can be similar to, each once.
+
+    Where very many documents share a passage, and are too unlike beside it, no
+    size fits, and none of them meet; otherwise their number would be squared.
+    """
+    columns = [c.split(" ")[0] for c in _LIST.split(", ")]
+    named = rows.select(*columns)
+    return named.where("component <> main").mapInArrow(_size_range(t), f"{_LIST}, node long"), named.mapInArrow(_size_nodes(t), f"{_LIST}, node long")
+
+
 def _confirm(k: int, percent: int):
     """Rows (a, chunk, b, text), in order, a's own text first: the pairs that are similar enough."""
 
@@ -341,8 +405,13 @@ class _Search:
         enough = F.least("x.left", "y.left") * (100 + t) >= (F.col("x.n") + F.col("y.n")) * t
         # Neither pairs inside a component, nor a pair of outsiders twice.
         once = (F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
-        pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & near & enough & once)
-        return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+        fits = (F.col("x.component") != F.col("y.component")) & near & enough & once
+        few = F.col("size") <= SHORT
+        pairs = x.where(few).join(y.where(few), (F.col("x.shingle") == F.col("y.shingle")) & fits)
+        xs, ys = long_lists(rarest.where(~few), t)
+        more = xs.alias("x").join(ys.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") == F.col("y.node")) & fits)
+        ends = [F.col("x.rep").alias("a"), F.col("y.rep").alias("b")]
+        return pairs.select(*ends).unionByName(more.select(*ends)).distinct()
 
     def rows(self) -> DataFrame:
         """(doc, t1, t2, n, component) of every row: the component is that of its set (null without shingles)."""
@@ -357,10 +426,10 @@ def with_text_hashes(df: DataFrame, text: str) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, by: str, least: int) -> DataFrame:
-    """The rows of groups that hold several components and ``least`` rows, with the group's largest component as ``main``."""
+    """The rows of groups that hold several components and ``least`` rows, with the group's largest component as ``main`` and its ``size``."""
     counts = rows.groupBy(by, "component").agg(F.count(F.lit(1)).alias("times"))
     mixed = counts.groupBy(by).agg(F.max(F.struct("times", "component")).alias("s"), F.count(F.lit(1)).alias("several"), F.sum("times").alias("size"))
-    return rows.join(mixed.where((F.col("several") > 1) & (F.col("size") >= least)).select(by, F.col("s.component").alias("main")), by)
+    return rows.join(mixed.where((F.col("several") > 1) & (F.col("size") >= least)).select(by, F.col("s.component").alias("main"), "size"), by)
 
 
 def _tries(rows: DataFrame, round_: int) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from feedloom.llm import near_dedup
@@ -68,6 +69,40 @@ def test_groups(spark):
     check(spark, list(enumerate(rows)), 3, 85)
 
 
+def test_groups_by_long_lists(spark, monkeypatch):
+    """The same where shingles of more than two documents are met by size."""
+    monkeypatch.setattr(near_dedup, "SHORT", 2)
+    test_groups(spark)
+
+
+def met(sizes, lefts, t):
+    """Pairs (x, y) of rows of one shingle that meet by size."""
+    n = len(sizes)
+    rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([7] * n, range(n), sizes, range(n), lefts, [-1] * n)], names=["shingle", "rep", "n", "component", "left", "main"])
+    at = {}
+    for b in near_dedup._size_nodes(t)([rows]):
+        for y, node in zip(b.column(1).to_pylist(), b.column(6).to_pylist()):
+            at.setdefault(node, []).append(y)
+    return [(x, y) for b in near_dedup._size_range(t)([rows]) for x, node in zip(b.column(1).to_pylist(), b.column(6).to_pylist()) for y in at.get(node, ())]
+
+
+@pytest.mark.parametrize("t", [80, 85, 100])
+def test_rows_meet_sizes_they_fit(t):
+    """Every row meets each row whose size fits what it has left, once, and no other."""
+    rnd = random.Random(t)
+    sizes = [rnd.choice([rnd.randrange(1, 60), rnd.randrange(1, 3000)]) for _ in range(500)]
+    lefts = [rnd.randrange(n * t // 100, n + 1) for n in sizes]
+    fits = lambda a, b: 100 * sizes[b] >= t * sizes[a] and 100 * sizes[a] >= t * sizes[b] and lefts[a] * (100 + t) >= (sizes[a] + sizes[b]) * t
+    assert sorted(met(sizes, lefts, t)) == [(a, b) for a in range(500) for b in range(500) if fits(a, b)]
+
+
+def test_a_common_passage_makes_no_pairs():
+    """Documents with 90 shingles in common and 10 or more of their own: whatever their number, none meet."""
+    rnd = random.Random(5)
+    for n in (2_000, 32_000):
+        assert met([90 + rnd.randrange(16, 22) for _ in range(n)], [90] * n, 85) == []
+
+
 def test_threshold_is_met_exactly(spark):
     # 17 of 20 shingles shared is 0.85; 16 of 19 isn't.
     words = [f"w{i}" for i in range(22)]
@@ -95,8 +130,6 @@ def test_sets_of_one_digest_are_told_apart(spark, monkeypatch):
 
 
 def _all_alike(sketch):
-    import pyarrow as pa
-
     def run(batches):
         for b in sketch(batches):
             same = pa.array([5] * b.num_rows, pa.int64())
