@@ -16,12 +16,16 @@ def carried_forward(current: DataFrame, previous: DataFrame, as_of: Column) -> D
     Of brands with no row today, the rows whose id isn't there today, that
     aren't junk by today's rules, and that were seen within the days of grace.
     Today's brands are compared without white space at the ends, earlier ones as they are.
+    An id that ``previous`` has more than once is carried once, with the smallest of its brands, names and prices.
     """
+    from .selection import keep_first
+
     present = current.select(strip(blank(F.col("brand"))).alias("brand")).distinct()
     seen = current.select("id").distinct()
     fine = ~is_junk(F.col("name"), F.col("price"), F.lit("")) & times.seen_within(F.col("last_seen_at"), F.col("added_at"), as_of)
     # A brand with a row today is left out by the same hash join whatever its size.
-    return previous.where((blank(F.col("brand")) != "") & F.col("id").isNotNull() & fine).join(present, "brand", "left_anti").join(seen, "id", "left_anti")
+    left = previous.where((blank(F.col("brand")) != "") & F.col("id").isNotNull() & fine).join(present, "brand", "left_anti").join(seen, "id", "left_anti")
+    return keep_first(left, ["id"], ["brand", "name", "price"])
 
 
 def added_at(products: DataFrame, previous: DataFrame, as_of: Column) -> DataFrame:
