@@ -398,7 +398,7 @@ def _feed(spark: SparkSession, folder: str) -> DataFrame:
 )
 def brand_cap(spark: SparkSession, folder: str) -> DataFrame:
     """Within the cap of variants, then of the store."""
-    return selection.select_products(_feed(spark, folder).withColumn("cap", F.lit(15))).select("store_order", "id")
+    return selection.select_products(_feed(spark, folder).withColumn("cap", F.lit(15)), most=15).select("store_order", "id")
 
 
 @query(f"SELECT s_suppkey, CASE WHEN list_contains({sql_list(text.brand_keys(rules.MAINSTREAM_BRANDS))}, {sql_brand_key('name')}) THEN 15 ELSE 60 END AS cap, {sql_brand_key('name')} = 'taottao' AS excluded FROM (SELECT s_suppkey, ['The  Row!', 'Totême', 'TAO-TTAO', s_name][1 + s_suppkey % 4] AS name FROM supplier)")
