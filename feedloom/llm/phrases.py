@@ -26,7 +26,7 @@ WORD_BITS, PAIR_BITS = 25, 27
 #: Bits that one row of a filter has while it is gathered.
 _CHUNK_BITS = 17
 #: Texts are taken so many bytes at a time.
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 6_000_000
 _WORDS_KEPT = 300_000
 
 _SEPARATORS = b".,;:!?\n\v\f\r"
