@@ -42,7 +42,7 @@ def presence(spark: SparkSession, folder: str) -> DataFrame:
 WITH e AS (SELECT user_id AS id, user_id // {THINGS} AS brand, ts::DATE AS t, event_type FROM events),
 s AS (SELECT DISTINCT id, brand, t FROM e WHERE event_type = 'purchase'), r AS (SELECT DISTINCT t FROM e),
 held AS (SELECT i.id, r.t, (SELECT max(s.t) FROM s WHERE s.id = i.id AND s.t <= r.t) AS seen FROM (SELECT DISTINCT id FROM s) i, r)
-SELECT t AS "at", count(*) AS n, count_if(seen = t) AS n_live, count_if(seen < t) AS n_carried FROM held h
+SELECT t AS "at", count(*) AS n, count(*) FILTER (seen = t) AS n_live, count(*) FILTER (seen < t) AS n_carried FROM held h
 WHERE seen IS NOT NULL AND t - seen <= {rules.GRACE_DAYS} AND NOT EXISTS (SELECT 1 FROM s WHERE s.brand = h.id // {THINGS} AND s.t > h.seen AND s.t <= h.t) GROUP BY t"""
 )
 def catalog_days(spark: SparkSession, folder: str) -> DataFrame:

@@ -41,7 +41,7 @@ def request_replay(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     _SQL_REPLAY
     + f""" SELECT id, arg_max(state_after, k) AS status, max(ts) FILTER (step IN ('review', 'reject')) AS processed_at, max(ts) FILTER (step = 'email') AS review_emailed_at,
-  count_if(step = 'remint') AS n_reminted, max(ts) FILTER (step = 'add') AS added_at, max(ts) FILTER (step = 'notify') AS notified_at
+  count(*) FILTER (step = 'remint') AS n_reminted, max(ts) FILTER (step = 'add') AS added_at, max(ts) FILTER (step = 'notify') AS notified_at
 FROM f WHERE legal AND ts <= TIMESTAMP '{AS_OF}' GROUP BY id"""
 )
 def request_states(spark: SparkSession, folder: str) -> DataFrame:
