@@ -26,9 +26,14 @@ def iso(x: Column) -> Column:
     return F.date_format(_utc(x), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def utc_day(x: Column) -> Column:
+    """The day of a timestamp in UTC."""
+    return F.to_date(_utc(x))
+
+
 def pushed_today(at: Column, as_of: Column) -> Column:
     """Whether both are on one day in UTC."""
-    return F.coalesce(F.to_date(_utc(at)) == F.to_date(_utc(as_of)), F.lit(False))
+    return F.coalesce(utc_day(at) == utc_day(as_of), F.lit(False))
 
 
 def recently_active(at: Column, as_of: Column, days: int = rules.ACTIVE_DAYS) -> Column:

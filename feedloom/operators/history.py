@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.times import _utc
+from ..functions.times import utc_day
 
 
 def _runs(runs: DataFrame, days: int) -> DataFrame:
@@ -49,10 +49,6 @@ def presence(sightings: DataFrame, runs: DataFrame | None = None, days: int = ru
     return out.select("id", F.col("x_last.brand").alias("brand"), "added_at", F.col("x_last.at").alias("last_seen_at"), F.col("x_last.until").alias("until"), "n_seen")
 
 
-def _day(at: Column) -> Column:
-    return F.to_date(_utc(at))
-
-
 def sends(states: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """(user_id, at, signature) of each message sent in a run of days.
 
@@ -66,7 +62,7 @@ def sends(states: DataFrame, users: DataFrame | None = None) -> DataFrame:
     messages are folded, has two entries a day. Of states at one time the
     smallest signature comes first. A null signature, user or time is no state.
     """
-    known = states.where("user_id IS NOT NULL AND at IS NOT NULL AND signature IS NOT NULL").select("user_id", _day(F.col("at")).alias("day"), F.struct("at", "signature").alias("s"))
+    known = states.where("user_id IS NOT NULL AND at IS NOT NULL AND signature IS NOT NULL").select("user_id", utc_day(F.col("at")).alias("day"), F.struct("at", "signature").alias("s"))
     first = known.groupBy("user_id", "day").agg(F.min("s").alias("first"))
     other = known.groupBy("user_id", "day", F.col("s.signature").alias("signature")).agg(F.min("s").alias("s"))
     other = other.join(first, ["user_id", "day"]).where("signature <> first.signature").groupBy("user_id", "day").agg(F.min("s").alias("other"))
@@ -75,7 +71,7 @@ def sends(states: DataFrame, users: DataFrame | None = None) -> DataFrame:
     if users is None:
         begun = listed.withColumns({"x_sig": F.lit(None).cast("string"), "x_day": F.lit(None).cast("date")})
     else:
-        before = users.select(F.col("id").alias("user_id"), F.col("last_sig").cast("string").alias("x_sig"), _day(F.col("last_push_at")).alias("x_day"))
+        before = users.select(F.col("id").alias("user_id"), F.col("last_sig").cast("string").alias("x_sig"), utc_day(F.col("last_push_at")).alias("x_day"))
         begun = listed.join(before, "user_id", "left")
     kind = known.select("s").schema["s"].dataType.simpleString()
     none = F.lit(None).cast(kind)
