@@ -44,6 +44,8 @@ _TARGET, _COUNTED, _SCORED = 1, 2, 4
 _CONTEXT, _OF_TARGET, _OF_BACKGROUND, _PAIRS, _KEY, _T1, _T2 = range(65_529, 65_536)
 #: Events travel in bundles, so many for each partition they are dealt to.
 BUNDLES = 4
+#: Tokens of all rows for each such partition, at most.
+PART_TOKENS = 1_000_000
 
 
 def tokens(text: str) -> list[str]:
@@ -135,8 +137,9 @@ class PairModel:
     key: str
     numbers: dict[str, int]
     single: np.ndarray  # probability of each word by number; the last is that of any word outside the vocabulary
+    total: np.ndarray  # what counts of single words are divided by
     before: np.ndarray  # how often each word of the vocabulary comes before another
-    frequent: np.ndarray  # log probability of each pair of frequent words, in UNITs
+    frequent: np.ndarray  # how often each pair of frequent words comes
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @property
@@ -152,19 +155,27 @@ def _rows(df: DataFrame, key: str, text: str, flags: Column) -> DataFrame:
 def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, frequent: int = FREQUENT) -> PairModel:
     """Both models, counted over every row: the background over all, the target over those whose key ``target`` holds.
 
-    They are matched: one vocabulary (the most frequent words of all rows, ties
-    in order of the word), one order, one smoothing. The driver gets the
-    vocabulary's counts and the pairs of ``frequent`` words, bounded at any
-    size; all other pairs, of all words, are counted when texts are scored, in
-    the executors, and grow with the corpus.
+    They are matched in vocabulary (the most frequent words of all rows, ties
+    in order of the word), order and smoothing, not in size: the background is
+    every row, those of the target too. The driver gets the vocabulary's counts
+    and the pairs of ``frequent`` words, bounded at any size; all other pairs,
+    of all words, are counted when texts are scored, in the executors, and grow
+    with the corpus.
+
+    Null texts count as empty, which is one boundary; a row with a null key is
+    never of the target; repeated rows count as often as they come. Without
+    rows, or without a target, words have the smoothing's probability alone.
     """
     if vocabulary >= _CONTEXT - 1:
         raise ValueError(f"a vocabulary has fewer than {_CONTEXT - 1} words")
     spark = session(df)
     keys = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("of_target", F.lit(_TARGET))
     rows = _rows(df, key, text, F.lit(_COUNTED))
-    few = target.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
     rows = rows.join(F.broadcast(keys) if few else keys.hint("merge"), "k", "left").select("k", "t1", "t2", (F.col("flags") + F.coalesce("of_target", F.lit(0))).alias("flags"), "text")
+    if not few:
+        # Rows are numbered by their place, which a second run of a shuffle may change.
+        rows = written(rows, "rows")
 
     counted = rows.select("text", "flags").mapInArrow(_count_words, "word string, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     counted = written(counted, "words")
@@ -187,8 +198,7 @@ def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "te
     for m, c in enumerate(("n", "n_target")):
         pairs[m, cells["cell"].to_numpy()] = cells[c].to_numpy()
     pairs = pairs.reshape(2, size, size)
-    log = np.log((pairs + BACKOFF * single[:, None, :size]) / (before[:, :size, None] + BACKOFF))
-    return PairModel(rows, df, key, numbers, single, before, np.round(log / UNIT).astype(np.int64).reshape(2, size, size))
+    return PairModel(rows, df, key, numbers, single, np.array(all_, np.float64), before, pairs)
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -203,27 +213,37 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-_BUNDLE = "bundle int, first long, key array<long>, row array<int>, kind array<smallint>, times array<int>, value array<long>"
+_BUNDLE = "bundle int, first long, key array<long>, row array<int>, kind array<smallint>, times array<int>, own array<int>, value array<long>"
+
+
+def _counts(of: np.ndarray, codes: np.ndarray, bits: int) -> np.ndarray:
+    """For each element, how often its row ``of`` has its code (0 to 2^bits - 1)."""
+    _, at, n = np.unique((of << bits) | codes, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    return np.round(np.log(x) / UNIT).astype(np.int64)
 
 
 def _events(held):
-    """(k, t1, t2, flags, text) to bundles of events (key, row, kind, times, value), dealt by key.
+    """(k, t1, t2, flags, text) to bundles of events (key, row, kind, times, own, value), dealt by key.
 
     Of each row: every pair with a word that isn't frequent, once, and every
     context outside the vocabulary, by a hash; where the row is scored, also its
-    sums over all that is known already, and what it is known by.
+    sums over all that is known already, and what it is known by. ``own`` is how
+    often the row itself has a pair's second word, if that is of the vocabulary.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, before, frequent, whole, bundles = held.value
+        numbers, single, total, before, frequent, whole, bundles = held.value
         size, n_vocabulary = frequent.shape[1], before.shape[1]
-        contexts = -np.round(np.log(before + BACKOFF) / UNIT).astype(np.int64)
         part, seen = TaskContext.get().partitionId(), 0
         names = [c.split(" ")[0] for c in _BUNDLE.split(", ")]
 
-        def bundled(first: int, at: np.ndarray, ends: np.ndarray, keys, rows, kinds, times, values) -> pa.RecordBatch:
+        def bundled(first: int, at: np.ndarray, ends: np.ndarray, keys, rows, kinds, times, own_words, values) -> pa.RecordBatch:
             ends = pa.array(ends, pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(c.astype(t))) for c, t in ((keys, np.int64), (rows, np.int32), (kinds.astype(np.uint16).view(np.int16), np.int16), (times, np.int32))]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c.astype(t))) for c, t in ((keys, np.int64), (rows, np.int32), (kinds.astype(np.uint16).view(np.int16), np.int16), (times, np.int32), (own_words, np.int32))]
             last = pa.nulls(len(at), pa.list_(pa.int64())) if values is None else pa.ListArray.from_arrays(ends, values)
             return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.full(len(at), first)), *lists, last], names=names)
 
@@ -234,32 +254,42 @@ def _events(held):
             seen += rows.num_rows
             of = np.repeat(np.arange(rows.num_rows), n)
             fits = _among(a, b, size)
-            known = ~fits & (a >= 0)
+            # How often the row has the second word, and so the first, which is the one before it.
+            own_b = _counts(of, np.where(b < 0, n_vocabulary, b), 16)
+            own_b[b < 0] = 0
+            own_a = np.roll(own_b, 1)
+            own_a[np.cumsum(n) - n] = 1
             # Pairs to be counted, and contexts, each once for each row.
             keys = np.concatenate([_mixed(a[~fits], b[~fits]), _mixed(a[a < 0], ~a[a < 0])])
             if len(keys):
                 kinds = np.concatenate([np.where(b[~fits] < 0, n_vocabulary, b[~fits]), np.full((a < 0).sum(), _CONTEXT)])
                 rs = np.concatenate([of[~fits], of[a < 0]])
+                own_words = np.concatenate([own_b[~fits], np.zeros((a < 0).sum(), np.int64)])
                 to = (keys.view(np.uint64) % np.uint64(bundles)).astype(np.int64)
                 order = np.lexsort((kinds, keys, rs, to))
-                keys, kinds, rs, to = keys[order], kinds[order], rs[order], to[order]
+                keys, kinds, rs, to, own_words = keys[order], kinds[order], rs[order], to[order], own_words[order]
                 new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rs[1:] != rs[:-1]) | (kinds[1:] != kinds[:-1])]))
                 times = np.diff(np.append(new, len(keys)))
                 at, ends = np.unique(to[new], return_index=True)
-                yield bundled(first, at, np.append(ends, len(new)), keys[new], own[rs[new]], kinds[new], times, None)
+                yield bundled(first, at, np.append(ends, len(new)), keys[new], own[rs[new]], kinds[new], times, own_words[new], None)
             scored = np.flatnonzero(flags & _SCORED)
             if len(scored):
                 brought = []
-                for m, kind in ((1, _OF_TARGET), (0, _OF_BACKGROUND)):
+                own_pair = _counts(of[fits], a[fits] * size + b[fits], 2 * max(size - 1, 1).bit_length())
+                for m, kind, counted in ((1, _OF_TARGET, _COUNTED + _TARGET), (0, _OF_BACKGROUND, _COUNTED)):
+                    # A row that the model was counted from is scored without what it brought.
+                    less = np.repeat((flags & counted) == counted, n).astype(np.int64)
                     one = np.zeros(len(a), np.int64)
-                    one[fits] = frequent[m, a[fits], b[fits]]
-                    one[known] = contexts[m, a[known]]
+                    alone = single[m, b[fits]] - own_b[fits] * less[fits] / total[m]
+                    one[fits] = _units(frequent[m, a[fits], b[fits]] - own_pair * less[fits] + BACKOFF * alone)
+                    placed = a >= 0
+                    one[placed] -= _units(before[m, a[placed]] - own_a[placed] * less[placed] + BACKOFF)
                     brought.append((kind, pa.array(np.add.reduceat(one, np.cumsum(n) - n)[scored])))
                 brought += [(_PAIRS, pa.array(n[scored])), (_KEY, rows.column(0).take(pa.array(scored)))]
                 brought += [(k, rows.column(c).take(pa.array(scored))) for k, c in ((_T1, 1), (_T2, 2)) if whole]
                 ids, m = own[scored] + first, len(brought)
                 kinds = np.repeat(np.array([k for k, _ in brought]), len(scored))
-                yield bundled(first, np.array([seen % bundles]), np.array([0, len(kinds)]), np.tile(_mixed(ids, ~ids), m), np.tile(own[scored], m), kinds, np.ones(len(kinds)), pa.concat_arrays([v for _, v in brought]))
+                yield bundled(first, np.array([seen % bundles]), np.array([0, len(kinds)]), np.tile(_mixed(ids, ~ids), m), np.tile(own[scored], m), kinds, np.ones(len(kinds)), np.zeros(len(kinds)), pa.concat_arrays([v for _, v in brought]))
 
     return run
 
@@ -268,29 +298,32 @@ def _scores(rows: DataFrame, model: PairModel, whole: bool) -> DataFrame:
     """(k, [t1, t2,] n_tokens, ce_target, ce_background) of each scored row."""
     spark = rows.sparkSession
     # A number of partitions that is given isn't merged by size: bundles grow when they are opened.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(model.total[0]) // PART_TOKENS))
     bundles = BUNDLES * parts
-    held = spark.sparkContext.broadcast((model.numbers, model.before, model.frequent, whole, bundles))
+    held = spark.sparkContext.broadcast((model.numbers, model.single, model.total, model.before, model.frequent, whole, bundles))
     dealt = rows.mapInArrow(_events(held), _BUNDLE).repartition(parts, "bundle")
-    lists = [F.col(c) for c in ("key", "row", "kind", "times")]
+    lists = [F.col(c) for c in ("key", "row", "kind", "times", "own")]
     each = dealt.select("bundle", "first", F.explode(F.arrays_zip(*lists, F.coalesce("value", F.array().cast("array<long>")).alias("value"))).alias("e"))
     # Rows that lie by bundle lie right for (bundle, key): there is no other exchange before they are counted.
-    events = each.select("bundle", F.col("e.key").alias("key"), (F.col("first") + F.col("e.row")).alias("row"), F.col("e.kind").cast("int").bitwiseAND(F.lit(65_535)).alias("v"), F.col("e.times").cast("long").alias("times"), F.col("e.value").alias("value"))
+    events = each.select("bundle", F.col("e.key").alias("key"), (F.col("first") + F.col("e.row")).alias("row"), F.col("e.kind").cast("int").bitwiseAND(F.lit(65_535)).alias("v"), F.col("e.times").cast("long").alias("times"), F.col("e.own").alias("own"), F.col("e.value").alias("value"))
     flag = lambda f: F.col("row").bitwiseAND(F.lit(f)) == f
     times = F.col("times")
     by_key = Window.partitionBy("bundle", "key")
-    count = lambda f: F.sum(F.when(flag(f), times).otherwise(0)).over(by_key)
-    counted = events.select("row", "value", "v", "times", count(_COUNTED).alias("n"), count(_COUNTED + _TARGET).alias("n_target"))
+    own = lambda f: F.when(flag(f), times).otherwise(0)
+    # A row that the models were counted from is scored without what it brought.
+    count = lambda f: F.sum(own(f)).over(by_key) - own(f)
+    counted = events.select("row", "value", "v", "times", "own", count(_COUNTED).alias("n"), count(_COUNTED + _TARGET).alias("n_target"))
     single = spark.createDataFrame(pa.table({"v": np.arange(model.single.shape[1]), "p": model.single[0], "p_target": model.single[1]}))
     joined = counted.where(flag(_SCORED)).join(F.broadcast(single), "v", "left")
     units = lambda x: F.round(F.log(x) / UNIT).cast("long") * F.col("times")
 
-    def loss(n: str, p: str, brought: int) -> Column:
-        return F.sum(F.when(F.col("v") < _CONTEXT, units(F.col(n) + BACKOFF * F.col(p))).when(F.col("v") == _CONTEXT, -units(F.col(n) + BACKOFF)).when(F.col("v") == brought, F.col("value")))
+    def loss(n: str, p: str, m: int, brought: int) -> Column:
+        alone = F.col(p) - F.when(flag((_COUNTED, _COUNTED + _TARGET)[m]), F.col("own") / F.lit(float(model.total[m]))).otherwise(0.0)
+        return F.sum(F.when(F.col("v") < _CONTEXT, units(F.col(n) + BACKOFF * alone)).when(F.col("v") == _CONTEXT, -units(F.col(n) + BACKOFF)).when(F.col("v") == brought, F.col("value")))
 
     of = lambda kind: F.max(F.when(F.col("v") == kind, F.col("value")))
     known_by = [("k", _KEY), *([("t1", _T1), ("t2", _T2)] if whole else [])]
-    sums = joined.groupBy("row").agg(loss("n_target", "p_target", _OF_TARGET).alias("t"), loss("n", "p", _OF_BACKGROUND).alias("b"), of(_PAIRS).alias("pairs"), *[of(kind).alias(c) for c, kind in known_by])
+    sums = joined.groupBy("row").agg(loss("n_target", "p_target", 1, _OF_TARGET).alias("t"), loss("n", "p", 0, _OF_BACKGROUND).alias("b"), of(_PAIRS).alias("pairs"), *[of(kind).alias(c) for c, kind in known_by])
     entropy = lambda c: -F.col(c) * F.lit(UNIT) / F.col("pairs")
     return sums.select(*[c for c, _ in known_by], (F.col("pairs") - 1).alias("n_tokens"), entropy("t").alias("ce_target"), entropy("b").alias("ce_background"))
 
@@ -303,6 +336,13 @@ def score_keys(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame
     the target and unlike the corpus. A pair of words has the probability
     (n(a, b) + BACKOFF p(b)) / (n(a) + BACKOFF).
 
+    A row that the models were counted from (``df`` is what ``train`` got) is
+    scored without what it brought itself: its own pairs and contexts are taken
+    out of n, its own uses of a word of the vocabulary out of p(b), in the
+    target only if it is of the target. The number that p is divided by, and the
+    share of a word outside the vocabulary, stay those of all rows. A row of any
+    other table is scored by all that was counted.
+
     All pairs but those of two frequent words are brought together once by a
     hash of the pair, where the models' texts and the scored ones meet: there
     they are counted, and each text gets its share back, summed in the task.
@@ -334,7 +374,7 @@ def score(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target is the documents that ``labels`` calls good; the background is all documents."""
+    """The target is the documents that ``labels`` calls good; the background is all documents; none is scored by its own words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_keys(docs, train(docs, table(spark, sf_dir, "labels").where("quality = 1")))
 

@@ -11,7 +11,7 @@ from .cases import awkward, empty
 
 
 def brute(rows, vocabulary=10**9):
-    """rows: (text, is target). The two cross-entropies of each, all pairs counted by word."""
+    """rows: (text, is target). The two cross-entropies of each, all pairs counted by word, its own left out."""
     texts = [["\n", *tokens(t or ""), "\n"] for t, _ in rows]
     every = Counter(w for x in texts for w in x[1:-1])
     known = {w for w, _ in sorted(every.items(), key=lambda x: (-x[1], x[0]))[:vocabulary]} | {"\n"}
@@ -27,8 +27,15 @@ def brute(rows, vocabulary=10**9):
         mean = sum(single[w] for w in others) / max(len(others), 1)
         total = sum(single.values()) + len(every) + 1
         p = lambda w: ((single[w] if w in known else mean) + 1) / total
-        loss = lambda a, b: -math.log((pairs[a, b] + BACKOFF * p(b)) / (before[a] + BACKOFF))
-        out.append([sum(loss(*ab) for ab in zip(x, x[1:])) / (len(x) - 1) for x in texts])
+        one = []
+        for x, (_, is_target) in zip(texts, rows):
+            # Without the row's own pairs, contexts and words, where the model has them.
+            own = lambda c: c if is_target or not target else Counter()  # noqa: E731, B023
+            own_pairs, own_words, own_before = own(Counter(zip(x, x[1:]))), own(Counter(x[1:])), own(Counter(x[:-1]))
+            alone = lambda b: p(b) - (own_words[b] / total if b in known else 0)  # noqa: E731, B023
+            loss = lambda a, b: -math.log((pairs[a, b] - own_pairs[a, b] + BACKOFF * alone(b)) / (before[a] - own_before[a] + BACKOFF))  # noqa: E731, B023
+            one.append(sum(loss(*ab) for ab in zip(x, x[1:])) / (len(x) - 1))
+        out.append(one)
     return list(zip(*out))
 
 
@@ -90,3 +97,13 @@ def test_pairs_that_were_not_met(spark):
         assert [(r.doc_id, r.n_tokens) for r in got] == [(None, 2), (3, 3), (4, 0), (4, 0)]
         want = [loss("", "a", "b", ""), loss("", "b", "a", "zebra", ""), loss("", ""), loss("", "")]
         assert [r.ce_background for r in got] == pytest.approx(want, abs=1e-6)
+
+
+def test_own_words_do_not_count(spark):
+    """Labels that mean nothing can't be told from the scores: each text has words of its own, half of all are called good."""
+    frame = spark.range(300).select("id", F.concat_ws(" ", *[F.concat(F.lit("w"), F.crc32(F.concat("id", F.lit(f"-{k}")).cast("binary")) % 5000) for k in range(30)]).alias("text"))
+    good = frame.where("crc32(cast(cast(id AS string) AS binary)) % 2 = 0")
+    got = [(r.ce_difference, r.id) for r in score_keys(frame, train(frame, good, "id")).collect()]
+    of_good = {r.id for r in good.collect()}
+    below = [(a < b) + (a == b) / 2 for a, i in got if i in of_good for b, j in got if j not in of_good]
+    assert 0.35 < sum(below) / len(below) < 0.65
