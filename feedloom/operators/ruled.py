@@ -30,6 +30,10 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RULES).json(path)
 
 
+#: So many index entries at most are sent to every task, and looked for by one pattern a text; more are joined.
+INDEX_SENT, INDEX_SOUGHT = 200_000, 2_000
+
+
 def _index(table: DataFrame, gram: int) -> DataFrame:
     """Rules by the word that a text must have where the keyword begins: of a part, by its first ``gram`` characters."""
     first = F.regexp_extract("keyword", "^[a-z0-9]+", 0)
@@ -39,6 +43,14 @@ def _index(table: DataFrame, gram: int) -> DataFrame:
     return table.select("name", F.col("field").alias("r_field"), F.col("mode").alias("r_mode"), "rank", "label", "keyword", F.explode(keys).alias("r_key"))
 
 
+def _sought(index: DataFrame) -> DataFrame:
+    """(pattern, r_field, r_mode): one row of patterns for a field's and mode's keys, those of one first character together."""
+    quoted = lambda c: F.regexp_replace(c, r"([^\p{L}\p{N}])", r"\\$1")
+    keys = index.groupBy("r_field", "r_mode", F.left("r_key", F.lit(1)).alias("c")).agg(F.array_sort(F.collect_set(quoted(F.substr("r_key", F.lit(2))))).alias("rest"))
+    heads = F.concat(quoted(F.col("c")), F.lit("(?:"), F.array_join("rest", "|"), F.lit(")"))
+    return keys.groupBy("r_field", "r_mode").agg(F.array_join(F.array_sort(F.collect_list(heads)), "|").alias("keys"))
+
+
 def rule_hits(df: DataFrame, key: str, texts: Mapping[str, Column], table: DataFrame) -> DataFrame:
     """(key, name, rank, label) of each rule that one of a row's lower-case ``texts`` meets, once a row and rule.
 
@@ -54,25 +66,35 @@ def rule_hits(df: DataFrame, key: str, texts: Mapping[str, Column], table: DataF
     """
     table = table.where(blank(F.col("keyword")) != "")
     sizes = table.agg(
-        F.max(F.length("keyword")).alias("longest"), F.min(F.when(F.col("mode") == "part", F.length("keyword"))).alias("gram"),
-        F.collect_set(F.struct("field", "mode")).alias("used"), F.count_if((F.col("mode") == "word") & ~F.col("keyword").rlike("^[a-z0-9]")).alias("odd"),
+        F.max(F.length("keyword")).alias("longest"), F.min(F.when(F.col("mode") == "part", F.length("keyword"))).alias("gram"), F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_set(F.struct("field", "mode"))).alias("used"), F.count_if((F.col("mode") == "word") & ~F.col("keyword").rlike("^[a-z0-9]")).alias("odd"),
     ).first()
     if sizes["odd"]:
         raise ValueError("a keyword to be found as a word begins with a letter a-z or a digit")
-    length, gram = (sizes["longest"] or 0) + 3, sizes["gram"] or 1
-    begins = {"word": rf"(?s)(?<![a-z0-9])(?=([a-z0-9].{{0,{length}}}))", "part": rf"(?s)(?=(.{{{gram},{length}}}))"}
-
-    def found(field: str, mode: str) -> Column:
-        there = F.regexp_extract_all(blank(texts[field]), F.lit(begins[mode]), F.lit(1))
+    length, gram, entries = (sizes["longest"] or 0) + 3, sizes["gram"] or 1, sizes["n"] * 3
+    begins = {"word": ("(?s)(?<![a-z0-9])(?=((?:", f")(?![a-z0-9]).{{0,{length}}}))"), "part": ("(?s)(?=((?:", f").{{0,{length}}}))")}
+    any_key = {"word": "[a-z0-9]+", "part": f".{{{gram}}}"}
+    index = _index(table, gram)
+    used = [(u["field"], u["mode"]) for u in sizes["used"]]
+    key_of = lambda i, f, m: F.max(F.when((F.col("r_field") == f) & (F.col("r_mode") == m), F.col("keys"))).alias(f"x_keys{i}")
+    if used and entries <= INDEX_SOUGHT:
+        df = df.crossJoin(F.broadcast(_sought(index).agg(*[key_of(i, *u) for i, u in enumerate(used)])))
+    else:
+        df = df.withColumns({f"x_keys{i}": F.lit(any_key[mode]) for i, (_, mode) in enumerate(used)})
+
+    def found(i: int, field: str, mode: str) -> Column:
+        pattern = F.concat(F.lit(begins[mode][0]), F.col(f"x_keys{i}"), F.lit(begins[mode][1]))
+        there = F.regexp_extract_all(blank(texts[field]), pattern, F.lit(1))
         return F.transform(there, lambda w: F.struct(F.lit(field).alias("field"), F.lit(mode).alias("mode"), w.alias("there")))
 
-    places = [found(u["field"], u["mode"]) for u in sizes["used"]]
+    places = [found(i, *u) for i, u in enumerate(used)]
     if not places:
         places = [F.array().cast("array<struct<field: string, mode: string, there: string>>")]
     rows = df.select(F.col(f"`{key}`").alias("key"), F.explode(F.concat(*places)).alias("p")).select("key", "p.*")
     looked = F.when(F.col("mode") == "part", F.left("there", F.lit(gram))).otherwise(F.regexp_extract("there", "^[a-z0-9]+", 0))
     rows = rows.withColumn("looked", looked)
-    index = _index(table, gram)
+    # Places are many times as long as the texts: they stay where they are, unless the rules are too many to send.
+    index = F.broadcast(index) if entries <= INDEX_SENT else index
     # Boundaries of a word: one pattern, for all keywords.
     after = F.substr("there", F.length("keyword") + 1, F.lit(3)).rlike("^(?:s|es)?(?![a-z0-9])")
     met = rows.join(index, (F.col("looked") == F.col("r_key")) & (F.col("field") == F.col("r_field")) & (F.col("mode") == F.col("r_mode")))

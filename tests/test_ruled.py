@@ -74,3 +74,27 @@ def test_plan_is_the_same_for_any_rules(spark):
         assert "refund" not in plan and plan.count("RLIKE") == 1 and "Python" not in plan
         shape.append(re.sub(r"#\d+|\d+", "", plan))
     assert shape[0] == shape[1]
+
+
+def test_places_stay_where_they_are(spark):
+    """The places of a text meet the index where they are; very many rules, which are joined, give the same."""
+    frame = spark.createDataFrame([(i, "plain words " * 200 + "a Navy dress, gift  card+ (b.c)") for i in range(4)], "id long, t string")
+    table = spark.createDataFrame([("c", "t", "part", 0, "navy", "navy"), ("c", "t", "part", 1, "card", "rd+ (b.c"), ("w", "t", "word", 0, "dress", "dress")], ruled.RULES)
+    bounds = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    try:
+        for name, value in bounds.items():
+            spark.conf.set(name, value)
+        hits = ruled.rule_hits(frame, "id", {"t": F.lower("t")}, table)
+        plan = hits._jdf.queryExecution().executedPlan()
+        few = sorted(map(tuple, hits.collect()))
+        assert "SortMergeJoin" not in plan.toString()
+    finally:
+        for name in bounds:
+            spark.conf.unset(name)
+    assert few == sorted((i, *r) for i in range(4) for r in [("c", 0, "navy"), ("c", 1, "card"), ("w", 0, "dress")])
+    held = ruled.INDEX_SENT, ruled.INDEX_SOUGHT
+    try:
+        ruled.INDEX_SENT, ruled.INDEX_SOUGHT = 0, 0
+        assert sorted(map(tuple, ruled.rule_hits(frame, "id", {"t": F.lower("t")}, table).collect())) == few
+    finally:
+        ruled.INDEX_SENT, ruled.INDEX_SOUGHT = held
