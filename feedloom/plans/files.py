@@ -57,10 +57,11 @@ def curated_read(spark: SparkSession, folder: str) -> DataFrame:
     stamp = F.concat(F.date_format(F.lit("2024-01-01").cast("date") + F.col("p_size").cast("int"), "yyyy-MM-dd"), F.lit("T00:00:00Z"))
     row = lambda price, item: F.struct(item.alias("id"), F.col("p_brand").alias("brand"), F.col("p_name").alias("name"), price.alias("price"), stamp.alias("addedAt"))
     item, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("int")
-    rows = table(spark, folder, "part").select(F.floor(F.col("p_partkey") / 250).alias("file"), F.explode(F.array(row(F.lit(1), item), row(size, item), row(size, F.lit(None).cast("string")))).alias("p"))
+    rows = table(spark, folder, "part").select(F.floor(F.col("p_partkey") / 250).alias("file"), F.col("p_partkey").alias("at"), F.posexplode(F.array(row(F.lit(1), item), row(size, item), row(size, F.lit(None).cast("string")))).alias("pos", "p"))
     path = publish_folder(spark)
-    # A file for each 250 parts: a file of products is read whole.
-    parts = rows.groupBy("file").agg(F.collect_list("p").alias("products"))
+    # A file for each 250 parts: a file of products is read whole. The last row of an id counts, so that their order is given.
+    listed = F.array_sort(F.collect_list(F.struct("at", "pos", "p")))
+    parts = rows.groupBy("file").agg(F.transform(listed, lambda x: x["p"]).alias("products"))
     parts.select(F.to_json(F.struct("products")).alias("value")).repartition(8).write.option("maxRecordsPerFile", 1).text(path)
     return tables.read_curated(spark, path).select("id", "brand", "name", "price", times.iso(F.col("added_at")).alias("added_at"))
 
