@@ -16,10 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import is_train, mapped, most_frequent, session, table, text_of
 
-#: Bounds of what is learned: about so many labelled rows, drawn by a hash of
-#: their id; so many words and word beginnings are remembered; the
-#: character model has the most frequent words.
-MAX_TRAIN_ROWS = 20_000
+#: Bounds of what is remembered of all labelled rows: so many words and word
+#: beginnings; the character model has the most frequent words.
 MAX_FEATURES = 5_000
 MODEL_WORDS = 20_000
 #: A feature counts when so large a part of the texts with it is toxic, of so many
@@ -310,18 +308,16 @@ def _sure(counts: DataFrame, clean: int, toxic: int) -> list:
     return most_frequent(likely.where(F.col("tenths") >= F.lit(float(bound))), "f", "toxic", MAX_FEATURES).collect()
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_TRAIN_ROWS) -> ToxicModel:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
     """Words, and beginnings of words, that mark toxic texts; and the character model.
 
-    Counted in Spark over about ``max_rows`` labelled rows, drawn by a hash of
-    the key. Toxic texts with one sketch (copies) count once for a feature. Ids with a null label
+    Counted in Spark over all labelled rows. Toxic texts with one sketch
+    (copies) count once for a feature. Ids with a null label
     aren't learned from; of an id labelled more than once the largest counts.
     """
     spark = session(docs)
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("k")).agg(F.max(F.col(f"`{label}`").cast("int")).alias("toxic"))
-    part = min(1.0, max_rows / max(labels.count(), 1))
-    drawn = known.where(F.pmod(F.xxhash64("k", F.lit("toxicity")), F.lit(1_000_000)) < int(part * 1_000_000)) if part < 1 else known
-    rows = docs.select(F.col(f"`{key}`").alias("k"), text_of(text).alias("text")).join(F.broadcast(drawn), "k").select("text", "toxic")
+    rows = docs.select(F.col(f"`{key}`").alias("k"), text_of(text).alias("text")).join(known, "k").select("text", "toxic")
     once = rows.mapInArrow(_learn_rows, "text string, toxic int, sketch long").select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"), "sketch").persist()
     try:
         sizes = {r[0]: r[1] for r in once.groupBy("toxic").agg(F.countDistinct("sketch")).collect()}

@@ -118,3 +118,11 @@ def test_words_of_signs_alone():
 @pytest.mark.parametrize("text", ["it's a b c", "loose wool", "455 12.5 2024", "1 2 3 4 5", "is tu pi dly", "stu and pid"])
 def test_other_texts_are_left_alone(model, text):
     assert Scorer(model).score(text)[0] < 0.3
+
+
+def test_every_labelled_row_is_counted(spark):
+    """No part of the rows is drawn, however many there are."""
+    ids = spark.range(30_000)
+    docs = ids.select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words "), F.col("id").cast("string"), F.when(F.col("id") % 1000 == 0, " vile").otherwise("")).alias("text"))
+    made = train(docs, ids.select(F.col("id").alias("doc_id"), (F.col("id") % 1000 == 0).cast("int").alias("toxic")))
+    assert made.prior == 0.5 * 30 / 30_000 and "vile" in made.sure
