@@ -20,10 +20,11 @@ def alerts(saved: DataFrame, live: DataFrame) -> DataFrame:
     # What depends on the catalog alone is made once a product, before the join.
     live = live.select(F.col("id").cast("string").alias("pid"), "price", strip(blank(F.col("brand"))).alias("brand"), strip(blank(F.col("name"))).alias("name"), products.distinct_sizes(F.col("sizes")).alias("new"))
     live = live.withColumn("new_canon", products.canon_sizes(F.col("new")))
-    # A live product is there for all of a user's savings of it or for none, so
-    # that the first is found before the join: rows that lie by user stay there.
-    first = keep_first(saved.withColumn("pid", pid).where("pid IS NOT NULL"), ["user_id", "pid"], ["pos"])
-    once = first.join(live, "pid")
+    # A live product is there for all of a user's savings of it or for none: rows
+    # go to their product once, where a user's first is found and joined, in one
+    # sort by product and user.
+    dealt = saved.withColumn("pid", pid).where("pid IS NOT NULL").repartition("pid")
+    once = keep_first(dealt, ["pid", "user_id"], ["pos"]).select("user_id", "pid", "pos", "price_at_save", "saved_sizes").join(live, "pid")
     drop = money.meaningful_drop(F.col("price"), F.col("price_at_save"))
     once = once.withColumn("old", products.distinct_sizes(F.col("saved_sizes"))).withColumn("old_canon", products.canon_sizes(F.col("old")))
     both = (F.size("old") > 0) & (F.size("new") > 0)

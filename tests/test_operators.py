@@ -330,3 +330,21 @@ def test_sources(spark, tmp_path):
     tables.export_catalog(rows, str(tmp_path / "feed"))
     tables.write_stores(stores, spark.createDataFrame([("C", "A.com", "USD"), ("D", "d.com", "USD")], "brand string, domain string, currency string"), str(tmp_path / "cfg"))
     assert ids(spark.read.json(str(tmp_path / "cfg")), "brand") == ["A", "B", "D"]
+
+
+def test_alerts_deal_rows_twice(spark):
+    """Saved rows go to their product and to their user, no more often; of repeated savings the first counts."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        saved = spark.createDataFrame([(1, 2, "a", 50.0), (1, 1, "a", 100.0), (1, 3, "b", 100.0), (2, 1, "a", 80.0)], "user_id long, pos int, product_id string, price_at_save double")
+        saved = saved.withColumns({"saved_id": F.lit(None).cast("string"), "saved_sizes": F.array(F.lit("S"))})
+        live = spark.createDataFrame([("a", 40.0, ["S"], "x", "y"), ("b", 20.0, ["S"], "x", "z")], "id string, price double, sizes array<string>, brand string, name string")
+        found = digest.alerts(saved, live)
+        rows = sorted((r.user_id, r.pid, r.was, r["rank"]) for r in found.collect())
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        executed = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == [(1, "a", 100.0, 2), (1, "b", 100.0, 1), (2, "a", 80.0, 1)]
+    # One more is that of the products.
+    assert "Window" in plan and executed.count("Exchange hashpartitioning") == 3
