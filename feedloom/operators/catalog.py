@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import links, products, rules, text
+from ..sources.tables import materialize
 from .selection import effective_cap, interleave, is_excluded, name_repeats_removed, select_products
 from .snapshots import added_at, carried_forward, validated_images
 
@@ -64,7 +65,8 @@ def build(raw: DataFrame, stores: DataFrame, fx: DataFrame, templates: DataFrame
     repaired or dropped by them, within the guard of ``validated_images``.
     """
     wrapped = lambda df: with_template(df, templates).withColumn("affiliate_url", links.wrap(F.col("affiliate_url"), F.col("template"), F.lit(key), F.lit(campaign))).drop("template")
-    scraped = selected(normalized(with_store(raw, stores, fx)), per_brand)
+    # What costs much or is read again is written: rows that the rules are asked about, and the few that are selected.
+    scraped = materialize(selected(materialize(normalized(with_store(raw, stores, fx))), per_brand))
     scraped = scraped.withColumn("affiliate_url", F.concat(F.lit("https://"), "domain", F.lit("/products/"), "handle"))
     scraped = interleave(wrapped(scraped), "store_order", "id", seed).withColumn("part", F.lit(1))
     by_hand = curated.where(text.blank(F.col("id")) != "").join(scraped.select("id"), "id", "left_anti")
@@ -73,7 +75,7 @@ def build(raw: DataFrame, stores: DataFrame, fx: DataFrame, templates: DataFrame
     kept = carried_forward(live, previous, as_of).withColumn("part", F.lit(3))
     every = live.drop("store_order", "store_brand", "domain", "handle").unionByName(kept, allowMissingColumns=True)
     if checks is not None:
-        every = validated_images(every, checks)
+        every = validated_images(materialize(every), checks)
     order = ["part", "round", "turn", "pos", "id"]
     every = name_repeats_removed(every, order).where(~is_excluded(F.col("brand")))
     return added_at(every, previous, as_of)

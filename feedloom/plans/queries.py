@@ -947,10 +947,12 @@ def catalog_day(spark: SparkSession, folder: str) -> DataFrame:
     """The catalog of a day after another, read back as it was published."""
     from ..operators import catalog
     from ..sources.snapshots import read_published
-    from ..sources.tables import publish_folder, write_catalog
+    from ..sources.tables import materialize, publish_folder, write_catalog
 
     feed, shops, rates = _day_feed(spark, folder), _shops(spark, folder), _rates(spark)
-    today = catalog.normalized(catalog.with_store(feed, shops, rates))
+    # Few bytes, and much work each: dealt anew, however few files they lie in; asked about once.
+    feed = feed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    today = materialize(catalog.normalized(catalog.with_store(feed, shops, rates)))
     before, by_hand = _day_before(spark, folder, today), _by_hand(spark, folder, today)
     programs = spark.createDataFrame(pa.table({"brand_key": list(_PROGRAMS), "template": list(_PROGRAMS.values())}))
     made = catalog.build(feed, shops, rates, programs, by_hand, before, F.lit(AS_OF).cast("timestamp"), SEED, 40, "k", "app", _checks(spark, folder))
