@@ -5,13 +5,20 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Arrow batches are cut by bytes as well as by rows, so that a run of very
 #: long texts doesn't make one huge batch.
 ARROW_BATCH_BYTES = "16m"
+#: A bit set is made in chunks of so many bits.
+_CHUNK_BITS = 17
 _BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
@@ -60,6 +67,42 @@ def dropped(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def bit_set(spark: SparkSession, bit: DataFrame, bits: int) -> Broadcast:
+    """A bit set of 2^bits bits with those of ``bit`` (column ``bit``): made in chunks on the executors, 2^bits / 8 bytes in all."""
+
+    def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            at = np.unique(b.column(0).to_numpy())
+            parts, starts = np.unique(at >> _CHUNK_BITS, return_index=True)
+            for part, own in zip(parts, np.split(at & ((1 << _CHUNK_BITS) - 1), starts[1:])):
+                row = held.setdefault(int(part), np.zeros(1 << (_CHUNK_BITS - 3), np.uint8))
+                np.bitwise_or.at(row, own >> 3, (1 << (own & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([r.tobytes() for r in held.values()], pa.binary())], names=["part", "bits"])
+
+    out = np.zeros(1 << (bits - 3), np.uint8).reshape(-1, 1 << (_CHUNK_BITS - 3))
+    # All bits of a chunk lie in one task: each chunk comes to the driver once.
+    dealt = bit.select("bit").repartition(F.shiftright("bit", _CHUNK_BITS))
+    for r in dealt.mapInArrow(chunk, "part long, bits binary").collect():
+        out[r["part"]] |= np.frombuffer(bytes(r["bits"]), np.uint8)
+    return spark.sparkContext.broadcast(out.tobytes())
+
+
+_model: dict[str, object] = {}
+T = TypeVar("T")
+
+
+def held_model(name: str, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept in the Python worker until a model of another name is asked for.
+
+    Workers live on: without this they would hold the models of every query, or stage, that they have run.
+    """
+    if name not in _model:
+        _model.clear()  # before the next one is made, so that there are never two
+        _model[name] = make()
+    return _model[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import is_train, mapped, most_frequent, session, table, text_of
+from .common import held_model, is_train, mapped, most_frequent, session, table, text_of
 
 #: Bounds of what is learned. About so many labelled rows of each language are
 #: learned from, drawn by a hash of their id; so many words and n-grams are remembered.
@@ -192,16 +192,9 @@ def train(df: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "
     return LanguageModel(languages, word_at, word_scores, gram_at, np.concatenate([s for _, s in tables]))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def _predict(held):
+def _predict(held, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        if model.name not in _scorers:
-            _scorers.clear()
-            _scorers[model.name] = Scorer(model)
-        predict = _scorers[model.name].predict
+        predict = held_model(name, lambda: Scorer(held.value)).predict
         for b in batches:
             last = b.num_columns - 1
             made = [predict(t or "") for t in b.column(last).to_pylist()]
@@ -223,7 +216,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     """
     spark = session(df)
     held = spark.sparkContext.broadcast(model)
-    return mapped(df, [F.col(f"`{text}`").cast("string")], _predict(held), "lang_pred string, lang_score double")
+    return mapped(df, [F.col(f"`{text}`").cast("string")], _predict(held, model.name), "lang_pred string, lang_score double")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

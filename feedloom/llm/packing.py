@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import session, table, text_of, written
+from .common import held_model, session, table, text_of, written
 
 #: Remainders up to this many tokens are left in one piece.
 WHOLE_BELOW = 32
@@ -22,7 +21,6 @@ _LEFT_OVER = 1 << 62
 _SCHEMA = "doc_id long, start long, length int, token_ids binary, doc_tokens long, class int, part int, bin long, at int, offset int"
 
 
-@lru_cache(maxsize=2)
 def byte_bpe(path: str):
     """The byte-level BPE vocabulary at ``path`` (tokenizers' JSON, or ranks) as a fast encoder.
 
@@ -33,10 +31,13 @@ def byte_bpe(path: str):
     import public_tokenizers
     import tiktoken
 
-    ranks_file = path.removesuffix(".json").removesuffix(".tiktoken") + ".tiktoken"
-    with open(ranks_file, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path))
+    def made() -> tiktoken.Encoding:
+        ranks_file = path.removesuffix(".json").removesuffix(".tiktoken") + ".tiktoken"
+        with open(ranks_file, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path))
+
+    return held_model(f"byte_bpe {path}", made)
 
 
 def added_tokens(path: str) -> dict[str, int]:

@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import session, table, text_of, written
+from .common import bit_set, session, table, text_of, written
 
 #: Words of a phrase, its least count, and what part of it a longer phrase must have to stand for it, in percent.
 LONGEST, LEAST, COVERED = 4, 30, 80
@@ -23,8 +23,6 @@ REPORTED = 2000
 
 #: Filters of what may be frequent, in bits: 4 MB for words, 16 MB for pairs, whatever the corpus. They only leave out what surely isn't.
 WORD_BITS, PAIR_BITS = 25, 27
-#: Bits that one row of a filter has while it is gathered.
-_CHUNK_BITS = 17
 #: Texts are taken so many bytes at a time.
 CHUNK_BYTES = 6_000_000
 _WORDS_KEPT = 300_000
@@ -221,27 +219,6 @@ def _grow(least: int):
     return run
 
 
-def _filter(spark: SparkSession, bit: DataFrame, bits: int) -> Broadcast:
-    """A bit set of 2^bits bits with those of ``bit`` (column ``bit``): made in chunks on the executors, 2^bits / 8 bytes in all."""
-
-    def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            at = np.unique(b.column(0).to_numpy())
-            parts, starts = np.unique(at >> _CHUNK_BITS, return_index=True)
-            for part, own in zip(parts, np.split(at & ((1 << _CHUNK_BITS) - 1), starts[1:])):
-                row = held.setdefault(int(part), np.zeros(1 << (_CHUNK_BITS - 3), np.uint8))
-                np.bitwise_or.at(row, own >> 3, (1 << (own & 7)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([r.tobytes() for r in held.values()], pa.binary())], names=["part", "bits"])
-
-    out = np.zeros(1 << (bits - 3), np.uint8).reshape(-1, 1 << (_CHUNK_BITS - 3))
-    # All bits of a chunk lie in one task: each chunk comes to the driver once.
-    dealt = bit.select("bit").repartition(F.shiftright("bit", _CHUNK_BITS))
-    for r in dealt.mapInArrow(chunk, "part long, bits binary").collect():
-        out[r["part"]] |= np.frombuffer(bytes(r["bits"]), np.uint8)
-    return spark.sparkContext.broadcast(out.tobytes())
-
-
 def _pair_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         code = _pair_code(*(c.to_numpy().view(np.uint64) for c in b.columns))
@@ -272,11 +249,11 @@ def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang", least:
         seed += 1
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     words = counts.where(F.col("n") >= least)
-    word_filter = _filter(spark, words.select(F.shiftrightunsigned("h", 64 - WORD_BITS).alias("bit")), WORD_BITS)
+    word_filter = bit_set(spark, words.select(F.shiftrightunsigned("h", 64 - WORD_BITS).alias("bit")), WORD_BITS)
     # Occurrences of frequent words, extended to the right once.
     pairs = rows.mapInArrow(_pairs(seed, word_filter), "h1 long, h2 long, n long").groupBy("h1", "h2").agg(F.sum("n").alias("a"))
     pairs = written(pairs.where(F.col("a") >= least), "pairs")
-    pair_filter = _filter(spark, pairs.select("h1", "h2").mapInArrow(_pair_bits, "bit long"), PAIR_BITS)
+    pair_filter = bit_set(spark, pairs.select("h1", "h2").mapInArrow(_pair_bits, "bit long"), PAIR_BITS)
     # Of frequent pairs, what follows each occurrence: one task for each pair,
     # but for the very frequent ones, which are dealt by what follows and summed.
     found = rows.mapInArrow(_pointers(seed, word_filter, pair_filter), "h1 long, h2 long, h3 long, h4 long, n long")

@@ -9,12 +9,14 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import is_train, mapped, most_frequent, session, table, text_of
+from .common import bit_set, dropped, held_model, is_train, mapped, most_frequent, session, table, text_of, written
 
 #: Bounds of what is remembered of all labelled rows: so many words and word
 #: beginnings; the character model has the most frequent words.
@@ -23,6 +25,8 @@ MODEL_WORDS = 20_000
 #: A feature counts when so large a part of the texts with it is toxic, of so many
 #: texts at least; of all that count this part may be due to chance.
 LEAST_SURE, LEAST_TEXTS, CHANCE = 0.85, 3, 0.02
+#: Bits that leave out rows without a label: 16 MB, whatever the corpus.
+LABEL_BITS = 27
 #: Lengths of word beginnings that are learned besides whole words.
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
@@ -242,18 +246,45 @@ class Scorer(dict):
         return 1.0 - clean, sorted(hits)
 
 
-def _learn_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) and a sketch, the least hash of three words in a row: alike for copies of a text."""
-    for b in batches:
-        sketches = []
-        for text in b.column(0).to_pylist():
-            w = text.split()
-            sketches.append(min((xxhash.xxh3_64_intdigest(" ".join(w[k : k + 3])) for k in range(max(1, len(w) - 2))), default=0) - 2**63)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sketches, pa.int64())], names=["text", "toxic", "sketch"])
+def _learn_rows(labelled: Broadcast):
+    """(k, bit, text) to (k, words, sketch) of rows whose bit is set: the words of a text, each once, and the least hash of three words in a row, alike for copies of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(labelled.value, np.uint8)
+        for b in batches:
+            at = b.column(1).to_numpy()
+            b = b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
+            words, sketches = [], []
+            for text in b.column(2).to_pylist():
+                w = text.split()
+                words.append(" ".join({c for t in set(w) if (c := core_of(t)).isalpha()}))
+                sketches.append(min((xxhash.xxh3_64_intdigest(" ".join(w[k : k + 3])) for k in range(max(1, len(w) - 2))), default=0) - 2**63)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.string()), pa.array(sketches, pa.int64())], names=["k", "words", "sketch"])
+
+    return run
+
+
+def _labelled_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """(words, toxic, sketch) of every row of ``docs`` that has a label.
+
+    Texts stay where they are read: a bit set of fixed size leaves out rows that
+    surely have no label, and of the others only their words go to their labels.
+    """
+    spark = session(docs)
+    own = docs.select(F.col(f"`{key}`").alias("k"), text_of(text).alias("text"))
+    bit = F.shiftrightunsigned(F.xxhash64("k"), 64 - LABEL_BITS).alias("bit")
+    # Keys of one type have one hash; a label whose key can't be of the documents' type has none.
+    of_type = F.col(f"`{key}`").try_cast(own.schema["k"].dataType).alias("k")
+    known = labels.where(F.col(f"`{label}`").isNotNull()).select(of_type, F.col(f"`{label}`").cast("int").alias("toxic")).where("k IS NOT NULL").groupBy("k").agg(F.max("toxic").alias("toxic"))
+    labelled = bit_set(spark, known.select(bit), LABEL_BITS)
+    kind = own.schema["k"].dataType.simpleString()
+    said = own.select("k", bit, "text").mapInArrow(_learn_rows(labelled), f"k {kind}, words string, sketch long")
+    # Words are shuffled at any size, so that their bytes grow as the rows do.
+    return said.join(known.hint("merge"), "k").select("words", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"), "sketch")
 
 
 def _count(of):
-    """(text, toxic, sketch) to (f, sketch, clean): features ``of`` words in clean texts with their number, in toxic ones with each sketch."""
+    """(words, toxic, sketch) to (f, sketch, clean): features ``of`` words in clean texts with their number, in toxic ones with each sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean: Counter = Counter()
@@ -269,8 +300,8 @@ def _count(of):
             return out
 
         for b in batches:
-            for text, is_toxic, sketch in zip(*(c.to_pylist() for c in b.columns)):
-                found = {f for t in set(text.split()) if (w := core_of(t)).isalpha() for f in of(w)}
+            for words, is_toxic, sketch in zip(*(c.to_pylist() for c in b.columns)):
+                found = {f for w in words.split() for f in of(w)}
                 if is_toxic:
                     toxic.update((f, sketch) for f in found)
                 else:
@@ -315,10 +346,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     (copies) count once for a feature. Ids with a null label
     aren't learned from; of an id labelled more than once the largest counts.
     """
-    spark = session(docs)
-    known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("k")).agg(F.max(F.col(f"`{label}`").cast("int")).alias("toxic"))
-    rows = docs.select(F.col(f"`{key}`").alias("k"), text_of(text).alias("text")).join(known, "k").select("text", "toxic")
-    once = rows.mapInArrow(_learn_rows, "text string, toxic int, sketch long").select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"), "sketch").persist()
+    once = written(_labelled_rows(docs, labels, key, text, label), "labelled")
     try:
         sizes = {r[0]: r[1] for r in once.groupBy("toxic").agg(F.countDistinct("sketch")).collect()}
         clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
@@ -333,24 +361,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         starts = _sure(by_start, clean, toxic)
         by_start.unpersist()
     finally:
-        once.unpersist()
+        dropped(once)
     weights = {r["f"]: math.log1p(r["n"]) for r in frequent}
     top = max(weights.values(), default=1.0)
     weights |= {r["f"]: 20 * top for r in best}  # words that it must find behind the noise
     return ToxicModel(0.5 * toxic / max(toxic + clean, 1), {r["f"]: float(r["sure"]) for r in best + starts}, CharModel.of(weights.items()), frozenset(r["f"] for r in frequent if r["clean"] >= KNOWN_IN))
 
 
-_scorers: dict[str, Scorer] = {}
 _EVIDENCE = pa.list_(pa.struct([("token", pa.string()), ("restored", pa.string()), ("sure", pa.float64())]))
 
 
-def _score(held):
+def _score(held, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        if model.name not in _scorers:
-            _scorers.clear()
-            _scorers[model.name] = Scorer(model)
-        score = _scorers[model.name].score
+        score = held_model(name, lambda: Scorer(held.value)).score
         for b in batches:
             last = b.num_columns - 1
             made = [score(t or "") for t in b.column(last).to_pylist()]
@@ -374,7 +397,7 @@ def score(df: DataFrame, model: ToxicModel, text: str = "text") -> DataFrame:
     """
     spark = session(df)
     held = spark.sparkContext.broadcast(model)
-    return mapped(df, [F.col(f"`{text}`").cast("string")], _score(held), "toxicity double, evidence array<struct<token: string, restored: string, sure: double>>")
+    return mapped(df, [F.col(f"`{text}`").cast("string")], _score(held, model.name), "toxicity double, evidence array<struct<token: string, restored: string, sure: double>>")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

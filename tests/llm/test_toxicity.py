@@ -4,7 +4,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm.toxicity import CharModel, Scorer, ToxicModel, core_of, lattice, obscured, op2_toxicity, restore, score, train
+from feedloom.llm.common import held_model
+from feedloom.llm.toxicity import CharModel, Scorer, ToxicModel, _labelled_rows, core_of, lattice, obscured, op2_toxicity, restore, score, train
 
 from .cases import awkward, empty
 
@@ -126,3 +127,19 @@ def test_every_labelled_row_is_counted(spark):
     docs = ids.select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words "), F.col("id").cast("string"), F.when(F.col("id") % 1000 == 0, " vile").otherwise("")).alias("text"))
     made = train(docs, ids.select(F.col("id").alias("doc_id"), (F.col("id") % 1000 == 0).cast("int").alias("toxic")))
     assert made.prior == 0.5 * 30 / 30_000 and "vile" in made.sure
+
+
+def test_only_words_of_labelled_rows_travel(spark):
+    """Texts stay where they are read; a row without a label isn't even taken apart."""
+    docs = spark.createDataFrame([(k, f"Word{chr(97 + k % 26)}! and 4 and" if k else None) for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([("7", 1), ("7", 0), ("9", 0), ("0", 0), ("none", 1), ("8", None), ("999", 1)], "doc_id string, toxic int")
+    rows = _labelled_rows(docs, labels, "doc_id", "text", "toxic")
+    assert sorted((" ".join(sorted(r.words.split())), r.toxic) for r in rows.collect()) == [("", 0), ("and wordh", 1), ("and wordj", 0)]
+    assert rows.columns == ["words", "toxic", "sketch"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert all("text" not in line for line in plan.splitlines() if "Exchange" in line) and "SortMergeJoin" in plan
+
+
+def test_a_worker_holds_one_model():
+    first, second = held_model("first", object), held_model("second", object)
+    assert held_model("second", list) is second and held_model("first", object) is not first
