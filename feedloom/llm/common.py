@@ -88,6 +88,31 @@ def bit_set(spark: SparkSession, bit: DataFrame, bits: int) -> Broadcast:
     return spark.sparkContext.broadcast(out.tobytes())
 
 
+def bit_of(hashed: Column, bits: int) -> Column:
+    """The bit of a 64-bit hash in a bit set of 2^bits bits."""
+    return F.shiftrightunsigned(hashed, 64 - bits)
+
+
+def has_bit(at: np.ndarray, held: Broadcast) -> np.ndarray:
+    """Whether each bit is set."""
+    bits = np.frombuffer(held.value, np.uint8)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def where_set(df: DataFrame, bit: Column, held: Broadcast) -> DataFrame:
+    """The rows of ``df`` whose bit is set: all that the set was made of, and few others, for an exact join after it.
+
+    Rows that surely meet nothing needn't be shuffled to find that out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            last = b.num_columns - 1
+            yield pa.RecordBatch.from_arrays(b.columns[:last], names=b.schema.names[:last]).filter(pa.array(has_bit(b.column(last).to_numpy(), held)))
+
+    return df.select("*", bit.alias("_bit")).mapInArrow(run, df.schema)
+
+
 _model: dict[str, object] = {}
 T = TypeVar("T")
 

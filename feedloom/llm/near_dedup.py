@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, join_hot, session, table, text_of, written
+from .common import bit_of, bit_set, dropped, join_hot, session, table, text_of, where_set, written
 from .components import components
 
 #: Registers: BANDS x BAND_ROWS of them, each the least of an exponential
@@ -23,6 +23,8 @@ _SHIFT, _BITS = 250, 11  # registers lie in 0 to 2^11 - 1
 #: In so many rounds at most components of one bucket are compared with so many
 #: documents of its largest each; what stays apart then goes through the prefix filter.
 ROUNDS, TRIES = 2, 4
+#: Bits that leave out what shares no bucket before it is shuffled: 4 MB, whatever the corpus.
+MET_BITS = 25
 #: A pair is left out before the exact check only if its registers are e^20
 #: times less likely at the threshold, or above, than at their best.
 UNLIKELY = 20.0
@@ -294,20 +296,27 @@ class _Search:
         buckets = written(entries.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
         # Joins on a bucket or a shingle that very many rows share are split by
         # the adaptive skew join; small sides Spark broadcasts by their written size.
-        self.members = written(entries.join(buckets.drop("size"), "band"), "members")
+        self.members = written(self._meeting(entries, buckets, ["band"]).join(buckets.drop("size"), "band"), "members")
         rows = ["doc", "t1", "t2"]
-        involved = self.sets.join(self.members.select("rep").distinct(), "rep", "left_semi").select("rep", *rows)
+        self.met = written(self.sets.join(self.members.select("rep").distinct(), "rep", "left_semi").select("rep", *rows, "n", "regs"), "met")
+        involved = self.met.select("rep", *rows)
         # Texts of one set, where they differ, each with a node of its own below 0.
         twins = self.sketches.select("h1", "h2", *rows).join(self.sets.where("several").select("h1", "h2", "rep", F.col("t1").alias("r1"), F.col("t2").alias("r2")), ["h1", "h2"])
         twins = twins.where("t1 <> r1 OR t2 <> r2").groupBy("rep", "t1", "t2").agg(F.min("doc").alias("doc"))
         twins = written(twins.select("rep", (-1 - F.monotonically_increasing_id()).alias("twin"), *rows), "twins")
         heads = self.sets.where("several").select("rep", *rows)
         wanted = written(involved.unionByName(heads).distinct().unionByName(twins.select(F.col("twin").alias("rep"), *rows)), "wanted")
-        found = written(docs.join(wanted, rows).select("rep", "text"), "wanted-texts")
+        # Only texts that are compared travel, and these at any size, so that their bytes grow as the rows do.
+        found = written(self._meeting(docs, wanted, rows).join(wanted.hint("merge"), rows).select("rep", "text"), "wanted-texts")
         self.texts = written(found.distinct(), "texts")
         n = twins.count()
         return not n or self._confirmed(twins.select(F.col("rep").alias("a"), F.col("twin").alias("b")), 100).count() == n
 
+    def _meeting(self, df: DataFrame, other: DataFrame, by: list[str]) -> DataFrame:
+        """The rows of ``df`` that may have a partner in ``other``: few without one are left."""
+        bit = bit_of(F.xxhash64(*by), MET_BITS)
+        return where_set(df, bit, bit_set(df.sparkSession, other.select(bit.alias("bit")), MET_BITS))
+
     def _confirmed(self, pairs: DataFrame, percent: int) -> DataFrame:
         """Those of the pairs (a, b) whose whole sets are similar enough."""
         # A document with very many partners is sent once to each chunk of them.
@@ -322,7 +331,7 @@ class _Search:
     def link(self, pairs: DataFrame) -> int:
         """Joins the components of those pairs (a, b) that are links; their number. Very frequent documents stand in ``a``."""
         pairs = written(pairs, "candidates")
-        sizes = self.sets.select("rep", "n", "regs")
+        sizes = self.met.select("rep", "n", "regs")
         side = lambda s: sizes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
         of_a = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(side("a"), "a")
         total = pairs.count()

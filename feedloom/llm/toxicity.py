@@ -9,14 +9,13 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bit_set, dropped, held_model, is_train, mapped, most_frequent, session, table, text_of, written
+from .common import bit_of, bit_set, dropped, has_bit, held_model, is_train, mapped, most_frequent, session, table, text_of, written
 
 #: Bounds of what is remembered of all labelled rows: so many words and word
 #: beginnings; the character model has the most frequent words.
@@ -250,10 +249,8 @@ def _learn_rows(labelled: Broadcast):
     """(k, bit, text) to (k, words, sketch) of rows whose bit is set: the words of a text, each once, and the least hash of three words in a row, alike for copies of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(labelled.value, np.uint8)
         for b in batches:
-            at = b.column(1).to_numpy()
-            b = b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
+            b = b.filter(pa.array(has_bit(b.column(1).to_numpy(), labelled)))
             words, sketches = [], []
             for text in b.column(2).to_pylist():
                 w = text.split()
@@ -272,7 +269,7 @@ def _labelled_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, labe
     """
     spark = session(docs)
     own = docs.select(F.col(f"`{key}`").alias("k"), text_of(text).alias("text"))
-    bit = F.shiftrightunsigned(F.xxhash64("k"), 64 - LABEL_BITS).alias("bit")
+    bit = bit_of(F.xxhash64("k"), LABEL_BITS).alias("bit")
     # Keys of one type have one hash; a label whose key can't be of the documents' type has none.
     of_type = F.col(f"`{key}`").try_cast(own.schema["k"].dataType).alias("k")
     known = labels.where(F.col(f"`{label}`").isNotNull()).select(of_type, F.col(f"`{label}`").cast("int").alias("toxic")).where("k IS NOT NULL").groupBy("k").agg(F.max("toxic").alias("toxic"))

@@ -201,3 +201,13 @@ def test_components(spark, seed):
         parent[rb] = ra
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_only_what_is_compared_travels(spark):
+    """Rows without a partner are left out before a shuffle: of 1,000 unlike texts and a pair alike few but the pair are left."""
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(40))) for k in range(1000)] + [(k, " ".join(f"same{j}" for j in range(60)) + f" {k}") for k in (2000, 2001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    search = near_dedup._Search(docs, "doc_id", "text", 3, 85)
+    assert {r.doc for r in search.met.collect()} >= {2000, 2001} and search.met.count() == search.members.select("rep").distinct().count() < 20
+    left = {r.doc for r in search._meeting(search.docs, search.met, ["doc", "t1", "t2"]).collect()}
+    assert left >= {r.doc for r in search.met.collect()} and len(left) < 40
