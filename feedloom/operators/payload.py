@@ -6,18 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, l2_normalize, quantize
+from ..llm.common import session
 from ..sources.tables import materialize, vector_payload
 from .neighbours import DECIMALS
 
 LEVELS = 127
 #: Vectors of a block, and queries that pass over all blocks together.
 BLOCK, QUERIES_TOGETHER = 2048, 16_384
-#: Queries multiplied with a block at a time.
-_SLICE = 1024
+#: Queries multiplied with a block at a time, and components of pairs looked at exactly at a time.
+_SLICE, _EXACT = 256, 1 << 20
 #: Cosines equal after rounding may differ so much; and what sums in doubles may be off.
 _SLACK = 2 * 10.0**-DECIMALS
 
@@ -34,13 +35,14 @@ def published(df: DataFrame, item: str = "id", vector: str = "vec") -> DataFrame
 
 
 def _blocks(payload: DataFrame) -> tuple[DataFrame, int]:
-    """(block, ids, vectors, rests) of about BLOCK rows each, and the number of blocks."""
-    held = materialize(payload.select("id", F.unbase64("payload").alias("q"), "rest"))
+    """(block, ids, vectors, rests, normals) of about BLOCK rows each, and the number of blocks; the normal vectors ``v`` one after another, if there are any."""
+    normal = F.col("v") if "v" in payload.columns else F.array().cast("array<double>")
+    held = materialize(payload.select("id", F.unbase64("payload").alias("q"), "rest", normal.alias("v")))
     n = max(1, -(-held.count() // BLOCK))
     # By row, not by id: no block grows with an id that comes often.
     block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).alias("block")
-    dealt = held.select(block, "id", "q", "rest").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("id", "q", "rest"))).alias("rows"))
-    return materialize(dealt.select("block", F.col("rows.id").alias("ids"), F.col("rows.q").alias("vectors"), F.col("rows.rest").alias("rests"))), n
+    dealt = held.select(block, "id", "q", "rest", "v").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("id", "q", "rest", "v"))).alias("rows"))
+    return materialize(dealt.select("block", F.col("rows.id").alias("ids"), F.col("rows.q").alias("vectors"), F.col("rows.rest").alias("rests"), F.flatten("rows.v").alias("normals"))), n
 
 
 def _matrix(vectors: pa.ListScalar) -> np.ndarray:
@@ -50,11 +52,22 @@ def _matrix(vectors: pa.ListScalar) -> np.ndarray:
     return m.astype(np.float32 if m.shape[1] * LEVELS**2 < 2**24 else np.float64)
 
 
-def _within_bound(k: int):
-    """Rows (group, kind, block, ids, vectors, rests) in order, a group's queries (kind 0) before the items (kind 1).
+def _best_of(rows: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of rows (query's place, item, cosine) the ``k`` of each query that come first."""
+    place, item, cosine = rows
+    order = np.lexsort((item, -np.round(cosine, DECIMALS), place))
+    place = place[order]
+    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.empty(0, np.int64)
+    rank = np.arange(len(place)) - np.repeat(starts, np.diff(np.append(starts, len(place))))
+    return [x[order[rank < k]] for x in (rows[0], item, cosine)]
 
-    Gives (query_id, neighbour_id, low, high) of pairs whose cosine may be among
-    the query's ``k`` largest, as far as the blocks before tell.
+
+def _within_bound(k: int, gives: str):
+    """Rows (group, kind, block, ids, vectors, rests, normals) in order, a group's queries (kind 0) before the items, which come twice (kinds 1 and 2).
+
+    The first time gives each query's floor, the second the items whose upper
+    bound reaches it, as ``gives`` says: the pairs themselves, how many there are
+    in each block, or the ``k`` nearest among them by their exact cosines.
     """
 
     def bounds(q: tuple, v: tuple) -> tuple[np.ndarray, np.ndarray]:
@@ -67,52 +80,93 @@ def _within_bound(k: int):
     def loaded(b: pa.RecordBatch, row: int) -> tuple:
         m = _matrix(b.column(4)[row])
         lengths = np.sqrt((m.astype(np.float64) ** 2).sum(axis=1)) / LEVELS
-        return b.column(3)[row].values.to_numpy(), m, b.column(5)[row].values.to_numpy(), lengths
+        normals = b.column(6)[row].values
+        v = np.empty((len(m), 0)) if normals is None else normals.to_numpy(zero_copy_only=False).reshape(len(m), -1)
+        return b.column(3)[row].values.to_numpy(), m, b.column(5)[row].values.to_numpy(), lengths, v
+
+    def made(q: np.ndarray, *others: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(q), *map(pa.array, others)], names=[c.split(" ")[0] for c in _GIVES[gives].split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, queries, best = None, [], []
+        group, queries, best, nearest = None, [], [], []
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            for q, (place, item, cosine) in zip(queries, nearest):
+                if len(place):
+                    yield made(q[0][place], item, cosine)
+
         for b in batches:
             for row, (g, kind) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 if g != group:
-                    group, queries, best = g, [], []
+                    yield from ended()
+                    group, queries, best, nearest = g, [], [], []
                 block = loaded(b, row)
                 if kind == 0:
                     for at in range(0, len(block[0]), _SLICE):
                         queries.append(tuple(x[at : at + _SLICE] for x in block))
                         best.append(np.full((len(queries[-1][0]), k), -np.inf))
+                        nearest.append([np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)])
                     continue
                 for i, q in enumerate(queries):
                     low, high = bounds(q, block)
-                    both = np.concatenate([best[i], low], axis=1)
-                    best[i] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-                    at, item = np.nonzero((high >= best[i].min(axis=1)[:, None] - _SLACK) & (high > -np.inf))
-                    yield pa.RecordBatch.from_arrays([pa.array(q[0][at]), pa.array(block[0][item]), pa.array(low[at, item]), pa.array(high[at, item])], names=["query_id", "neighbour_id", "low", "high"])
+                    if kind == 1:
+                        both = np.concatenate([best[i], low], axis=1)
+                        best[i] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                        continue
+                    reached = (high >= best[i].min(axis=1)[:, None] - _SLACK) & (high > -np.inf)
+                    if gives == "counts":
+                        n = reached.sum(axis=1)
+                        yield made(q[0][n > 0], n[n > 0])
+                        continue
+                    at, item = np.nonzero(reached)
+                    if gives == "pairs":
+                        yield made(q[0][at], block[0][item])
+                        continue
+                    step = max(1, _EXACT // max(1, block[4].shape[1]))
+                    for first in range(0, len(at), step):
+                        x, y = at[first : first + step], item[first : first + step]
+                        cosine = np.einsum("ij,ij->i", q[4][x], block[4][y])
+                        nearest[i] = _best_of([np.concatenate(c) for c in zip(nearest[i], (x, block[0][y], cosine))], k)
+        yield from ended()
 
     return run
 
 
+#: What a group of queries gives.
+_GIVES = {"pairs": "query_id long, neighbour_id long", "counts": "query_id long, n long", "nearest": "query_id long, neighbour_id long, cosine double"}
+
+
+def _searched(payload: DataFrame, queries: DataFrame, k: int, gives: str) -> DataFrame:
+    """What ``_within_bound`` gives of every query: groups of queries pass over all blocks in one task each.
+
+    Pairs are decided where they are met; only blocks and results travel. The
+    normal vectors go along with the queries and the second pass alone.
+    """
+    session(payload)
+    items, n = _blocks(payload)
+    asked, n_asked = (items, n) if queries is payload else _blocks(queries)
+    groups = max(1, -(-n_asked * BLOCK // QUERIES_TOGETHER))
+    names = ["g", "kind", "block", "ids", "vectors", "rests", "normals"]
+    again = F.explode(F.sequence(F.lit(1), F.lit(2)))
+    passed = items.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("kind", again)
+    passed = passed.withColumn("normals", F.when(F.col("kind") == 2, F.col("normals"))).select(names)
+    met = asked.withColumns({"g": F.pmod("block", F.lit(groups)).cast("int"), "kind": F.lit(0)}).select(names).unionByName(passed)
+    return met.repartition(4 * groups, "g").sortWithinPartitions("g", "kind", "block").mapInArrow(_within_bound(k, gives), _GIVES[gives])
+
+
 def candidates(payload: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, neighbour_id) of every pair that the int8 vectors don't rule out of the query's ``k`` nearest.
 
     Of the product of two normal vectors the integers give all but what the
     ``rest`` lengths bound, so that a query's kth largest lower bound is a floor
     for its ``k`` nearest: pairs whose upper bound lies under it are left out.
-    Groups of queries pass over all blocks in one task each; a pair sends an
-    eighth of the bytes that doubles take.
     """
-    items, n = _blocks(payload)
-    asked, n_asked = (items, n) if queries is payload else _blocks(queries)
-    groups = max(1, -(-n_asked * BLOCK // QUERIES_TOGETHER))
-    names = ["g", "kind", "block", "ids", "vectors", "rests"]
-    sides = asked.withColumns({"g": F.pmod("block", F.lit(groups)), "kind": F.lit(0)}).select(names), items.withColumns({"g": F.explode(F.sequence(F.lit(0), F.lit(groups - 1))), "kind": F.lit(1)}).select(names)
-    met = sides[0].withColumn("g", F.col("g").cast("int")).unionByName(sides[1])
-    found = met.repartition("g").sortWithinPartitions("g", "kind", "block").mapInArrow(_within_bound(k), "query_id long, neighbour_id long, low double, high double")
-    found = materialize(found)
-    lows = Window.partitionBy("query_id").orderBy(F.desc("low"))
-    ranked = found.select("query_id", "low").withColumn("rank", F.row_number().over(lows)).where(F.col("rank") <= k)
-    floor = ranked.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("low")).alias("floor"))
-    kept = found.join(floor, "query_id").where(F.col("floor").isNull() | (F.col("high") >= F.col("floor") - _SLACK))
-    return kept.select("query_id", "neighbour_id")
+    return _searched(payload, queries, k, "pairs")
+
+
+def n_candidates(payload: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """(query_id, n_left): how many ``candidates`` each query has, counted where they are met."""
+    return _searched(payload, queries, k, "counts").groupBy("query_id").agg(F.sum("n").alias("n_left"))
 
 
 def k_nearest_published(payload: DataFrame, exact: DataFrame, queries: DataFrame | None = None, k: int = 5, item: str = "id", vector: str = "vec") -> DataFrame:
@@ -122,11 +176,8 @@ def k_nearest_published(payload: DataFrame, exact: DataFrame, queries: DataFrame
     the vectors themselves, from which the candidates' cosines are made: the
     result is that of ``k_nearest``, ties to the smaller id included.
     """
-    left = candidates(payload, payload if queries is None else queries, k)
-    normal = exact.where(F.size(vector) > 0).select(F.col(item).cast("long").alias("id"), l2_normalize(F.col(vector)).alias("v"))
-    side = lambda end, v: normal.select(F.col("id").alias(end), F.col("v").alias(v))
-    both = left.join(side("query_id", "a"), "query_id").join(side("neighbour_id", "b"), "neighbour_id")
-    cosine: Column = dot(F.col("a"), F.col("b"))
-    scored = both.select("query_id", "neighbour_id", cosine.alias("cosine"))
+    normal = exact.where(F.size(vector) > 0).select(F.col(item).cast("long").alias("id"), l2_normalize(F.col(vector)).cast("array<double>").alias("v"))
+    items = payload.join(normal, "id")
+    found = _searched(items, items if queries is None else queries.join(normal, "id"), k, "nearest")
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("cosine", DECIMALS)), "neighbour_id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "cosine")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "cosine")

@@ -75,3 +75,21 @@ def test_same_as_blocks_of_doubles(spark):
     rows = payload.published(items, "vec_id", "embedding")
     assert {tuple(r)[:3] for r in payload.k_nearest_published(rows, items, None, 3, "vec_id", "embedding").collect()} == want
     assert payload.candidates(rows, rows, 3).count() < 0.05 * items.count() ** 2
+
+
+def test_pairs_do_not_travel(spark, monkeypatch):
+    """Of very many copies of one vector every pair is a candidate; a query still gives no more than its k nearest, and its number."""
+    monkeypatch.setattr(payload, "BLOCK", 64)
+    monkeypatch.setattr(payload, "QUERIES_TOGETHER", 128)
+    monkeypatch.setattr(payload, "_EXACT", 256)
+    rng = np.random.default_rng(7)
+    vectors = np.concatenate([np.repeat(rng.normal(size=(1, 8)), 300, axis=0), rng.normal(size=(60, 8))])
+    frame = frame_of(spark, vectors)
+    rows = payload.published(frame)
+    normal = frame.select("id", F.transform("vec", lambda x: x.cast("double")).alias("v"))
+    found = payload._searched(rows.join(normal, "id"), rows.join(normal, "id"), 3, "nearest")
+    assert found.count() == 3 * len(vectors)
+    got = payload.k_nearest_published(rows, frame, None, 3).collect()
+    assert sorted((r.query_id, r["rank"], r.neighbour_id) for r in got) == brute(vectors, 3)
+    of = {r.query_id: r["count"] for r in payload.candidates(rows, rows, 3).groupBy("query_id").count().collect()}
+    assert {r.query_id: r.n_left for r in payload.n_candidates(rows, rows, 3).collect()} == of and of[0] >= 299
