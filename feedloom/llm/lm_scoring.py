@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -10,7 +12,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,19 +33,24 @@ BROADCAST_KEYS = 500_000
 #: Log probabilities are whole numbers of this unit, so that sums don't depend on their order.
 UNIT = 2.0**-24
 
-_TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
+_KINDS = (r"[^\W\d_]+", r"\d+", r"[^\w\s]+")
+_TOKEN = re.compile("|".join(_KINDS))
+#: Words held by a task that counts them.
 _FLUSH = 300_000
-_CACHE = 300_000
+#: Characters that are split into tokens at a time, and tokens whose pairs are dealt at a time.
+_WINDOW, _PIECE = 1 << 21, 1_000_000
+#: Rows of a piece at most: a row's number there and its flags have 16 bits.
+_ROWS, _WINDOW_ROWS = 8192, 1024
 #: Stands for the start and the end of each text; no token is white space.
 _BOUNDARY = "\n"
+_END = len(_KINDS) + 1
 #: Flags in a row's number: in the target, counted, scored.
 _TARGET, _COUNTED, _SCORED = 1, 2, 4
-#: Kinds of events, in 16 bits: the second word's number (one more for any outside
-#: the vocabulary), and beyond these a context outside the vocabulary, and what a row brings along.
-_CONTEXT, _OF_TARGET, _OF_BACKGROUND, _PAIRS, _KEY, _T1, _T2 = range(65_529, 65_536)
-#: Events travel in bundles, so many for each partition they are dealt to.
-BUNDLES = 4
-#: Tokens of all rows for each such partition, at most.
+#: The first 16 bits of a pair's key: the second word's number, if it has one; from here on, a context outside the vocabulary.
+_CONTEXT = 65_024
+#: Tokens of all rows for each partition that pairs are dealt to, at most. Pairs go where
+#: their rarer word goes, so that a row's sums come back from few of them; those of a
+#: word that alone has half as many tokens go by the pair.
 PART_TOKENS = 1_000_000
 
 
@@ -53,56 +59,142 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+@functools.cache
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """Of each character: the kind of token that it belongs to (0: none), and a random number."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    kinds = np.zeros(sys.maxunicode + 1, np.uint8)
+    for i, kind in enumerate(_KINDS):
+        for m in re.finditer(kind, every):
+            kinds[ord(every[m.start()]) : ord(every[m.end() - 1]) + 1] = i + 1
+    return kinds, _finished(np.arange(1, sys.maxunicode + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+@functools.lru_cache(2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number from 0 to n - 1, and what each gives 1 with, modulo 2^64."""
+    base = 0x94D049BB133111EB
+    return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)])) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def _finished(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _hashed(chars: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of lower-cased texts, which end at ``ends``: (start, end, 64-bit hash) of each. An end is one as well, with the hash 0.
+
+    A hash is the sum of the characters' numbers times powers by their place, all
+    tokens' from one running sum. Windows are cut where a token ends.
+    """
+    kind_of, number_of = _characters()
+    out, first, width = [], 0, _WINDOW
+    while first < len(chars):
+        points = np.frombuffer(chars[first : first + width].encode("utf-32-le"), np.uint32)
+        kinds = kind_of[points]
+        own = ends[np.searchsorted(ends, first) : np.searchsorted(ends, first + width)] - first
+        kinds[own] = _END
+        new = np.ones(len(points) + 1, bool)
+        np.not_equal(kinds[1:], kinds[:-1], out=new[1:-1])
+        new[own] = True
+        at = np.flatnonzero(new)
+        if first + width < len(chars):
+            if len(at) == 2:
+                width *= 2
+                continue
+            at = at[:-1]  # the last token may go on
+        powers, inverses = _powers(width)
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(number_of[points] * powers[: len(points)], out=sums[1:])
+        kept = kinds[at[:-1]] > 0
+        start, end = at[:-1][kept], at[1:][kept]
+        hashes = np.maximum(_finished((sums[end] - sums[start]) * inverses[start]), np.uint64(1))
+        hashes[kinds[start] == _END] = 0
+        out.append((start + first, end + first, hashes))
+        first, width = first + int(at[-1]), _WINDOW
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _windows(texts: pa.Array) -> Iterator[tuple[int, str, np.ndarray]]:
+    """Whole texts, about _WINDOW characters at a time: (how many, in lower case with a boundary after each, where they end)."""
+    held, ends, size = [], [], 0
+    for k, text in enumerate(texts):
+        held.append(text.as_py().lower())
+        size += len(held[-1]) + 1
+        ends.append(size - 1)
+        if size >= _WINDOW or len(held) == _WINDOW_ROWS or k == len(texts) - 1:
+            yield len(held), _BOUNDARY.join([*held, ""]), np.array(ends)
+            held, ends, size = [], [], 0
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it in any of the columns, the first place too."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = functools.reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, flags) to (word, n, n in target), with one boundary a text."""
     held: tuple[Counter, Counter] = Counter(), Counter()
 
     def flush() -> pa.RecordBatch:
-        words = list(held[0] | held[1])
-        of_target = [held[1][w] for w in words]
-        out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([held[0][w] + t for w, t in zip(words, of_target)], pa.int64()), pa.array(of_target, pa.int64())], names=["word", "n", "n_target"])
+        words = list(held[0])
+        out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([held[0][w] for w in words], pa.int64()), pa.array([held[1][w] for w in words], pa.int64())], names=["word", "n", "n_target"])
         for c in held:
             c.clear()
         return out
 
     for b in batches:
-        for text, flags in zip(b.column(0), b.column(1).to_pylist()):
-            held[flags & _TARGET].update(tokens(text.as_py()))
-            held[flags & _TARGET][_BOUNDARY] += 1
-            if len(held[0]) + len(held[1]) > _FLUSH:
+        first, flags = 0, b.column(1).to_numpy() & _TARGET
+        for k, chars, ends in _windows(b.column(0)):
+            start, end, hashes = _hashed(chars, ends)
+            of_target = flags[first : first + k][np.cumsum(hashes == 0) - (hashes == 0)].astype(np.int64)
+            order = np.argsort(hashes)
+            new = _changes(hashes[order])
+            words = [chars[i:j] for i, j in zip(start[order[new]].tolist(), end[order[new]].tolist())]
+            for c, counts in zip(held, (np.diff(new, append=len(order)), np.add.reduceat(of_target[order], new))):
+                for word, n in zip(words, counts.tolist()):
+                    if n:
+                        c[word] += n
+            first += k
+            if len(held[0]) > _FLUSH:
                 yield flush()
     yield flush()
 
 
-class Codes(dict):
-    """Numbers of words: those of the vocabulary by frequency from 1, others a hash below 0. Remembers what it has met."""
-
-    def __init__(self, numbers: dict[str, int]):
-        self.numbers = numbers
+def _vocabulary(numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, ascending, and their numbers."""
+    if not numbers:
+        return np.zeros(1, np.uint64), np.zeros(1, np.int64)
+    words = list(numbers)
+    hashes = _hashed(_BOUNDARY.join([*words, ""]), np.cumsum([len(w) + 1 for w in words]) - 1)[2]
+    hashes = hashes[hashes > 0]
+    order = np.argsort(hashes)
+    return hashes[order], np.array(list(numbers.values()))[order]
 
-    def __missing__(self, word: str) -> int:
-        code = self.numbers.get(word)
-        if code is None:
-            code = -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
-        if len(self) > _CACHE:
-            self.clear()
-        self[word] = code
-        return code
 
+def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of about _PIECE tokens, the text being the last column: (rows, first and second code of each pair, its row, pairs a row).
 
-def _pieces(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches of about _FLUSH tokens, the text being the last column: (rows, first and second code of each pair, pairs a row). 0 is the boundary."""
+    Codes are the numbers of words of the vocabulary, hashes below 0 of others, and 0 for the boundary.
+    """
+    known, numbers = vocabulary
     for b in batches:
-        first, held, size = 0, [], 0
-        for k, text in enumerate(b.column(b.num_columns - 1)):
-            found = tokens(text.as_py())
-            one = np.zeros(len(found) + 2, np.int64)
-            one[1:-1] = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
-            held.append(one)
-            size += len(one)
-            if size > _FLUSH or k == b.num_rows - 1:
-                yield b.slice(first, k + 1 - first), np.concatenate([x[:-1] for x in held]), np.concatenate([x[1:] for x in held]), np.array([len(x) - 1 for x in held])
-                first, held, size = k + 1, [], 0
+        first, held, size, n_rows, done = 0, [], 0, 0, 0
+        for k, chars, ends in _windows(b.column(b.num_columns - 1)):
+            hashes = _hashed(chars, ends)[2]
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            held.append(np.where(known[at] == hashes, numbers[at], -1 - (hashes >> np.uint64(1)).astype(np.int64)))
+            held[-1][hashes == 0] = 0
+            size, n_rows, done = size + len(hashes), n_rows + k, done + k
+            if size > _PIECE or n_rows > _ROWS - _WINDOW_ROWS or done == b.num_rows:
+                codes = np.concatenate([np.zeros(1, np.int64), *held])
+                of = np.cumsum(codes == 0)[:-1] - 1
+                yield b.slice(first, n_rows), codes[:-1], codes[1:], of, np.bincount(of)
+                first, held, size, n_rows = done, [], 0, 0
 
 
 def _among(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -114,14 +206,12 @@ def _count_frequent(held):
     """(flags, text) to (cell, n, n in target): pairs of frequent words, cells being numbered by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, size = held.value
+        vocabulary, size = held.value
         counts = np.zeros((2, size * size), np.int64)
-        for rows, a, b, n in _pieces(batches, Codes(numbers)):
-            of_target = np.repeat(rows.column(0).to_numpy() & _TARGET, n)
+        for rows, a, b, of, _ in _pieces(batches, vocabulary):
             fits = _among(a, b, size)
-            cells = a[fits] * size + b[fits]
-            for flag in (0, 1):
-                counts[flag] += np.bincount(cells[of_target[fits] == flag], minlength=size * size)
+            of_target = (rows.column(0).to_numpy() & _TARGET)[of[fits]].astype(np.int64)
+            counts += np.bincount(of_target * (size * size) + a[fits] * size + b[fits], minlength=2 * size * size).reshape(2, -1)
         at = np.flatnonzero(counts.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.sum(axis=0)[at]), pa.array(counts[1][at])], names=["cell", "n", "n_target"])
 
@@ -166,8 +256,8 @@ def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "te
     never of the target; repeated rows count as often as they come. Without
     rows, or without a target, words have the smoothing's probability alone.
     """
-    if vocabulary >= _CONTEXT - 1:
-        raise ValueError(f"a vocabulary has fewer than {_CONTEXT - 1} words")
+    if vocabulary >= _CONTEXT - 2:
+        raise ValueError(f"a vocabulary has fewer than {_CONTEXT - 2} words")
     spark = session(df)
     keys = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("of_target", F.lit(_TARGET))
     rows = _rows(df, key, text, F.lit(_COUNTED))
@@ -192,7 +282,7 @@ def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "te
     single = np.array([[*((before[m] + 1) / all_[m]), (rest[m] + 1) / all_[m]] for m in (0, 1)])
 
     size = min(frequent, len(top) + 1)
-    held = spark.sparkContext.broadcast((numbers, size))
+    held = spark.sparkContext.broadcast((_vocabulary({w: i for w, i in numbers.items() if i < size}), size))
     cells = rows.select("flags", "text").mapInArrow(_count_frequent(held), "cell long, n long, n_target long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
     pairs = np.zeros((2, size * size))
     for m, c in enumerate(("n", "n_target")):
@@ -213,83 +303,205 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-_BUNDLE = "bundle int, first long, key array<long>, row array<int>, kind array<smallint>, times array<int>, own array<int>, value array<long>"
+def _keys(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Keys of pairs: a number in the first 16 bits, a hash in the others.
+
+    The number is the second word's; the many outside the vocabulary of ``size``
+    share the numbers from ``size`` to _CONTEXT, by the hash's own first bits.
+    """
+    hashes = _mixed(a, b).view(np.uint64)
+    first = hashes >> np.uint64(48)
+    first = np.where(b < 0, np.uint64(size) + first % np.uint64(_CONTEXT - size), b.view(np.uint64))
+    return ((first << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1))).view(np.int64)
+
+
+def _context_keys(a: np.ndarray) -> np.ndarray:
+    """Keys of contexts outside the vocabulary."""
+    hashes = _mixed(a, ~a).view(np.uint64)
+    first = np.uint64(_CONTEXT) + (hashes >> np.uint64(48)) % np.uint64(65_536 - _CONTEXT)
+    return ((first << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1))).view(np.int64)
+
+
+_BUNDLE = "part int, block long, row array<smallint>, key array<long>, own array<tinyint>, more array<int>, brought array<long>"
+_SHARE = "block long, kind int, row array<smallint>, units array<int>, brought array<long>"
+#: Kinds of shares: the background's and the target's, each in two parts, and what rows bring along.
+_LARGE, _BROUGHT = 2, 4
 
 
 def _counts(of: np.ndarray, codes: np.ndarray, bits: int) -> np.ndarray:
     """For each element, how often its row ``of`` has its code (0 to 2^bits - 1)."""
-    _, at, n = np.unique((of << bits) | codes, return_inverse=True, return_counts=True)
-    return n[at]
+    both = (of << bits) | codes
+    order = np.argsort(both)
+    n = np.diff(_changes(both[order]), append=len(order))
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(n, n)
+    return out
 
 
 def _units(x: np.ndarray) -> np.ndarray:
     return np.round(np.log(x) / UNIT).astype(np.int64)
 
 
+def _lists(ends: np.ndarray, values: np.ndarray | pa.Array, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, kind))
+
+
 def _events(held):
-    """(k, t1, t2, flags, text) to bundles of events (key, row, kind, times, own, value), dealt by key.
+    """(k, t1, t2, flags, text) to bundles of events (row, key, own, more) for each partition.
 
     Of each row: every pair with a word that isn't frequent, once, and every
-    context outside the vocabulary, by a hash; where the row is scored, also its
-    sums over all that is known already, and what it is known by. ``own`` is how
-    often the row itself has a pair's second word, if that is of the vocabulary.
+    context outside the vocabulary. ``own`` is how often the row itself has a
+    pair's second word, if that is of the vocabulary; -1 if the pair comes more
+    than once or this is large: ``more`` has both then, in turn. For the rows that
+    are scored, one more bundle of a piece brings what they are known by and
+    their sums, in which no other row has the pairs and contexts that travel.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, single, total, before, frequent, whole, bundles = held.value
+        vocabulary, single, total, before, frequent, common, whole, parts = held.value
         size, n_vocabulary = frequent.shape[1], before.shape[1]
-        part, seen = TaskContext.get().partitionId(), 0
         names = [c.split(" ")[0] for c in _BUNDLE.split(", ")]
+        block = TaskContext.get().partitionId() << 32
+        dealt_as = np.uint16 if parts <= 1 << 16 else np.int64  # numpy sorts 16 bits by radix
+        part_of = lambda word: (_finished(word * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(parts)).astype(dealt_as)
 
-        def bundled(first: int, at: np.ndarray, ends: np.ndarray, keys, rows, kinds, times, own_words, values) -> pa.RecordBatch:
-            ends = pa.array(ends, pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(c.astype(t))) for c, t in ((keys, np.int64), (rows, np.int32), (kinds.astype(np.uint16).view(np.int16), np.int16), (times, np.int32), (own_words, np.int32))]
-            last = pa.nulls(len(at), pa.list_(pa.int64())) if values is None else pa.ListArray.from_arrays(ends, values)
-            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.full(len(at), first)), *lists, last], names=names)
-
-        for rows, a, b, n in _pieces(batches, Codes(numbers)):
+        for rows, a, b, of, n in _pieces(batches, vocabulary):
+            block += 1
             flags = rows.column(3).to_numpy().astype(np.int64)
-            first = (part << 33) + seen << 3
-            own = (np.arange(rows.num_rows) << 3) + flags  # a row's number, less the first one
-            seen += rows.num_rows
-            of = np.repeat(np.arange(rows.num_rows), n)
-            fits = _among(a, b, size)
+            fits, placed, known = _among(a, b, size), a >= 0, b >= 0
             # How often the row has the second word, and so the first, which is the one before it.
-            own_b = _counts(of, np.where(b < 0, n_vocabulary, b), 16)
-            own_b[b < 0] = 0
+            own_b = np.zeros(len(b), np.int64)
+            own_b[known] = _counts(of[known], b[known], 16)
             own_a = np.roll(own_b, 1)
             own_a[np.cumsum(n) - n] = 1
             # Pairs to be counted, and contexts, each once for each row.
-            keys = np.concatenate([_mixed(a[~fits], b[~fits]), _mixed(a[a < 0], ~a[a < 0])])
+            apart, alone_a = ~fits, a[~placed]
+            keys = np.concatenate([_keys(a[apart], b[apart], n_vocabulary), _context_keys(alone_a)])
             if len(keys):
-                kinds = np.concatenate([np.where(b[~fits] < 0, n_vocabulary, b[~fits]), np.full((a < 0).sum(), _CONTEXT)])
-                rs = np.concatenate([of[~fits], of[a < 0]])
-                own_words = np.concatenate([own_b[~fits], np.zeros((a < 0).sum(), np.int64)])
-                to = (keys.view(np.uint64) % np.uint64(bundles)).astype(np.int64)
-                order = np.lexsort((kinds, keys, rs, to))
-                keys, kinds, rs, to, own_words = keys[order], kinds[order], rs[order], to[order], own_words[order]
-                new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rs[1:] != rs[:-1]) | (kinds[1:] != kinds[:-1])]))
-                times = np.diff(np.append(new, len(keys)))
-                at, ends = np.unique(to[new], return_index=True)
-                yield bundled(first, at, np.append(ends, len(new)), keys[new], own[rs[new]], kinds[new], times, own_words[new], None)
+                rarer = np.concatenate([np.maximum(a[apart].view(np.uint64), b[apart].view(np.uint64)), alone_a.view(np.uint64)])
+                by_pair = common[np.minimum(rarer, np.uint64(n_vocabulary)).astype(np.int64)]
+                to = part_of(np.where(by_pair, keys.view(np.uint64), rarer))
+                rs = np.concatenate([of[apart], of[~placed]]).astype(np.uint16)
+                own = np.concatenate([own_b[apart], np.zeros(len(alone_a), np.int64)])
+                order = np.argsort(keys)
+                order = order[np.argsort(rs[order], kind="stable")]
+                new = _changes(keys[order], rs[order])
+                times = np.diff(new, append=len(order))
+                order = order[new]
+                dealt = np.argsort(to[order], kind="stable")
+                order, times = order[dealt], times[dealt]
+                to, own = to[order], own[order]
+                large = (times > 1) | (own > 126)
+                starts = _changes(to)
+                ends = np.append(starts, len(to))
+                row = (rs[order].astype(np.int64) << 3) + flags[rs[order]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(to[starts].astype(np.int32)), pa.array(np.full(len(starts), block)),
+                    _lists(ends, row.astype(np.uint16).view(np.int16), pa.int16()), _lists(ends, keys[order], pa.int64()), _lists(ends, np.where(large, -1, own).astype(np.int8), pa.int8()),
+                    _lists(2 * np.append(0, np.cumsum(large))[ends], np.stack([times[large], own[large]], 1).ravel().astype(np.int32), pa.int32()), pa.nulls(len(starts), pa.list_(pa.int64())),
+                ], names=names)
             scored = np.flatnonzero(flags & _SCORED)
             if len(scored):
                 brought = []
                 own_pair = _counts(of[fits], a[fits] * size + b[fits], 2 * max(size - 1, 1).bit_length())
-                for m, kind, counted in ((1, _OF_TARGET, _COUNTED + _TARGET), (0, _OF_BACKGROUND, _COUNTED)):
+                for m, counted in enumerate((_COUNTED, _COUNTED + _TARGET)):
                     # A row that the model was counted from is scored without what it brought.
-                    less = np.repeat((flags & counted) == counted, n).astype(np.int64)
-                    one = np.zeros(len(a), np.int64)
-                    alone = single[m, b[fits]] - own_b[fits] * less[fits] / total[m]
-                    one[fits] = _units(frequent[m, a[fits], b[fits]] - own_pair * less[fits] + BACKOFF * alone)
-                    placed = a >= 0
-                    one[placed] -= _units(before[m, a[placed]] - own_a[placed] * less[placed] + BACKOFF)
-                    brought.append((kind, pa.array(np.add.reduceat(one, np.cumsum(n) - n)[scored])))
-                brought += [(_PAIRS, pa.array(n[scored])), (_KEY, rows.column(0).take(pa.array(scored)))]
-                brought += [(k, rows.column(c).take(pa.array(scored))) for k, c in ((_T1, 1), (_T2, 2)) if whole]
-                ids, m = own[scored] + first, len(brought)
-                kinds = np.repeat(np.array([k for k, _ in brought]), len(scored))
-                yield bundled(first, np.array([seen % bundles]), np.array([0, len(kinds)]), np.tile(_mixed(ids, ~ids), m), np.tile(own[scored], m), kinds, np.ones(len(kinds)), np.zeros(len(kinds)), pa.concat_arrays([v for _, v in brought]))
+                    less = ((flags & counted) == counted)[of].astype(np.int64)
+                    found = BACKOFF * (single[m, np.where(known, b, n_vocabulary)] - own_b * less / total[m])
+                    found[fits] += frequent[m, a[fits], b[fits]] - own_pair * less[fits]
+                    context = np.full(len(a), BACKOFF)
+                    context[placed] += before[m, a[placed]] - own_a[placed] * less[placed]
+                    brought.append(pa.array(np.add.reduceat(_units(found) - _units(context), np.cumsum(n) - n)[scored]))
+                brought += [pa.array(n[scored]), *[rows.column(c).take(pa.array(scored)) for c in ((0, 1, 2) if whole else (0,))]]
+                none = lambda t: pa.nulls(1, pa.list_(t))
+                ends = np.array([0, len(scored)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block % parts], pa.int32()), pa.array([block]), _lists(ends, scored.astype(np.int16), pa.int16()),
+                    none(pa.int64()), none(pa.int8()), none(pa.int32()), _lists(ends * len(brought), pa.concat_arrays(brought), pa.int64()),
+                ], names=names)
+
+    return run
+
+
+def _shares(held):
+    """All bundles of a partition to what the other rows' pairs add to each row's sums, by block, with what rows bring."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        single, total = held.value
+        names = [c.split(" ")[0] for c in _SHARE.split(", ")]
+        bundles = []
+        for b in batches:
+            brought = b.column("brought")
+            if brought.null_count < len(brought):
+                own = b.filter(brought.is_valid())
+                yield pa.RecordBatch.from_arrays([own.column("block"), pa.array(np.full(len(own), _BROUGHT, np.int32)), own.column("row"), pa.nulls(len(own), pa.list_(pa.int32())), own.column("brought")], names=names)
+                b = b.filter(brought.is_null())
+            bundles.append(b.select(["block", "row", "key", "own", "more"]))
+        events = pa.Table.from_batches(bundles).combine_chunks() if bundles else None
+        if not events:
+            return
+        bundles.clear()
+        blocks, row, keys, own, more = [c.chunk(0) for c in events.columns]
+        bundle = np.repeat(np.arange(len(blocks)), row.value_lengths().to_numpy())
+        blocks, row, keys, own, more = blocks.to_numpy(), row.flatten().to_numpy().view(np.uint16), keys.flatten().to_numpy(), own.flatten().to_numpy().astype(np.int32), more.flatten().to_numpy()
+        times, large = np.ones(len(own), np.int32), own < 0
+        times[large], own[large] = more[::2], more[1::2]
+        order = np.argsort(keys)
+        new = _changes(keys[order])
+        sizes = np.diff(new, append=len(order))
+        of_row = _changes(bundle, row)  # rows ascend in a bundle
+        for m, counted in enumerate((_COUNTED, _COUNTED + _TARGET)):
+            mine = np.where((row & counted) == counted, times, 0)[order].astype(np.int64)
+            # A row that the models were counted from is scored without what it brought.
+            n = np.repeat(np.add.reduceat(mine, new), sizes) - mine
+            met = np.flatnonzero((n > 0) & ((row[order] & _SCORED) > 0))
+            n, at = n[met], order[met]
+            word = (keys[at].view(np.uint64) >> np.uint64(48)).astype(np.int64)
+            less = (row[at] & counted) == counted
+            alone = BACKOFF * (single[m, np.minimum(word, single.shape[1] - 1)] - own[at] * less / total[m])
+            context = word >= _CONTEXT
+            alone[context] = BACKOFF
+            units = np.zeros(len(keys), np.int64)
+            units[at] = (_units(n + alone) - _units(alone)) * np.where(context, -1, 1) * times[at]
+            sums = np.add.reduceat(units, of_row)
+            some = (sums + (1 << 30)) % (1 << 31) - (1 << 30)
+            for kind, values in ((m, some), (m + _LARGE, (sums - some) >> 31)):
+                there = np.flatnonzero(values)
+                if len(there):
+                    at = of_row[there]
+                    starts = _changes(bundle[at])
+                    ends = np.append(starts, len(at))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(blocks[bundle[at[starts]]]), pa.array(np.full(len(starts), kind, np.int32)), _lists(ends, (row[at] >> 3).astype(np.int16), pa.int16()),
+                        _lists(ends, values[there].astype(np.int32), pa.int32()), pa.nulls(len(starts), pa.list_(pa.int64())),
+                    ], names=names)
+
+    return run
+
+
+def _summed(whole: bool):
+    """All shares of blocks to (k, [t1, t2,] n_tokens, ce_target, ce_background) of their rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        brought: dict[int, tuple[np.ndarray, pa.Array]] = {}
+        for b in batches:
+            rows, units, own = b.column("row"), b.column("units"), b.column("brought")
+            for i, (block, kind) in enumerate(zip(b.column("block").to_pylist(), b.column("kind").to_pylist())):
+                row = rows[i].values.to_numpy()
+                if kind == _BROUGHT:
+                    brought[block] = row, own[i].values
+                else:
+                    if block not in sums:
+                        sums[block] = np.zeros((2, _ROWS), np.int64)
+                    sums[block][kind % _LARGE, row] += units[i].values.to_numpy().astype(np.int64) << (31 * (kind >= _LARGE))
+        for block, (row, values) in brought.items():
+            k = len(row)
+            background, target, pairs = values[: 3 * k].to_numpy().reshape(3, k)
+            if block in sums:
+                background, target = background + sums[block][0, row], target + sums[block][1, row]
+            known_by = [values[i * k : (i + 1) * k] for i in range(3, 6 if whole else 4)]
+            yield pa.RecordBatch.from_arrays([*known_by, pa.array(pairs - 1), *[pa.array(-x * UNIT / pairs) for x in (target, background)]], names=["k", *(["t1", "t2"] if whole else []), "n_tokens", "ce_target", "ce_background"])
 
     return run
 
@@ -297,35 +509,14 @@ def _events(held):
 def _scores(rows: DataFrame, model: PairModel, whole: bool) -> DataFrame:
     """(k, [t1, t2,] n_tokens, ce_target, ce_background) of each scored row."""
     spark = rows.sparkSession
-    # A number of partitions that is given isn't merged by size: bundles grow when they are opened.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(model.total[0]) // PART_TOKENS))
-    bundles = BUNDLES * parts
-    held = spark.sparkContext.broadcast((model.numbers, model.single, model.total, model.before, model.frequent, whole, bundles))
-    dealt = rows.mapInArrow(_events(held), _BUNDLE).repartition(parts, "bundle")
-    lists = [F.col(c) for c in ("key", "row", "kind", "times", "own")]
-    each = dealt.select("bundle", "first", F.explode(F.arrays_zip(*lists, F.coalesce("value", F.array().cast("array<long>")).alias("value"))).alias("e"))
-    # Rows that lie by bundle lie right for (bundle, key): there is no other exchange before they are counted.
-    events = each.select("bundle", F.col("e.key").alias("key"), (F.col("first") + F.col("e.row")).alias("row"), F.col("e.kind").cast("int").bitwiseAND(F.lit(65_535)).alias("v"), F.col("e.times").cast("long").alias("times"), F.col("e.own").alias("own"), F.col("e.value").alias("value"))
-    flag = lambda f: F.col("row").bitwiseAND(F.lit(f)) == f
-    times = F.col("times")
-    by_key = Window.partitionBy("bundle", "key")
-    own = lambda f: F.when(flag(f), times).otherwise(0)
-    # A row that the models were counted from is scored without what it brought.
-    count = lambda f: F.sum(own(f)).over(by_key) - own(f)
-    counted = events.select("row", "value", "v", "times", "own", count(_COUNTED).alias("n"), count(_COUNTED + _TARGET).alias("n_target"))
-    single = spark.createDataFrame(pa.table({"v": np.arange(model.single.shape[1]), "p": model.single[0], "p_target": model.single[1]}))
-    joined = counted.where(flag(_SCORED)).join(F.broadcast(single), "v", "left")
-    units = lambda x: F.round(F.log(x) / UNIT).cast("long") * F.col("times")
-
-    def loss(n: str, p: str, m: int, brought: int) -> Column:
-        alone = F.col(p) - F.when(flag((_COUNTED, _COUNTED + _TARGET)[m]), F.col("own") / F.lit(float(model.total[m]))).otherwise(0.0)
-        return F.sum(F.when(F.col("v") < _CONTEXT, units(F.col(n) + BACKOFF * alone)).when(F.col("v") == _CONTEXT, -units(F.col(n) + BACKOFF)).when(F.col("v") == brought, F.col("value")))
-
-    of = lambda kind: F.max(F.when(F.col("v") == kind, F.col("value")))
-    known_by = [("k", _KEY), *([("t1", _T1), ("t2", _T2)] if whole else [])]
-    sums = joined.groupBy("row").agg(loss("n_target", "p_target", 1, _OF_TARGET).alias("t"), loss("n", "p", 0, _OF_BACKGROUND).alias("b"), of(_PAIRS).alias("pairs"), *[of(kind).alias(c) for c, kind in known_by])
-    entropy = lambda c: -F.col(c) * F.lit(UNIT) / F.col("pairs")
-    return sums.select(*[c for c, _ in known_by], (F.col("pairs") - 1).alias("n_tokens"), entropy("t").alias("ce_target"), entropy("b").alias("ce_background"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-int(model.total[0]) // PART_TOKENS))
+    common = np.append(model.before[0] > PART_TOKENS // 2, False)
+    held = spark.sparkContext.broadcast((_vocabulary(model.numbers), model.single, model.total, model.before, model.frequent, common, whole, parts))
+    dealt = rows.mapInArrow(_events(held), _BUNDLE).repartitionById(parts, F.col("part"))
+    shares = dealt.mapInArrow(_shares(spark.sparkContext.broadcast((model.single, model.total))), _SHARE)
+    known_by = "k long, " + "t1 long, t2 long, " * whole
+    return shares.repartition(max(least, parts // 4), "block").mapInArrow(_summed(whole), known_by + "n_tokens long, ce_target double, ce_background double")
 
 
 def score_keys(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame:
@@ -345,7 +536,8 @@ def score_keys(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame
 
     All pairs but those of two frequent words are brought together once by a
     hash of the pair, where the models' texts and the scored ones meet: there
-    they are counted, and each text gets its share back, summed in the task.
+    they are counted, and each text gets its share back, summed in the task, if
+    any other row has its pairs. A task holds the pairs of its partition.
 
     A null or empty text is the boundary alone (0 tokens); very long texts are
     scored whole; repeated rows get the same score; an empty table gives no rows.
