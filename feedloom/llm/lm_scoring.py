@@ -44,10 +44,10 @@ _ROWS, _WINDOW_ROWS = 8192, 1024
 #: Stands for the start and the end of each text; no token is white space.
 _BOUNDARY = "\n"
 _END = len(_KINDS) + 1
+#: A word's number in the vocabulary has so many bits.
+_CODE_BITS = 16
 #: Flags in a row's number: in the target, counted, scored.
 _TARGET, _COUNTED, _SCORED = 1, 2, 4
-#: The first 16 bits of a pair's key: the second word's number, if it has one; from here on, a context outside the vocabulary.
-_CONTEXT = 65_024
 #: Tokens of all rows for each partition that pairs are dealt to, at most. Pairs go where
 #: their rarer word goes, so that a row's sums come back from few of them; those of a
 #: word that alone has half as many tokens go by the pair.
@@ -256,8 +256,8 @@ def train(df: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "te
     never of the target; repeated rows count as often as they come. Without
     rows, or without a target, words have the smoothing's probability alone.
     """
-    if vocabulary >= _CONTEXT - 2:
-        raise ValueError(f"a vocabulary has fewer than {_CONTEXT - 2} words")
+    if vocabulary >= 1 << _CODE_BITS:
+        raise ValueError(f"a vocabulary has fewer than {1 << _CODE_BITS} words")
     spark = session(df)
     keys = target.select(F.col(f"`{key}`").cast("long").alias("k")).where("k IS NOT NULL").distinct().withColumn("of_target", F.lit(_TARGET))
     rows = _rows(df, key, text, F.lit(_COUNTED))
@@ -303,23 +303,23 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _keys(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """Keys of pairs: a number in the first 16 bits, a hash in the others.
+def _key_starts(before: np.ndarray) -> np.ndarray:
+    """Where the keys of pairs begin, in their first 32 bits, by second word; then those with any outside the vocabulary, then those of contexts outside it.
 
-    The number is the second word's; the many outside the vocabulary of ``size``
-    share the numbers from ``size`` to _CONTEXT, by the hash's own first bits.
+    Each word of the vocabulary has a share as it is frequent, of a half; so
+    pairs lie about as evenly over 64 bits as their hashes.
     """
-    hashes = _mixed(a, b).view(np.uint64)
-    first = hashes >> np.uint64(48)
-    first = np.where(b < 0, np.uint64(size) + first % np.uint64(_CONTEXT - size), b.view(np.uint64))
-    return ((first << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1))).view(np.int64)
+    widths = np.maximum((before[0] + 1) / (before[0] + 1).sum() * (1 << 31), 1).astype(np.uint64)
+    others = widths.sum()
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(widths), np.array([others + np.uint64(1 << 30)])])
 
 
-def _context_keys(a: np.ndarray) -> np.ndarray:
-    """Keys of contexts outside the vocabulary."""
-    hashes = _mixed(a, ~a).view(np.uint64)
-    first = np.uint64(_CONTEXT) + (hashes >> np.uint64(48)) % np.uint64(65_536 - _CONTEXT)
-    return ((first << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1))).view(np.int64)
+def _keys(second: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Keys in the shares of ``second`` (see ``_key_starts``), by a hash."""
+    hashes, low = hashes.view(np.uint64), np.uint64(32)
+    spans = np.diff(starts, append=np.uint64(1 << 32))
+    first = starts[second] + (((hashes >> low) * spans[second]) >> low)
+    return ((first << low) | (hashes & np.uint64((1 << 32) - 1))).view(np.int64)
 
 
 _BUNDLE = "part int, block long, row array<smallint>, key array<long>, own array<tinyint>, more array<int>, brought array<long>"
@@ -360,7 +360,7 @@ def _events(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, single, total, before, frequent, common, whole, parts = held.value
         size, n_vocabulary = frequent.shape[1], before.shape[1]
-        names = [c.split(" ")[0] for c in _BUNDLE.split(", ")]
+        names, starts = [c.split(" ")[0] for c in _BUNDLE.split(", ")], _key_starts(before)
         block = TaskContext.get().partitionId() << 32
         dealt_as = np.uint16 if parts <= 1 << 16 else np.int64  # numpy sorts 16 bits by radix
         part_of = lambda word: (_finished(word * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(parts)).astype(dealt_as)
@@ -371,12 +371,13 @@ def _events(held):
             fits, placed, known = _among(a, b, size), a >= 0, b >= 0
             # How often the row has the second word, and so the first, which is the one before it.
             own_b = np.zeros(len(b), np.int64)
-            own_b[known] = _counts(of[known], b[known], 16)
+            own_b[known] = _counts(of[known], b[known], _CODE_BITS)
             own_a = np.roll(own_b, 1)
             own_a[np.cumsum(n) - n] = 1
             # Pairs to be counted, and contexts, each once for each row.
             apart, alone_a = ~fits, a[~placed]
-            keys = np.concatenate([_keys(a[apart], b[apart], n_vocabulary), _context_keys(alone_a)])
+            second = np.concatenate([np.where(known, b, n_vocabulary)[apart], np.full(len(alone_a), n_vocabulary + 1)])
+            keys = _keys(second, np.concatenate([_mixed(a[apart], b[apart]), _mixed(alone_a, ~alone_a)]), starts)
             if len(keys):
                 rarer = np.concatenate([np.maximum(a[apart].view(np.uint64), b[apart].view(np.uint64)), alone_a.view(np.uint64)])
                 by_pair = common[np.minimum(rarer, np.uint64(n_vocabulary)).astype(np.int64)]
@@ -392,13 +393,13 @@ def _events(held):
                 order, times = order[dealt], times[dealt]
                 to, own = to[order], own[order]
                 large = (times > 1) | (own > 126)
-                starts = _changes(to)
-                ends = np.append(starts, len(to))
+                heads = _changes(to)
+                ends = np.append(heads, len(to))
                 row = (rs[order].astype(np.int64) << 3) + flags[rs[order]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(to[starts].astype(np.int32)), pa.array(np.full(len(starts), block)),
+                    pa.array(to[heads].astype(np.int32)), pa.array(np.full(len(heads), block)),
                     _lists(ends, row.astype(np.uint16).view(np.int16), pa.int16()), _lists(ends, keys[order], pa.int64()), _lists(ends, np.where(large, -1, own).astype(np.int8), pa.int8()),
-                    _lists(2 * np.append(0, np.cumsum(large))[ends], np.stack([times[large], own[large]], 1).ravel().astype(np.int32), pa.int32()), pa.nulls(len(starts), pa.list_(pa.int64())),
+                    _lists(2 * np.append(0, np.cumsum(large))[ends], np.stack([times[large], own[large]], 1).ravel().astype(np.int32), pa.int32()), pa.nulls(len(heads), pa.list_(pa.int64())),
                 ], names=names)
             scored = np.flatnonzero(flags & _SCORED)
             if len(scored):
@@ -427,7 +428,8 @@ def _shares(held):
     """All bundles of a partition to what the other rows' pairs add to each row's sums, by block, with what rows bring."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, total = held.value
+        single, total, before = held.value
+        rest, key_starts = before.shape[1], _key_starts(before)
         names = [c.split(" ")[0] for c in _SHARE.split(", ")]
         bundles = []
         for b in batches:
@@ -456,10 +458,10 @@ def _shares(held):
             n = np.repeat(np.add.reduceat(mine, new), sizes) - mine
             met = np.flatnonzero((n > 0) & ((row[order] & _SCORED) > 0))
             n, at = n[met], order[met]
-            word = (keys[at].view(np.uint64) >> np.uint64(48)).astype(np.int64)
+            word = np.searchsorted(key_starts, keys[at].view(np.uint64) >> np.uint64(32), side="right") - 1
             less = (row[at] & counted) == counted
-            alone = BACKOFF * (single[m, np.minimum(word, single.shape[1] - 1)] - own[at] * less / total[m])
-            context = word >= _CONTEXT
+            alone = BACKOFF * (single[m, np.minimum(word, rest)] - own[at] * less / total[m])
+            context = word > rest
             alone[context] = BACKOFF
             units = np.zeros(len(keys), np.int64)
             units[at] = (_units(n + alone) - _units(alone)) * np.where(context, -1, 1) * times[at]
@@ -514,7 +516,7 @@ def _scores(rows: DataFrame, model: PairModel, whole: bool) -> DataFrame:
     common = np.append(model.before[0] > PART_TOKENS // 2, False)
     held = spark.sparkContext.broadcast((_vocabulary(model.numbers), model.single, model.total, model.before, model.frequent, common, whole, parts))
     dealt = rows.mapInArrow(_events(held), _BUNDLE).repartitionById(parts, F.col("part"))
-    shares = dealt.mapInArrow(_shares(spark.sparkContext.broadcast((model.single, model.total))), _SHARE)
+    shares = dealt.mapInArrow(_shares(spark.sparkContext.broadcast((model.single, model.total, model.before))), _SHARE)
     known_by = "k long, " + "t1 long, t2 long, " * whole
     return shares.repartition(max(least, parts // 4), "block").mapInArrow(_summed(whole), known_by + "n_tokens long, ce_target double, ce_background double")
 

@@ -150,3 +150,15 @@ def test_dealt_to_parts(spark, monkeypatch, tokens_a_part, times):
     got = score_keys(frame, model).orderBy("doc_id").collect()
     for r, (t, b) in zip(got, brute(rows, 4), strict=True):
         assert (r.ce_target, r.ce_background) == pytest.approx((t, b), abs=1e-5)
+
+
+def test_keys():
+    """The second word can be told from a key, however rare it is; keys of one second word differ."""
+    before = np.array([[10**12, 10**9, 5, 0], [0, 0, 0, 0]], np.float64)
+    starts = lm_scoring._key_starts(before)
+    second = np.repeat(np.arange(6), 50_000)
+    hashes = np.random.default_rng(1).integers(-(2**63), 2**63, len(second))
+    hashes[::1000], hashes[1::1000] = -1, 0
+    keys = lm_scoring._keys(second, hashes, starts)
+    assert (np.searchsorted(starts, keys.view(np.uint64) >> np.uint64(32), side="right") - 1 == second).all()
+    assert len(set(zip(second.tolist(), hashes.tolist()))) == len(np.unique(keys))
