@@ -18,8 +18,9 @@ def norm(a: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """Of length 1; a vector of zeros stays."""
-    length = norm(a)
-    return F.transform(a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x.cast("double")))
+    # As a lambda's variable the length is made once, not for each component.
+    by = lambda length: F.transform(a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x.cast("double")))
+    return F.transform(F.array(norm(a)), by)[0]
 
 
 def quantize(a: Column, levels: int = 127) -> Column:

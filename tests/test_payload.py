@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.functions import vectors
 from feedloom.operators import neighbours, payload
 
 
@@ -93,3 +94,49 @@ def test_pairs_do_not_travel(spark, monkeypatch):
     assert sorted((r.query_id, r["rank"], r.neighbour_id) for r in got) == brute(vectors, 3)
     of = {r.query_id: r["count"] for r in payload.candidates(rows, rows, 3).groupBy("query_id").count().collect()}
     assert {r.query_id: r.n_left for r in payload.n_candidates(rows, rows, 3).collect()} == of and of[0] >= 299
+
+
+def test_few_blocks_are_many_tasks(spark, monkeypatch):
+    """Queries that one task could hold still go to as many as the cores can do."""
+    monkeypatch.setattr(payload, "BLOCK", 32)
+    rng = np.random.default_rng(8)
+    frame = frame_of(spark, rng.normal(size=(256, 8)))
+    rows = payload.published(frame)
+    assert payload.candidates(rows, rows, 3).select(F.spark_partition_id()).distinct().count() >= 4
+
+
+def test_length_is_made_once(spark):
+    """Not once for each component, which takes the square of the dimension."""
+    plan = spark.range(1).select(vectors.l2_normalize(F.array(F.lit(3.0), F.lit(4.0))).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("aggregate(") == 1
+
+
+@pytest.mark.parametrize("k", [3, 500])
+def test_counts_as_bounds_in_doubles(spark, monkeypatch, k):
+    """Single precision decides no pair that lies close to its bar: many are equal to it here; with few items all are left."""
+    monkeypatch.setattr(payload, "BLOCK", 64)
+    rng = np.random.default_rng(9)
+    near = rng.normal(size=(1, 16)) + 0.02 * rng.normal(size=(120, 16))
+    some = np.concatenate([np.repeat(np.eye(16)[:2], 40, axis=0), np.zeros((3, 16)), near, rng.normal(size=(90, 16))])
+    frame = frame_of(spark, some)
+    rows = payload.published(frame)
+    held = rows.select("id", F.unbase64("payload").alias("q"), "rest").orderBy("id").collect()
+    q, rest = np.array([np.frombuffer(bytes(r.q), np.int8) for r in held]).astype(float), np.array([r.rest for r in held])
+    length = np.sqrt((q**2).sum(axis=1)) / 127
+    product, error = q @ q.T / 127**2, rest[:, None] * length + length[:, None] * rest + rest[:, None] * rest
+    low, high = product - error, product + error
+    np.fill_diagonal(low, -np.inf), np.fill_diagonal(high, -np.inf)
+    floor = np.sort(low, axis=1)[:, -k] if k < len(some) else np.full(len(some), -1e9)
+    want = {i: int(n) for i, n in enumerate((high >= floor[:, None] - payload._SLACK).sum(axis=1))}
+    assert {r.query_id: r.n_left for r in payload.n_candidates(rows, rows, k).collect()} == want
+    pairs = payload.candidates(rows, rows, k)
+    assert pairs.distinct().count() == pairs.count() == sum(want.values())
+
+
+def test_single_and_double_precision(spark):
+    """Vectors in floats, as they are, and in doubles give the same, whatever their length."""
+    rng = np.random.default_rng(10)
+    frame = frame_of(spark, rng.normal(size=(80, 8)) * rng.uniform(0.1, 50, size=(80, 1)))
+    doubles = frame.withColumn("vec", F.col("vec").cast("array<double>"))
+    found = [payload.k_nearest_published(payload.published(f), f, None, 4).withColumn("cosine", F.round("cosine", 9)).orderBy("query_id", "rank").collect() for f in (frame, doubles)]
+    assert found[0] == found[1] and len(found[0]) == 320
