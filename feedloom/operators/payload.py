@@ -214,6 +214,10 @@ class _Task:
     def take(self, x: np.ndarray, y: np.ndarray, value: np.ndarray, v: _Vectors, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts, or keeps, the pairs whose exact value reaches the floor; their places."""
         fits = (value >= floor[x]) & (value > -np.inf)
+        if self.sign <= 0:
+            # Of many copies of a query only those with smaller ids than its kth best go on.
+            key, last = self.key(value), self.key(self.value[x, -1])
+            fits &= (key > last) | ((key == last) & (v.ids[y] < self.item[x, -1]))
         x, y, value = x[fits], y[fits], value[fits]
         if self.sign > 0:
             self.n += np.bincount(x, minlength=len(self.n))
