@@ -159,8 +159,8 @@ class _Task:
             mine = slice(*np.searchsorted(own, [at, rows.stop]))
             s[own[mine] - at, ids[mine]] = np.nan
             bar = floor[rows] - off[rows]
-            if self.sign <= 0 and m >= self.k and bar.min() == -np.inf:
-                bar = np.maximum(bar, self.least(s, v, rows) - 2 * off[rows])
+            if self.sign < 0 and m >= self.k and bar.min() == -np.inf:
+                bar = np.maximum(bar, self.least(s) - 2 * off[rows])
             np.greater_equal(s, bar.astype(np.float32)[:, None], out=reach[:n, :m])
             # Most pairs don't reach their bar: 64 are looked at together, then eight.
             if self.sign <= 0 and np.count_nonzero(reach[:n]) * _DENSE > n * m:
@@ -190,13 +190,10 @@ class _Task:
                 yield from self.exactly(kept, v, floor)
         yield from self.exactly(kept, v, floor)
 
-    def least(self, s: np.ndarray, v: _Vectors, rows: slice) -> np.ndarray:
-        """What ``k`` of a block's items reach for sure, for queries that have no floor yet."""
+    def least(self, s: np.ndarray) -> np.ndarray:
+        """The kth lower bound of a block's items, for queries that have no floor yet."""
         last = np.partition(np.where(np.isnan(s), -np.inf, s), -self.k, axis=1)[:, -self.k]
-        # A cosine may lie as far under its upper bound as the two bounds lie apart.
-        rest, length = np.nanmax(v.rests), np.nanmax(v.lengths)
-        apart = 2 * (self.q.rests[rows] * length + self.q.lengths[rows] * rest + self.q.rests[rows] * rest)
-        return last - _SLACK - (apart if self.sign == 0 else 0.0)
+        return last - _SLACK
 
     def exactly(self, kept: list[tuple[np.ndarray, np.ndarray]], v: _Vectors, floor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Takes the places kept."""
